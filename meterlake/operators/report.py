@@ -64,12 +64,6 @@ def newest_rows_ascending(
     return newest_rows(df, rows, tie_break).orderBy("event_time", *tie_break)
 
 
-def latest_partition(lake: DataFrame) -> DataFrame:
-    """Rows of the newest date; the date reaches the scan as a partition filter."""
-    newest = lake.select(F.max("date").alias("newest")).scalar()
-    return lake.where(F.col("date") == newest)
-
-
 def voltage_points(
     readings: DataFrame, rows: int = 100, tie_break: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -91,9 +85,12 @@ def voltage_pivot(
 ) -> DataFrame:
     """A row per time, a column per meter, over the newest `rows` readings.
 
-    Without `meters` Spark looks the columns up, of which there are at most `rows`.
+    Without `meters` the columns depend on the points. These number at most `rows` and are
+    fetched first, so that the readings are scanned once.
     """
     points = voltage_points(readings, rows, tie_break)
+    if meters is None:
+        points = readings.sparkSession.createDataFrame(points.collect(), points.schema)
     return points.groupBy("event_time").pivot("meter_id", meters).agg(F.first("voltage"))
 
 
@@ -103,16 +100,18 @@ def voltage_filled(
     """Voltage of every meter at every time among the newest `rows` readings.
 
     A gap takes the meter's voltage before it, at the start of the series the one after it.
-    Times and meters number at most `rows` each, which bounds the grid.
+    Points, times and meters number at most `rows` each, so one row can hold them.
     """
-    points = voltage_points(readings, rows, tie_break)
+    cell = F.struct("event_time", "meter_id")
+    points = voltage_points(readings, rows, tie_break).agg(
+        F.collect_set("event_time").alias("times"),
+        F.collect_set("meter_id").alias("meters"),
+        F.map_from_entries(F.collect_list(F.struct(cell, "voltage"))).alias("known"),
+    )
     grid = (
-        points.agg(
-            F.collect_set("event_time").alias("times"),
-            F.collect_set("meter_id").alias("meters"),
-        )
-        .select(F.explode("times").alias("event_time"), "meters")
-        .select("event_time", F.explode("meters").alias("meter_id"))
+        points.select(F.explode("times").alias("event_time"), "meters", "known")
+        .select("event_time", F.explode("meters").alias("meter_id"), "known")
+        .select("event_time", "meter_id", F.try_element_at("known", cell).alias("voltage"))
     )
     by_time = Window.partitionBy("meter_id").orderBy("event_time")
     before = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -121,9 +120,7 @@ def voltage_filled(
         F.last("voltage", ignorenulls=True).over(before),
         F.first("voltage", ignorenulls=True).over(after),
     )
-    return grid.join(points, ["event_time", "meter_id"], "left").select(
-        "event_time", "meter_id", filled.alias("voltage")
-    )
+    return grid.select("event_time", "meter_id", filled.alias("voltage"))
 
 
 def forecast_error(predictions: DataFrame, tie_break: tuple[str, ...] = ()) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlake.functions import measures, metering
 
-# Above this many rows a meter is cut into minutes.
+# A meter with more rows than this is cut into pieces of this length.
 HOT_METER_ROWS = 5_000_000
+HOT_METER_CUT = "minute"
 
 
 def running_total(
@@ -19,18 +20,22 @@ def running_total(
 ) -> DataFrame:
     """Add `name`: the sum of `value` over the meter's rows up to this one, by event_time.
 
+    Rows without a meter have no such sum and are left out.
+
     Ordinary meters are one window each. A meter with more than `hot_rows` rows is summed
     minute by minute: each minute is a window of its own, and starts from the total of the
     minutes before it. There are fewer hot meters than rows / hot_rows, which bounds the
     broadcast. Without hot meters adaptive execution drops the two joins.
     """
-    sizes = df.groupBy("meter_id").agg(F.count("*").alias("_rows"))
+    rows = df.where(F.col("meter_id").isNotNull())
+    sizes = rows.groupBy("meter_id").agg(F.count("*").alias("_rows"))
     hot = sizes.where(F.col("_rows") > hot_rows).select(
         F.col("meter_id").alias("_hot_meter"), F.lit(True).alias("_is_hot")
     )
-    cut = df.join(
-        F.broadcast(hot), F.col("meter_id").eqNullSafe(F.col("_hot_meter")), "left"
-    ).withColumn("_minute", F.when(F.col("_is_hot"), F.date_trunc("minute", "event_time")))
+    minute = F.when(F.col("_is_hot"), F.date_trunc(HOT_METER_CUT, "event_time"))
+    cut = rows.join(
+        F.broadcast(hot), F.col("meter_id") == F.col("_hot_meter"), "left"
+    ).withColumn("_minute", minute)
 
     minutes = (
         cut.where(F.col("_is_hot"))

@@ -135,7 +135,7 @@ def lake_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.latest_partition(lake(spark, sf_dir))
+    return files.read_latest_partition(spark, lake_path(spark, sf_dir))
 
 
 @query

@@ -14,10 +14,31 @@ HISTORY_TIME = "yyyy-MM-dd HH:mm:ss"
 
 def read_lake(spark: SparkSession, path: str, skip_corrupt: bool = False) -> DataFrame:
     """Readings under `path`, partitioned by date or not; no rows if it does not exist."""
+    return _with_time(_scan_lake(spark, path, skip_corrupt))
+
+
+def read_latest_partition(
+    spark: SparkSession, path: str, skip_corrupt: bool = False
+) -> DataFrame:
+    """Readings of the newest date.
+
+    Finding the date reads no data column, and it reaches the scan as a partition filter. A
+    lake without dates counts as one partition.
+    """
+    lake = _scan_lake(spark, path, skip_corrupt)
+    newest = lake.select(F.max("date").alias("newest")).scalar()
+    return _with_time(lake.where(F.col("date").eqNullSafe(newest)))
+
+
+def _scan_lake(spark: SparkSession, path: str, skip_corrupt: bool) -> DataFrame:
     reader = spark.read.schema(schemas.READING)
     reader = reader.option("ignoreCorruptFiles", str(skip_corrupt).lower())
     lake = _or_empty(spark, lambda: reader.parquet(path), schemas.READING)
-    return lake.select(*schemas.READING.names).where(F.col("event_time").isNotNull())
+    return lake.select(*schemas.READING.names)
+
+
+def _with_time(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("event_time").isNotNull())
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
@@ -27,8 +48,7 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
         .option("mode", "DROPMALFORMED")
         .option("pathGlobFilter", "part-*.json")
     )
-    found = _or_empty(spark, lambda: reader.json(path), schemas.PREDICTION)
-    return found.where(F.col("event_time").isNotNull())
+    return _with_time(_or_empty(spark, lambda: reader.json(path), schemas.PREDICTION))
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
