@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: `jobs.py ingest|train|score|alert|publish|compact [options]`."""
+"""Jobs for spark-submit: `jobs.py ingest|train|score|alert|report|publish|compact [options]`."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlake import schemas, sinks
 from meterlake.operators import alerts, shape
-from meterlake.plans import model as power_model
+from meterlake.plans import dashboard, model as power_model
 from meterlake.session import build_session
 from meterlake.sources import files, kafka
 from meterlake.streaming import jobs as streams
@@ -51,6 +51,14 @@ def alert(spark, args) -> None:
         alerts.finish_rules(rules)
 
 
+def report(spark, args) -> None:
+    """Print the dashboard's figures."""
+    as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
+    for name, table in dashboard.tables(spark, args.lake, args.predictions, as_of).items():
+        print(name)
+        table.show(args.rows, truncate=False)
+
+
 def publish(spark, args) -> None:
     """Send historical readings to the topic, stamped with the time of sending."""
     history = shape.align_history(files.read_history(spark, args.history))
@@ -83,6 +91,9 @@ def parser() -> argparse.ArgumentParser:
     command(alert, "checkpoint", topics=True).add_argument(
         "--alerts-topic", default=kafka.ALERTS_TOPIC
     )
+    cmd = command(report, "lake", "predictions")
+    cmd.add_argument("--as-of", help="UTC time that counts as now")
+    cmd.add_argument("--rows", type=int, default=20, help="rows to print per table")
     command(publish, "history", topics=True).add_argument(
         "--metrics", nargs="*", default=schemas.METRICS, choices=schemas.METRICS
     )

@@ -66,19 +66,16 @@ def run_rules(readings: DataFrame, rules: Iterable[AlertRule]) -> DataFrame:
     for rule in rules:
         try:
             rule.initialize()
-            checked = readings.select(rule.alert(readings).alias("alert"))
-            checked.select(*(f"alert.{field}" for field in ALERT_FIELDS)).schema
+            alert = rule.alert(readings)
+            fields = [alert[field].cast("string").alias(field) for field in ALERT_FIELDS]
+            readings.select(*fields).schema  # fails here rather than in the joint query
         except Exception as error:
             logger.warning("alert rule %s left out: %s", rule.name, error)
             continue
-        alert = rule.alert(readings)
-        fields = (alert[field].cast("string").alias(field) for field in ALERT_FIELDS)
-        alerts.append(
-            F.when(alert.isNotNull(), F.struct(F.lit(rule.name).alias("rule"), *fields))
-        )
-    if not alerts:
-        alerts = [F.lit(None).cast("struct<rule:string,type:string,message:string,action:string>")]
-    raised = F.filter(F.array(*alerts), lambda alert: alert.isNotNull())
+        named = F.struct(F.lit(rule.name).alias("rule"), *fields)
+        alerts.append(F.when(alert.isNotNull(), named))
+    none = F.lit(None).cast("struct<rule:string,type:string,message:string,action:string>")
+    raised = F.filter(F.array(none, *alerts), lambda alert: alert.isNotNull())
     return readings.select("meter_id", "event_time", F.inline(raised))
 
 

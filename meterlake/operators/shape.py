@@ -79,9 +79,13 @@ def to_messages(records: DataFrame) -> DataFrame:
 
 
 def decode_messages(messages: DataFrame, schema: StructType = schemas.MESSAGE) -> DataFrame:
-    """Expand JSON in `value` (text or bytes); a broken message gives a row of NULLs."""
+    """Expand JSON in `value` (text or bytes); a broken message gives a row of NULLs.
+
+    As a generator's output the fields cannot be pushed into later filters, where each use
+    of a field would parse the message again.
+    """
     record = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(record.alias("data")).select("data.*")
+    return messages.select(F.inline(F.array(record)))
 
 
 def event_time() -> Column:

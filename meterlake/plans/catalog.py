@@ -236,7 +236,7 @@ def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def meter_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixture.cleaned(spark, sf_dir)
-    return clean.only_meters(rows, fleet.first_meters(rows)).drop("event_id")
+    return clean.only_meters(rows, F.broadcast(fleet.first_meters(rows))).drop("event_id")
 
 
 @query

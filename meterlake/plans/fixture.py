@@ -39,17 +39,18 @@ def readings(events: DataFrame) -> DataFrame:
     district = F.element_at(
         F.array(*(F.lit(d) for d in DISTRICTS)), (F.col("user_id") % 10 + 1).cast("int")
     )
-    step = F.from_json("props", "k INT")["k"]
     voltage = (
         F.when(F.col("event_type") == "signup", F.lit(None).cast("double"))
         .when(F.col("event_id") % 97 == 0, F.lit(0.0))
-        .otherwise(F.lit(200.0) + step * F.lit(0.5))
+        .otherwise(F.lit(200.0) + F.col("k") * F.lit(0.5))
     )
     units = F.expr(
         "CASE WHEN event_id % 89 = 0 THEN -10000L ELSE "
-        "(209L * CAST(round(value * 100) AS BIGINT) * (95L + event_id % 11)) div 1000L END"
+        "(209L * CAST(rint(value * 100) AS BIGINT) * (95L + event_id % 11)) div 1000L END"
     )
-    return events.select(
+    # A generator, so that filters on the voltage do not parse the text again.
+    parsed = events.select("*", F.inline(F.array(F.from_json("props", "k INT"))))
+    return parsed.select(
         "event_id",
         F.concat(F.lit("LCL-"), F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("meter_id"),
         F.col("ts").alias("event_time"),

@@ -129,3 +129,20 @@ def test_job_arguments():
     assert (args.run.__name__, args.topic) == ("score", "smart-meter-data")
     args = parser().parse_args("publish --history h --servers k --metrics voltage_v".split())
     assert args.metrics == ["voltage_v"]
+
+
+def test_a_large_date_is_written_by_several_tasks(spark, tmp_path):
+    path = tmp_path / "lake"
+    rows = spark.range(400_000, numPartitions=8).selectExpr(
+        "cast(id as string) AS meter_id",
+        "timestamp_seconds(1704067200 + (id % 3) * 30000) AS event_time",
+        "rand(1) AS voltage",
+        "to_date(timestamp_seconds(1704067200 + (id % 3) * 30000)) AS date",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        sinks.write_lake(rows, str(path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list(path.glob("date=2024-01-01/*.parquet"))) > 2
+    assert files.read_lake(spark, str(path)).count() == 400_000
