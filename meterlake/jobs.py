@@ -15,9 +15,14 @@ from meterlake.sources import files, kafka
 from meterlake.streaming import jobs as streams
 
 
+def read_topic(spark, args, starting_offsets: str | None = None):
+    limits = args.max_offsets, args.max_records_per_task
+    return kafka.read_topic(spark, args.servers, args.topic, starting_offsets, *limits)
+
+
 def ingest(spark, args) -> None:
     """Keep the lake up to date with the readings topic."""
-    messages = kafka.read_topic(spark, args.servers, args.topic, "earliest")
+    messages = read_topic(spark, args, "earliest")
     streams.start_ingest(messages, args.lake, args.checkpoint).awaitTermination()
 
 
@@ -34,13 +39,13 @@ def score(spark, args) -> str | None:
     model = power_model.load(args.model)
     if model is None:
         return f"no model at {args.model}"
-    messages = kafka.read_topic(spark, args.servers, args.topic)
+    messages = read_topic(spark, args)
     streams.start_scoring(messages, model, args.predictions, args.checkpoint).awaitTermination()
 
 
 def alert(spark, args) -> None:
     """Raise over-voltage alerts on their own topic."""
-    messages = kafka.read_topic(spark, args.servers, args.topic)
+    messages = read_topic(spark, args)
     rules = [alerts.OverVoltage()]
     raised = shape.to_messages(alerts.run_rules(streams.cleaned_stream(messages), rules))
     writer = kafka.stream_to_topic(raised, args.servers, args.alerts_topic)
@@ -61,7 +66,7 @@ def report(spark, args) -> None:
 
 def publish(spark, args) -> None:
     """Send historical readings to the topic, stamped with the time of sending."""
-    history = shape.align_history(files.read_history(spark, args.history))
+    history = files.read_history(spark, args.history)
     records = shape.nest_history(history, args.metrics, sent_at=F.current_timestamp())
     kafka.write_topic(shape.to_messages(records), args.servers, args.topic)
 
@@ -75,26 +80,31 @@ def parser() -> argparse.ArgumentParser:
     commands = argparse.ArgumentParser(description=__doc__)
     sub = commands.add_subparsers(required=True)
 
-    def command(run, *required: str, topics: bool = False) -> argparse.ArgumentParser:
+    def command(
+        run, *required: str, reads: bool = False, writes: bool = False
+    ) -> argparse.ArgumentParser:
         cmd = sub.add_parser(run.__name__, help=run.__doc__)
         cmd.set_defaults(run=run)
         for name in required:
             cmd.add_argument(f"--{name}", required=True)
-        if topics:
+        if reads or writes:
             cmd.add_argument("--servers", required=True)
             cmd.add_argument("--topic", default=kafka.READINGS_TOPIC)
+        if reads:
+            cmd.add_argument("--max-offsets", type=int, help="messages per micro-batch")
+            cmd.add_argument("--max-records-per-task", type=int)
         return cmd
 
-    command(ingest, "lake", "checkpoint", topics=True)
+    command(ingest, "lake", "checkpoint", reads=True)
     command(train, "lake", "model")
-    command(score, "model", "predictions", "checkpoint", topics=True)
-    command(alert, "checkpoint", topics=True).add_argument(
+    command(score, "model", "predictions", "checkpoint", reads=True)
+    command(alert, "checkpoint", reads=True).add_argument(
         "--alerts-topic", default=kafka.ALERTS_TOPIC
     )
     cmd = command(report, "lake", "predictions")
     cmd.add_argument("--as-of", help="UTC time that counts as now")
     cmd.add_argument("--rows", type=int, default=20, help="rows to print per table")
-    command(publish, "history", topics=True).add_argument(
+    command(publish, "history", writes=True).add_argument(
         "--metrics", nargs="*", default=schemas.METRICS, choices=schemas.METRICS
     )
     command(compact, "lake", "target", "date")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from meterlake import schemas
+from meterlake.operators import shape
 
 # Fixed value: time format of history files.
 HISTORY_TIME = "yyyy-MM-dd HH:mm:ss"
@@ -52,10 +53,11 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """Historical readings from CSV files with a header."""
-    return spark.read.schema(schemas.HISTORY).csv(
-        path, header=True, timestampFormat=HISTORY_TIME, enforceSchema=False
-    )
+    """Historical readings from CSV files with a header, all with the same columns.
+
+    Columns the files lack get their defaults, a value that does not parse is NULL.
+    """
+    return shape.align_history(spark.read.csv(path, header=True, enforceSchema=False))
 
 
 def read_stream_of(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

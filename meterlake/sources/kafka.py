@@ -11,17 +11,26 @@ ALERTS_TOPIC = "plugins-data"
 
 
 def source_options(
-    servers: str, topic: str = READINGS_TOPIC, starting_offsets: str | None = None
+    servers: str,
+    topic: str = READINGS_TOPIC,
+    starting_offsets: str | None = None,
+    max_offsets: int | None = None,
+    max_records_per_task: int | None = None,
 ) -> dict[str, str]:
-    """Without `starting_offsets` a new query starts at the end of the topic."""
+    """Without `starting_offsets` a new query starts at the end of the topic.
+
+    `max_offsets` bounds a micro-batch, so that a backlog is not one single batch, and
+    `max_records_per_task` splits a large topic partition among tasks.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "failOnDataLoss": "false",
+        "startingOffsets": starting_offsets,
+        "maxOffsetsPerTrigger": max_offsets,
+        "maxRecordsPerPartition": max_records_per_task,
     }
-    if starting_offsets:
-        options["startingOffsets"] = starting_offsets
-    return options
+    return {name: str(value) for name, value in options.items() if value is not None}
 
 
 def sink_options(servers: str, topic: str) -> dict[str, str]:
@@ -38,8 +47,12 @@ def read_topic(
     servers: str,
     topic: str = READINGS_TOPIC,
     starting_offsets: str | None = None,
+    max_offsets: int | None = None,
+    max_records_per_task: int | None = None,
 ) -> DataFrame:
-    options = source_options(servers, topic, starting_offsets)
+    options = source_options(
+        servers, topic, starting_offsets, max_offsets, max_records_per_task
+    )
     return spark.readStream.format("kafka").options(**options).load()
 
 

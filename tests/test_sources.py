@@ -106,6 +106,20 @@ def test_history_csv(spark, tmp_path):
     assert blank.measurements_voltage_v is None and blank.status_code is None
 
 
+def test_history_csv_with_fewer_columns(spark, tmp_path):
+    (tmp_path / "h.csv").write_text(
+        "timestamp,extra,meter_id,measurements_current_a,status_code\n"
+        "2012-01-01 00:30:00,x,LCL-001,1.5,\n"
+        "soon,x,LCL-002,many,3\n"
+    )
+    first, second = files.read_history(spark, str(tmp_path)).orderBy("meter_id").collect()
+    assert list(first.asDict()) == schemas.HISTORY.names
+    assert first.timestamp == dt.datetime(2012, 1, 1, 0, 30)
+    assert (first.measurements_current_a, first.measurements_voltage_v) == (1.5, 0.0)
+    assert (first.status_code, first.status_message) == (None, "OK")
+    assert (second.timestamp, second.measurements_current_a, second.status_code) == (None, None, 3)
+
+
 def test_topic_options():
     ingest = kafka.source_options("k:9092", starting_offsets="earliest")
     assert ingest == {
@@ -115,6 +129,9 @@ def test_topic_options():
         "startingOffsets": "earliest",
     }
     assert "startingOffsets" not in kafka.source_options("k:9092")
+    limited = kafka.source_options("k:9092", max_offsets=10, max_records_per_task=5)
+    assert limited["maxOffsetsPerTrigger"] == "10"
+    assert limited["maxRecordsPerPartition"] == "5"
     sink = kafka.sink_options("k:9092", kafka.ALERTS_TOPIC)
     assert (sink["topic"], sink["kafka.acks"], sink["kafka.retries"]) == ("plugins-data", "all", "3")
 
