@@ -217,7 +217,8 @@ l AS (SELECT DISTINCT meter_id, length FROM n)
 SELECT l.meter_id, t.tick, n.position, n.event_time, n.voltage, n.power
 FROM l CROSS JOIN range(0, 200) AS t(tick)
 JOIN n ON n.meter_id = l.meter_id AND n.position = t.tick % l.length""",
-    "overvoltage_alerts": f"SELECT {OVER_240.format(time='event_time')} FROM cl WHERE voltage > 240",
+    "overvoltage_alerts": f"""
+SELECT {OVER_240.format(time="event_time")} FROM cl WHERE voltage > 240""",
     "alert_rules": f"""
 SELECT {OVER_240.format(time="event_time")} FROM cl WHERE voltage > 240 UNION ALL
 SELECT {OVER_240.format(time="event_time").replace("'OverVoltage'", "'HighOverVoltage'")}

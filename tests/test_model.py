@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from meterlake import schemas
+from meterlake.jobs import parser
 from meterlake.plans import model as power_model
 from meterlake.sinks import write_lake
 
@@ -55,5 +56,19 @@ def test_save_replaces_and_load_of_nothing(spark, readings, tmp_path):
     for _ in range(2):
         model = power_model.train_and_save(spark, lake, path)
     features = readings.withColumnRenamed("power", "actual_power")
-    loaded = power_model.load(path)
-    assert power_model.score(loaded, features).collect() == power_model.score(model, features).collect()
+    again = power_model.score(power_model.load(path), features)
+    assert again.collect() == power_model.score(model, features).collect()
+
+
+def test_train_job(spark, readings, tmp_path, capsys):
+    paths = ["--lake", str(tmp_path / "lake"), "--model", str(tmp_path / "model")]
+    train = parser().parse_args(["train", *paths])
+    assert "no complete readings" in train.run(spark, train)
+    write_lake(readings, paths[1])
+    assert train.run(spark, train) is None
+    assert "rmse" in capsys.readouterr().out
+
+    topic = ["--servers", "none:9092", "--checkpoint", str(tmp_path / "c")]
+    lost = ["--model", str(tmp_path / "lost"), "--predictions", str(tmp_path / "p")]
+    score = parser().parse_args(["score", *topic, *lost])
+    assert "no model" in score.run(spark, score)

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.errors import AnalysisException
 
 from meterlake import schemas, sinks
 from meterlake.jobs import parser
@@ -31,9 +30,8 @@ def test_missing_paths_have_no_rows(spark, tmp_path):
 
 
 def test_other_errors_propagate(spark):
-    with pytest.raises(Exception) as raised:
-        files.read_lake(spark, "nosuchscheme://host/path").count()
-    assert not isinstance(raised.value, AssertionError)
+    with pytest.raises(Exception, match="nosuchscheme"):
+        files.read_lake(spark, "nosuchscheme://host/path")
 
 
 def test_lake_roundtrip_and_newest_date(spark, tmp_path):
@@ -133,7 +131,8 @@ def test_topic_options():
     assert limited["maxOffsetsPerTrigger"] == "10"
     assert limited["maxRecordsPerPartition"] == "5"
     sink = kafka.sink_options("k:9092", kafka.ALERTS_TOPIC)
-    assert (sink["topic"], sink["kafka.acks"], sink["kafka.retries"]) == ("plugins-data", "all", "3")
+    assert sink["topic"] == "plugins-data"
+    assert (sink["kafka.acks"], sink["kafka.retries"]) == ("all", "3")
 
 
 def test_scratch_is_under_the_shared_folder(spark):

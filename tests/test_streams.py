@@ -113,5 +113,6 @@ def test_windows_close_with_the_watermark(topic, tmp_path):
     # Readings end at 03:19, so the watermark is 03:09.
     assert {r.window_end.hour for r in rows} == {1, 2, 3}
     assert {r.meter_id for r in rows} == {"m0", "m1", "m2"}
-    want = cleaned_batch(topic).where("hour(event_time) < 3").selectExpr("sum(power) * 0.5").first()[0]
+    closed = cleaned_batch(topic).where("hour(event_time) < 3")
+    want = closed.selectExpr("sum(power) * 0.5 AS kwh").first().kwh
     assert sum(r.energy_kwh for r in rows) == pytest.approx(want)
