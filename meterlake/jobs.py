@@ -23,7 +23,10 @@ def read_topic(spark, args, starting_offsets: str | None = None):
 def ingest(spark, args) -> None:
     """Keep the lake up to date with the readings topic."""
     messages = read_topic(spark, args, "earliest")
-    streams.start_ingest(messages, args.lake, args.checkpoint).awaitTermination()
+    query = streams.start_ingest(
+        messages, args.lake, args.checkpoint, files_per_date=args.files_per_date
+    )
+    query.awaitTermination()
 
 
 def train(spark, args) -> str | None:
@@ -95,7 +98,9 @@ def parser() -> argparse.ArgumentParser:
             cmd.add_argument("--max-records-per-task", type=int)
         return cmd
 
-    command(ingest, "lake", "checkpoint", reads=True)
+    command(ingest, "lake", "checkpoint", reads=True).add_argument(
+        "--files-per-date", type=int, help="most files a micro-batch adds to a date"
+    )
     command(train, "lake", "model")
     command(score, "model", "predictions", "checkpoint", reads=True)
     command(alert, "checkpoint", reads=True).add_argument(

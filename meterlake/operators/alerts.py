@@ -76,7 +76,10 @@ def run_rules(readings: DataFrame, rules: Iterable[AlertRule]) -> DataFrame:
         alerts.append(F.when(alert.isNotNull(), named))
     none = F.lit(None).cast("struct<rule:string,type:string,message:string,action:string>")
     raised = F.filter(F.array(none, *alerts), lambda alert: alert.isNotNull())
-    return readings.select("meter_id", "event_time", F.inline(raised))
+    # Most readings raise nothing and need not reach the generator.
+    return readings.where(F.coalesce(none, *alerts).isNotNull()).select(
+        "meter_id", "event_time", F.inline(raised)
+    )
 
 
 def finish_rules(rules: Iterable[AlertRule]) -> None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from meterlake import schemas
@@ -29,10 +29,22 @@ def cleaned_stream(messages: DataFrame) -> DataFrame:
 
 
 def start_ingest(
-    messages: DataFrame, lake_path: str, checkpoint: str, trigger: dict = INGEST_EVERY
+    messages: DataFrame,
+    lake_path: str,
+    checkpoint: str,
+    trigger: dict = INGEST_EVERY,
+    files_per_date: int | None = None,
 ) -> StreamingQuery:
-    """Messages -> cleaned readings, appended to the lake by date."""
-    writer = _append(cleaned_stream(messages), "parquet", checkpoint, trigger)
+    """Messages -> cleaned readings, appended to the lake by date.
+
+    Each task writes a file per date it meets. With `files_per_date` the readings are
+    shuffled first, so that a batch adds no more files than that to a date.
+    """
+    readings = cleaned_stream(messages)
+    if files_per_date:
+        share = F.pmod(F.xxhash64("meter_id", "event_time"), F.lit(files_per_date))
+        readings = readings.repartition("date", share)
+    writer = _append(readings, "parquet", checkpoint, trigger)
     return writer.partitionBy("date").start(lake_path)
 
 

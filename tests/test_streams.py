@@ -81,6 +81,18 @@ def test_ingest_equals_batch_and_restarts(topic, tmp_path):
     assert sorted_rows(ingest(topic, tmp_path)) == sorted_rows(lake)
 
 
+def test_files_per_date(topic, tmp_path):
+    for i in range(6):
+        topic.send(f"more-{i}", [text_of(j, day=i % 2) for j in range(i, 200, 6)])
+    paths = str(tmp_path / "lake"), str(tmp_path / "checkpoint")
+    query = jobs.start_ingest(topic.stream(), *paths, jobs.ONCE, files_per_date=2)
+    query.awaitTermination()
+    for date in ("2024-01-01", "2024-01-02"):
+        assert 1 <= len(list((tmp_path / "lake" / f"date={date}").glob("*.parquet"))) <= 2
+    lake = files.read_lake(topic.spark, paths[0])
+    assert sorted_rows(lake) == sorted_rows(cleaned_batch(topic))
+
+
 def test_two_queries_follow_one_topic(topic, tmp_path):
     spark = topic.spark
     model = power_model.train(cleaned_batch(topic))
