@@ -136,3 +136,10 @@ def test_sample_is_repeatable_and_near_the_share(spark):
     assert first == again
     assert 1800 < len(first) < 2200
     assert first < {tuple(r) for r in sampling.sample_readings(rows, 20).collect()}
+
+
+def test_empty_messages_give_a_row_of_nulls(spark):
+    texts = spark.createDataFrame([(None,), ("",), ("[]",), ("null",)], "value string")
+    rows = shape.decode_messages(texts).collect()
+    assert [set(row) for row in rows] == [{None}] * 4
+    assert clean.clean_readings(shape.flatten(shape.decode_messages(texts))).count() == 0
