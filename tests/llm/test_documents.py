@@ -1,0 +1,291 @@
+"""Operators on documents against plain Python, on small tables with the awkward cases."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import compare
+from meterlake.llm import components, exact_dedup, line_dedup, packing, quality, simhash
+from meterlake.llm.queries import ORACLE_SQL, QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+TEXTS = [
+    None, "", "", " \n\t", "a", "one two", "one two", "Ünïcode ß é \U0001f600",
+    "x\ny\nz\nw", "q\nx\ny\nz", "x\ny\nz\nx\ny\nz", "\n\n\n\n", "\n\n\n\n", "l1\r\nl2\r\nl3",
+    "the quick brown fox jumps over the lazy dog " * 30,
+    "the quick brown fox jumps over the lazy dog " * 30,
+    "the quick brown fox jumps over the lazy cat " * 30,
+    "word " * 4000,
+]
+
+
+def table(spark, texts, extra=True):
+    rows = [(i, text, None, "s", len(text or "")) for i, text in enumerate(texts)]
+    rows += [(None, "without id", "en", None, 10)] if extra else []
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, TEXTS)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+@pytest.mark.parametrize("name", ORACLE_SQL)
+def test_query_equals_sql(spark, name):
+    result = QUERIES[name](spark, SF_DIR)
+    assert compare.difference(result, compare.connect(SF_DIR), ORACLE_SQL[name]) == ""
+
+
+@pytest.mark.parametrize(
+    "operator", [exact_dedup.exact_dedup, line_dedup.digest, simhash.near_dedup, packing.pack]
+)
+def test_empty_table(empty, operator):
+    assert operator(empty).count() == 0
+
+
+def test_clashing_columns_are_ignored(docs):
+    clashing = docs.withColumns(
+        {n: F.lit("x") for n in ("bits", "hash", "block", "id", "window", "n_lines", "size", "piece")}
+    )
+    assert exact_dedup.exact_dedup(clashing).count() == len(TEXTS) + 1
+    assert simhash.near_dedup(clashing).count() == len(TEXTS) + 1
+    assert line_dedup.line_dedup(clashing).count() == len(TEXTS) + 1
+    assert packing.pack(clashing).count() >= len(TEXTS) + 1
+
+
+# --- exact dedup
+
+
+def test_exact_groups(docs):
+    for max_bits in (exact_dedup.MAX_BITS, 1):
+        found = {r.doc_id: r for r in exact_dedup.exact_dedup(docs, max_bits).collect()}
+        groups = defaultdict(list)
+        for i, text in enumerate(TEXTS):
+            groups[text or ""].append(i)
+        for i, text in enumerate(TEXTS):
+            group = groups[text or ""]
+            sha = hashlib.sha256((text or "").encode()).hexdigest()
+            assert found[i][1:] == (max(group), len(group), i == max(group), sha)
+
+
+def test_filter_passes_every_repeat(spark):
+    texts = [f"text {i % 700}" if i % 3 else f"single {i}" for i in range(2000)]
+    rows = exact_dedup.exact_dedup(table(spark, texts, extra=False)).collect()
+    assert len(rows) == 2000
+    assert sum(r.kept for r in rows) == len(set(texts))
+
+
+# --- line dedup
+
+
+def remaining_lines(texts):
+    """By the definition: a line goes if a later window covers it."""
+    seen, kept = set(), {}
+    for i, text in enumerate(texts):
+        lines = (text or "").split("\n")
+        gone = set()
+        for at in range(len(lines) - 2):
+            window = tuple(lines[at : at + 3])
+            if not "".join(window).strip():
+                continue
+            if window in seen:
+                gone |= {at, at + 1, at + 2}
+            seen.add(window)
+        left = [line for n, line in enumerate(lines) if n not in gone]
+        kept[i] = None if text is None else "\n".join(left)
+    return kept
+
+
+def test_lines(docs):
+    found = {r.doc_id: r for r in line_dedup.line_dedup(docs).collect()}
+    expected = remaining_lines(TEXTS)
+    assert {i: found[i].text for i in expected} == expected
+    assert found[9].text == "q" and found[9].n_removed == 3
+    assert found[10].text == "" and found[0].n_lines == 0
+
+
+def test_random_lines(spark):
+    draw = np.random.default_rng(1)
+    texts = ["\n".join(draw.choice(list("abc"), draw.integers(1, 12))) for _ in range(150)]
+    found = {r.doc_id: r.text for r in line_dedup.line_dedup(table(spark, texts, False)).collect()}
+    assert found == remaining_lines(texts)
+
+
+# --- simhash
+
+
+def plain_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(nodes, linked):
+    parent = {n: n for n in nodes}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in linked:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    return {n: root(n) for n in nodes}
+
+
+def test_fingerprints_and_groups(docs):
+    found = {r.doc_id: r for r in simhash.near_dedup(docs).collect()}
+    prints = {i: plain_fingerprint(text) for i, text in enumerate(TEXTS)}
+    assert {i: found[i].fingerprint for i in prints} == {i: f"{p:016x}" for i, p in prints.items()}
+    close = [(a, b) for a in prints for b in prints if (prints[a] ^ prints[b]).bit_count() <= 2]
+    expected = plain_components(prints, close)
+    assert {i: found[i].component_id for i in prints} == expected
+
+
+@pytest.mark.parametrize("max_bits", [1, 2])
+def test_links_are_all_found_once(spark, max_bits):
+    draw = np.random.default_rng(max_bits)
+    centres = [0, (1 << 64) - 1, *map(int, draw.integers(0, 1 << 63, 6))]
+    prints = set(centres)
+    for centre in centres:
+        for _ in range(60):
+            flips = draw.choice(64, draw.integers(1, 5), replace=False)
+            prints.add(centre ^ sum(1 << int(b) for b in flips))
+    prints = sorted(prints)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    nodes = spark.createDataFrame([(p, i) for i, p in enumerate(signed)], "bits long, id long")
+    found = [tuple(sorted(r)) for r in simhash.links(nodes, max_bits).collect()]
+    expected = {
+        (i, j)
+        for i, a in enumerate(prints)
+        for j, b in enumerate(prints)
+        if i < j and (a ^ b).bit_count() <= max_bits
+    }
+    assert len(found) == len(set(found)) and set(found) == expected
+
+
+def test_components_of_chains_and_stars(spark):
+    draw = np.random.default_rng(3)
+    order = draw.permutation(60).tolist()
+    edges = list(zip(order[:30], order[1:31], strict=True))
+    edges += [(order[40], n) for n in order[41:50]] + [(order[55], order[55])]
+    links = spark.createDataFrame(edges, "a long, b long")
+    found = {r.id: r.component for r in components.components(links).collect()}
+    expected = plain_components({n for edge in edges for n in edge}, edges)
+    assert found == expected
+
+
+# --- packing
+
+
+def test_best_fit_keeps_every_item():
+    sizes = np.random.default_rng(0).integers(1, 101, 3000).tolist()
+    bins = packing.best_fit(sizes, 100)
+    assert sorted(i for b in bins for i in b) == list(range(3000))
+    assert max(sum(sizes[i] for i in b) for b in bins) <= 100
+    free = []  # the same rule by trying every bin
+    for size in sorted(sizes, reverse=True):
+        fits = [n for n in range(len(free)) if free[n] >= size]
+        if fits:
+            free[min(fits, key=free.__getitem__)] -= size
+        else:
+            free.append(100 - size)
+    assert len(bins) == len(free)
+
+
+def test_packing_places_whole_documents(docs, monkeypatch):
+    tokenizers = pytest.importorskip("tokenizers")
+    reference = tokenizers.Tokenizer.from_file(packing.public_path("byte_bpe_50k.json"))
+    reference.encode_special_tokens = True
+    for items_per_task in (packing.ITEMS_PER_TASK, 3):
+        rows = packing.pack(docs, items_per_task=items_per_task).where("doc_id is not null").collect()
+        by_doc = defaultdict(list)
+        for row in rows:
+            by_doc[row.doc_id].append(row)
+        for i, text in enumerate(TEXTS):
+            ids = [*reference.encode(text or "", add_special_tokens=False).ids, 0]
+            parts = sorted(by_doc[i], key=lambda r: r.piece)
+            assert [p.piece for p in parts] == list(range(len(parts)))
+            assert sum(p.length for p in parts) == len(ids)
+            assert all(p.length == packing.MAX_TOKENS for p in parts[1:])
+            for p in parts:
+                raw = np.array(ids[p.start : p.start + p.length], "<u4").tobytes()
+                assert p.ids_crc32 == zlib.crc32(raw)
+        check_places(packing.pack(docs, items_per_task=items_per_task).collect())
+
+
+def check_places(rows):
+    bins = defaultdict(list)
+    for row in rows:
+        bins[row.sequence_id].append((row.offset, row.length))
+    for places in bins.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= packing.MAX_TOKENS
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+def test_tokenizers_agree_and_bins_are_full(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    reference = tokenizers.Tokenizer.from_file(packing.public_path("byte_bpe_50k.json"))
+    reference.encode_special_tokens = True
+    texts = [r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    texts += ["<|endoftext|> a<|endoftext|>", "  \n\n x y '’s 12345 ٠١"]
+    encoding = packing.load_encoding()
+    for text in texts:
+        expected = reference.encode(text, add_special_tokens=False).ids
+        assert encoding.encode_to_numpy(text, disallowed_special=()).tolist() == expected
+    rows = QUERIES["op2_best_fit_packing"](spark, SF_DIR).collect()
+    check_places(rows)
+    tokens, bins = sum(r.length for r in rows), len({r.sequence_id for r in rows})
+    assert bins <= 1.005 * tokens / packing.MAX_TOKENS + 1
+
+
+# --- quality
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+def test_quality_on_held_out_rows(spark):
+    scores = QUERIES["op10_quality_classifier"](spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = scores.join(labels, "doc_id").where("held_out").toPandas()
+    good, bad = rows[rows.quality == 1], rows[rows.quality == 0]
+    assert (good.predicted == 1).mean() > 0.97
+    assert (bad.predicted == 0).mean() > 0.9
+    assert rows.score.between(0, 1).all()
+
+
+def test_quality_without_labels_and_awkward_texts(spark, docs, empty):
+    labels = spark.createDataFrame([(1, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
+    rows = quality.classify(docs, labels).collect()
+    assert len(rows) == len(TEXTS) + 1 and {r.score for r in rows} == {0.5}
+    assert quality.classify(empty, labels).count() == 0
+    for row in rows:
+        held = row.doc_id is not None and zlib.crc32(str(row.doc_id).encode()) % 5 == 0
+        assert row.held_out == held
+    both = spark.createDataFrame([(i, i % 2) for i in range(18)], "doc_id long, quality int")
+    scored = quality.classify(docs, both)
+    assert all(0 <= r.score <= 1 and (r.score >= 0.3) == r.predicted for r in scored.collect())
+    kept = quality.keep_good(docs, both)
+    assert kept.columns == docs.columns
+    assert kept.count() == scored.where("predicted = 1").count()
