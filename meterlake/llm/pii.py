@@ -188,7 +188,7 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: int) -> Column
         .when(kind == "ssn", F.concat(F.lit("9"), F.substring(same_shape(canonical, hexes), 2, 8)))
         .when(kind == "iban", same_shape(canonical, hexes, keep=2))
         .when(kind == "key_block", F.concat(F.lit("[private key "), F.substring(hexes, 1, 16), F.lit("]")))
-        .when(kind.startswith("name"), F.concat_ws(" ", given_name, family_name))
+        .when(kind.startswith("name"), F.concat_ws(" ", F.when(given.isNotNull(), given_name), family_name))
         .when(canonical.rlike("^(?:AKIA|ASIA|ghp_|gho_|xox.-)"), same_shape(canonical, hexes, keep=4))
         .when(canonical.rlike("^[0-9a-f]+$"), hex_shape(canonical, hexes))
         .otherwise(same_shape(canonical, hexes))
