@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import exact_dedup, line_dedup, packing, pii, quality, simhash
+from meterlake.llm import (
+    exact_dedup, licenses, line_dedup, neighbours, packing, pii, quality, repeats,
+    sentence_pieces, simhash,
+)
 from meterlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,15 +20,20 @@ def over_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_repeat_removal": over_documents(repeats.digest),
     "op2_best_fit_packing": over_documents(packing.pack),
     "op3_exact_dedup": over_documents(exact_dedup.exact_dedup),
+    "op4_license_scan": over_documents(licenses.license_scan),
     "op5_line_dedup": over_documents(line_dedup.digest),
     "op6_simhash_near_dedup": over_documents(simhash.near_dedup),
+    "op7_nearest_neighbours": neighbours.query,
+    "op8_sentence_pieces": over_documents(sentence_pieces.digest),
     "op9_pii_surrogates": over_documents(pii.digest),
     "op10_quality_classifier": quality.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op4_license_scan": licenses.oracle_sql(),
     "op5_line_dedup": line_dedup.ORACLE_SQL,
 }
