@@ -8,7 +8,7 @@ of `LENGTH` bytes are kept, in buckets that hold every suffix they can share a p
 2. The repeated anchor strings go into a Bloom filter of bounded size. A second reading of the
    documents emits the anchors that pass, with a hash of what stands around them, their
    context; where one anchor string has several contexts, also with its bytes.
-3. All anchors with one string meet. Places with an equal context are one leaf. For anchor
+3. All anchors with one string meet (hot ones by the string and what stands on one side). Places with an equal context are one leaf. For anchor
    strings with several contexts the windows are put in order of content, which makes an
    enhanced suffix array: buckets of suffixes that agree in their first `LENGTH` bytes, sorted
    by what follows, with the lengths of their common prefixes. A bucket whose members are all
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from meterlake.llm.common import stored, text_of
@@ -38,14 +39,22 @@ SPAN = LENGTH - GRAM + 1
 # Context of an anchor: every window around it, and the byte before the first.
 LEFT = SPAN
 CONTEXT = LEFT + LENGTH
-# 32 MB for each of two filters: the bound of what is broadcast.
+# What a context has at most behind a window.
+TAIL = CONTEXT - LENGTH - 1
+# Shared by equal windows on the one side of an anchor or the other.
+SHARED_LEFT = (LENGTH - GRAM) // 2
+SHARED_RIGHT = LENGTH - SHARED_LEFT
+# 32 MB for each of three filters: the bound of what is broadcast.
 MAX_FILTER_BITS = 1 << 28
 BITS_PER_GRAM = 32
 BLOCK_BITS = 32768
 # Texts are hashed in parts of so many bytes.
-PART_BYTES = 1 << 20
-# Contexts worked on at a time in a task; an anchor string is never divided.
-CONTEXTS_AT_ONCE = 20_000
+PART_BYTES = 1 << 18
+# Contexts worked on at a time in a task; an anchor string is not divided among them.
+CONTEXTS_AT_ONCE = 4000
+ROWS_AT_ONCE = 4000
+# An anchor string with more places than this is hot: see `split_keys`.
+HOT_PLACES = 500
 
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -104,60 +113,93 @@ def running(values: np.ndarray, width: int, best) -> np.ndarray:
     return best(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def anchors(grams: np.ndarray) -> np.ndarray:
-    """Places whose gram is the smallest of some window; all of them if several are equal."""
+def anchors(grams: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Places whose gram is the smallest of some `whole` window; all if several are equal."""
     if len(grams) < SPAN:
         return np.empty(0, np.int64)
     smallest = running(grams, SPAN, np.minimum)
+    smallest = np.where(whole[: len(smallest)], smallest, np.uint64(0))
     edge = np.zeros(SPAN - 1, np.uint64)
     largest = running(np.concatenate([edge, smallest, edge]), SPAN, np.maximum)
     return np.flatnonzero(largest == grams)
 
 
-def anchor_table(raw: np.ndarray):
-    """Place, gram hash, context hash, and lengths to the left and right of every anchor.
+def anchor_table(raw: np.ndarray, starts: np.ndarray):
+    """Text, place, gram hash, context hash, and lengths to the left and right of every anchor.
 
-    Long texts are read in overlapping parts, wide enough for every window and context.
+    `raw` holds texts one after the other, `starts` where they begin; no window, gram or
+    context crosses a border.
     """
-    if len(raw) <= PART_BYTES:
-        return anchor_part(raw)
-    parts = []
-    for start in range(0, len(raw), PART_BYTES):
-        low = max(0, start - 2 * CONTEXT)
-        at, *rest = anchor_part(raw[low : start + PART_BYTES + 2 * CONTEXT])
-        own = (at + low >= start) & (at + low < start + PART_BYTES)
-        parts.append([(at + low)[own], *(column[own] for column in rest)])
-    return [np.concatenate(column) for column in zip(*parts, strict=True)]
-
-
-def anchor_part(raw: np.ndarray):
     hashes = Hashes(raw)
     grams = hashes.grams()
-    at = anchors(grams)
-    left, right = np.minimum(at, LEFT), np.minimum(len(raw) - at, LENGTH)
+    sizes = np.diff([*starts, len(raw)])
+    at = anchors(grams, ends_of_windows(starts, sizes))
+    text = np.searchsorted(starts, at, side="right") - 1
+    place = at - starts[text]
+    left, right = np.minimum(place, LEFT), np.minimum(sizes[text] - place, LENGTH)
     around = hashes.of(at - left, at + right)
-    return at, grams[at], mix(around + (left * 256 + right).astype(np.uint64)), left, right
+    context = mix(around + (left * 256 + right).astype(np.uint64))
+    return text, place, grams[at], context, left, right
 
 
-def raw_of(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode(), np.uint8)
+def ends_of_windows(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For every byte, whether a window that starts there ends in the same text."""
+    last = np.repeat(starts + sizes, sizes)
+    return np.arange(len(last)) + LENGTH <= last
+
+
+def parts_of(raw: bytes) -> Iterator[tuple[int, int, int]]:
+    """Parts of a long text: where its own anchors begin and end, and the margin before."""
+    for start in range(0, max(1, len(raw)), PART_BYTES):
+        yield start, min(start + PART_BYTES, len(raw)), min(start, 2 * CONTEXT)
+
+
+def anchors_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of `anchor_table`, for about `PART_BYTES` at a time.
+
+    Longer texts are read in parts that overlap enough for every window and context.
+    """
+    pending, numbers, size = [], [], 0
+    for number, raw in enumerate(texts):
+        if len(raw) <= PART_BYTES:
+            pending.append(raw)
+            numbers.append(number)
+            size += len(raw)
+        else:
+            for start, end, margin in parts_of(raw):
+                low = start - margin
+                found = table_of([raw[low : end + 2 * CONTEXT]])
+                place = found[1] + low
+                own = (place >= start) & (place < end)
+                yield np.full(own.sum(), number), place[own], *(c[own] for c in found[2:])
+        if size >= PART_BYTES or number == len(texts) - 1:
+            if pending:
+                text, *rest = table_of(pending)
+                yield np.array(numbers)[text], *rest
+            pending, numbers, size = [], [], 0
+
+
+def table_of(texts: list[bytes]):
+    sizes = np.array([len(raw) for raw in texts])
+    return anchor_table(np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes) - sizes)
+
+
+def encoded(column: pa.Array) -> list[bytes]:
+    return column.cast(pa.binary()).to_pylist()
 
 
 # --- the two readings of the documents
 
 
 def repeated_grams(rows: DataFrame) -> DataFrame:
-    """`gram, diverse` of the anchor strings that stand at two places or more. They are
+    """`gram, places, diverse` of the anchor strings that stand at two places or more. They are
     counted in each task before they meet."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [anchor_table(raw_of(text))[1:3] for text in batch.column("text").to_pylist()]
-            columns = [
-                pa.array(np.concatenate([row[i] for row in found] or [[]]).astype(np.uint64).view(np.int64))
-                for i in (0, 1)
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["gram", "context"])
+            for _, _, grams, contexts, _, _ in anchors_of(encoded(batch.column("text"))):
+                columns = [pa.array(c.view(np.int64)) for c in (grams, contexts)]
+                yield pa.RecordBatch.from_arrays(columns, ["gram", "context"])
 
     places = rows.select("text").mapInArrow(read, "gram long, context long")
     return (
@@ -167,7 +209,6 @@ def repeated_grams(rows: DataFrame) -> DataFrame:
             (F.min("context") != F.max("context")).alias("diverse"),
         )
         .where("places > 1")
-        .select("gram", "diverse")
     )
 
 
@@ -196,42 +237,62 @@ PLACE_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.in
 PLACE_NAMES = [part.split()[0] for part in PLACE.split(", ")]
 
 
-def repeated_places(rows: DataFrame, repeated: np.ndarray, diverse: np.ndarray) -> DataFrame:
-    """The anchors that pass the filter. Bytes come along where the anchor string may have
-    several contexts, once for each context in a batch."""
-    filters = rows.sparkSession.sparkContext.broadcast((repeated, diverse))
+def split_keys(grams, contents, at, left, right):
+    """Two keys in place of a hot anchor string, by the bytes to its right and to its left.
+
+    A window that begins at most `SHARED_LEFT` bytes before the anchor holds `SHARED_RIGHT`
+    bytes from it on, any other window more than `SHARED_LEFT` bytes before it: equal windows
+    share one of the keys. A line in very many documents is so divided by what stands around.
+    """
+    keys = []
+    for i in range(len(at)):
+        content, place = contents[i], at[i]
+        sides = (
+            content[place : place + min(right[i], SHARED_RIGHT)],
+            content[place - min(left[i], SHARED_LEFT) : place],
+        )
+        keys.append([xxhash.xxh64_intdigest(side, n) for n, side in enumerate(sides)])
+    return mix(np.array(keys, np.uint64).reshape(-1, 2) + grams[:, None])
+
+
+def repeated_places(rows: DataFrame, *grams: np.ndarray) -> DataFrame:
+    """The anchors that pass the first filter. Bytes come along where the second says that
+    the anchor string may have several contexts, once for each context in a batch. Those that
+    the third one knows as hot stand there under each of their `split_keys`."""
+    filters = rows.sparkSession.sparkContext.broadcast(grams)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated, diverse = filters.value
+        repeated, diverse, hot = filters.value
         for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
-            stretches: list[bytes | None] = []
+            texts, doc_ids = encoded(batch.column("text")), batch.column("doc_id").to_numpy()
             seen = set()
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = raw_of(text)
-                at, grams, contexts, left, right = anchor_table(raw)
-                kept = passes(repeated, grams)
-                at, grams, contexts = at[kept], grams[kept], contexts[kept]
-                left, right = left[kept], right[kept]
-                content, several = raw.tobytes(), passes(diverse, grams)
-                for i, context in enumerate(contexts.tolist()):
-                    if several[i] and context not in seen:
-                        seen.add(context)
-                        stretches.append(content[at[i] - left[i] : at[i] + right[i]])
-                    else:
-                        stretches.append(None)
-                values = (
-                    grams.view(np.int64), contexts.view(np.int64), np.full(len(at), doc_id), at,
-                    left, right,
-                )
-                for column, value in zip(columns, values, strict=True):
-                    column.append(value)
-            arrays = [
-                pa.array(np.concatenate(c).astype(np.int64) if c else [], pa.int64()).cast(kind)
-                for c, kind in zip(columns, PLACE_TYPES[:6], strict=True)
-            ]
-            arrays.append(pa.array(stretches, pa.binary()))
-            yield pa.RecordBatch.from_arrays(arrays, PLACE_NAMES)
+            for found in anchors_of(texts):
+                kept = passes(repeated, found[2])
+                text, at, grams, contexts, left, right = (column[kept] for column in found)
+                several, many = passes(diverse, grams), np.flatnonzero(passes(hot, grams))
+                if len(many):
+                    keys = split_keys(
+                        grams[many], [texts[n] for n in text[many].tolist()], at[many].tolist(),
+                        left[many].tolist(), right[many].tolist(),
+                    )
+                    grams[many] = keys[:, 0]
+                    twice = np.concatenate([np.arange(len(at)), many])
+                    text, at, contexts, left, right, several = (
+                        column[twice] for column in (text, at, contexts, left, right, several)
+                    )
+                    grams = np.concatenate([grams, keys[:, 1]])
+                stretches: list[bytes | None] = [None] * len(at)
+                for i in np.flatnonzero(several).tolist():
+                    if (known := (int(grams[i]), int(contexts[i]))) not in seen:
+                        seen.add(known)
+                        stretches[i] = texts[text[i]][at[i] - left[i] : at[i] + right[i]]
+                values = grams.view(np.int64), contexts.view(np.int64), doc_ids[text], at, left, right
+                arrays = [
+                    pa.array(value.astype(np.int64)).cast(kind)
+                    for value, kind in zip(values, PLACE_TYPES[:6], strict=True)
+                ]
+                arrays.append(pa.array(stretches, pa.binary()))
+                yield pa.RecordBatch.from_arrays(arrays, PLACE_NAMES)
 
     return rows.mapInArrow(read, PLACE)
 
@@ -239,48 +300,48 @@ def repeated_places(rows: DataFrame, repeated: np.ndarray, diverse: np.ndarray)
 # --- groups of places
 
 
-def intervals(tails: list[bytes], ranks: list[int]) -> Iterator[tuple[int, list[int], int]]:
-    """The common-prefix intervals of a bucket, inner before outer: depth beyond the first
-    `LENGTH` bytes, members, and the member with the smallest rank.
+def intervals(
+    common: list[int], ranks: list[int]
+) -> Iterator[tuple[int, int, int, int, list[int]]]:
+    """The common-prefix intervals of a suffix array, inner before outer.
 
-    `tails` is what follows the first `LENGTH` bytes. Members whose first places are
-    settled inside an inner interval appear in the outer one too: members are all places.
+    `common[i]` is the length of the prefix shared with the suffix before, -1 where nothing
+    is. Of each interval: its depth, its first suffix and the one after its last (all places
+    of the string are between), the one with the smallest rank, and those that are no longer
+    the smallest of their interval here, their deepest one with an earlier place.
     """
-    order = sorted(range(len(tails)), key=lambda i: tails[i])
-    stack: list[tuple[int, list[int]]] = [(-1, [])]
-    pending = [order[0]]
-    for n in range(1, len(order) + 1):
-        depth = common_prefix(tails[order[n - 1]], tails[order[n]]) if n < len(order) else -1
-        while stack[-1][0] > depth:
-            top, members = stack.pop()
-            members += pending
-            yield top, members, min(members, key=ranks.__getitem__)
-            pending = members
-        if depth >= 0:
-            if stack[-1][0] == depth:
-                stack[-1][1].extend(pending)
-            else:
-                stack.append((depth, pending))
-            pending = [order[n]]
-
-
-def common_prefix(a: bytes, b: bytes) -> int:
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    low, high = 0, n
-    while high - low > 1:
-        middle = (low + high) // 2
-        if a[:middle] == b[:middle]:
-            low = middle
+    stack: list[list] = []
+    for i in range(1, len(common) + 1):
+        depth = common[i] if i < len(common) else -1
+        low = best = i - 1
+        while stack and stack[-1][0] > depth:
+            inner, low, other, later = stack.pop()
+            best, lost = (best, other) if ranks[best] < ranks[other] else (other, best)
+            later.append(lost)
+            yield inner, low, i, best, later
+        if depth < 0:
+            continue
+        if stack and stack[-1][0] == depth:
+            other = stack[-1][2]
+            best, lost = (best, other) if ranks[best] < ranks[other] else (other, best)
+            stack[-1][2] = best
+            stack[-1][3].append(lost)
         else:
-            high = middle
-    return low
+            stack.append([depth, low, best, []])
 
 
 def windows_of(table: np.ndarray, left: np.ndarray, right: np.ndarray, gram: np.ndarray):
     """Windows whose smallest gram is the anchor: row, start column, content hash, the byte
     before (256 at the start of a document), and whether it is the first of its row."""
+    blocks = [
+        windows_in(table[a : a + ROWS_AT_ONCE], left[a : a + ROWS_AT_ONCE],
+                   right[a : a + ROWS_AT_ONCE], gram[a : a + ROWS_AT_ONCE], a)
+        for a in range(0, len(table), ROWS_AT_ONCE)
+    ]
+    return [np.concatenate(column) for column in zip(*blocks, strict=True)]
+
+
+def windows_in(table, left, right, gram, first_row: int):
     hashes = Hashes(table)
     grams = hashes.grams()
     column = np.arange(grams.shape[1])
@@ -296,47 +357,56 @@ def windows_of(table: np.ndarray, left: np.ndarray, right: np.ndarray, gram: np.
     content = mix(hashes.of(start, start + LENGTH, row) + gram[row])
     at_start = start == LEFT - left[row]
     byte_before = np.where(at_start, 256, table[row, start - 1].astype(np.int64))
-    return row, start, content, byte_before, start == first[row]
+    return (
+        (row + first_row).astype(np.int32), start.astype(np.int16), content,
+        byte_before.astype(np.int16), start == first[row],
+    )
 
 
-def context_repeats(leaves: dict) -> Iterator[tuple[int, list[tuple[int, int]], int]]:
-    """Groups among the contexts of some anchor strings: length, members as (leaf, column of
-    the start), and the number of the first member."""
-    size = len(leaves["bytes"])
-    table = np.zeros((size, CONTEXT), np.uint8)
+def context_repeats(leaves: dict):
+    """The suffix array of left-diverse windows among the contexts of some anchor strings:
+    leaf and start column of each suffix, common prefixes, and ranks by place."""
+    # Wide enough for what follows the last window; nothing is zero.
+    table = np.zeros((len(leaves["bytes"]), CONTEXT + TAIL), np.uint8)
     for i, (content, left) in enumerate(zip(leaves["bytes"], leaves["left"].tolist(), strict=True)):
         table[i, LEFT - left : LEFT - left + len(content)] = np.frombuffer(content, np.uint8)
     gram = leaves["gram"].view(np.uint64)
-    row, start, content, before, leading = windows_of(table, leaves["left"], leaves["right"], gram)
+    row, start, content, before, leading = windows_of(
+        table[:, :CONTEXT], leaves["left"], leaves["right"], gram
+    )
     order = np.argsort(content, kind="stable")
     content = content[order]
-    head = np.flatnonzero(np.concatenate([[True], content[1:] != content[:-1]])) if len(order) else []
+    new = np.concatenate([[True], content[1:] != content[:-1]])[: len(content)]
+    head = np.flatnonzero(new)
     if not len(head):
-        return
+        return order, order, [], []
     sizes = np.diff([*head, len(order)])
     before, leading = before[order], leading[order]
     alike = np.minimum.reduceat(before, head) == np.maximum.reduceat(before, head)
-    # Left-extension diversity; a document's start differs from any other.
+    # Left-extension diversity; the start of a document differs from any other byte.
     diverse = ~alike | (before[head] == 256) | np.logical_or.reduceat(leading, head)
-    for n in np.flatnonzero((sizes > 1) & diverse).tolist():
-        bucket = order[head[n] : head[n] + sizes[n]]
-        rows, starts = row[bucket].tolist(), start[bucket].tolist()
-        ends = (LEFT + leaves["right"][row[bucket]]).tolist()
-        tails = [
-            table[r, s + LENGTH : e].tobytes() for r, s, e in zip(rows, starts, ends, strict=True)
-        ]
-        places = list(zip(leaves["doc_id"][rows].tolist(), (leaves["at"][rows] + starts).tolist(), strict=True))
-        ranks = rank_of(places)
-        members = list(zip(rows, starts, strict=True))
-        for depth, inside, first in intervals(tails, ranks):
-            yield LENGTH + depth, [members[i] for i in inside], inside.index(first)
-
-
-def rank_of(places: list) -> list[int]:
-    ranks = [0] * len(places)
-    for rank, i in enumerate(sorted(range(len(places)), key=places.__getitem__)):
-        ranks[i] = rank
-    return ranks
+    wanted = np.repeat((sizes > 1) & diverse, sizes)
+    bucket = np.repeat(np.arange(len(head)), sizes)[wanted]
+    row, start = row[order[wanted]], start[order[wanted]]
+    length = (LEFT + leaves["right"][row] - LENGTH - start).astype(np.uint8)
+    at = row.astype(np.int64) * table.shape[1] + start + LENGTH
+    tails = np.lib.stride_tricks.sliding_window_view(table.ravel(), TAIL)[at]
+    key = np.concatenate(
+        [bucket.astype(">u8").view(np.uint8).reshape(-1, 8), tails, length[:, None]],
+        axis=1,
+    )
+    array = np.argsort(np.ascontiguousarray(key).view(f"V{key.shape[1]}").ravel(), kind="stable")
+    row, start, bucket = row[array], start[array], bucket[array]
+    tails, length = tails[array], length[array]
+    common = np.full(len(row), -1)
+    if len(row) > 1:
+        differs = tails[1:] != tails[:-1]
+        agree = np.where(differs.any(1), differs.argmax(1), TAIL)
+        shared = np.minimum(agree, np.minimum(length[1:], length[:-1]))
+        common[1:] = np.where(bucket[1:] == bucket[:-1], shared, -1)
+    ranks = np.empty(len(row), np.int64)
+    ranks[np.lexsort([leaves["at"][row] + start, leaves["doc_id"][row]])] = np.arange(len(row))
+    return row, start, common.tolist(), ranks.tolist()
 
 
 def covered_in(places: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -374,21 +444,19 @@ def covered_in(places: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
             "right": right[here].astype(np.int64), "at": at[here].astype(np.int64) - LEFT,
             "bytes": content.take(pa.array(holder[which])).to_pylist(),
         }
-        found = []
-        for length, members, first in context_repeats(leaves):
-            # A window with its smallest gram twice is a member by either anchor.
-            own = place_of(leaves, *members[first])
-            for leaf, start in members:
-                if place_of(leaves, leaf, start) != own:
-                    found.append((leaf, start, length))
+        row, start, common, ranks = context_repeats(leaves)
+        doc, begin = leaves["doc_id"][row], leaves["at"][row] + start
+        found = [
+            (late, best, depth)
+            for depth, _, _, best, later in intervals(common, ranks)
+            for late in later
+        ]
         if found:
-            leaf, start, length = np.array(found).T
-            begins = leaves["at"][leaf] + start
-            yield leaves["doc_id"][leaf], begins, begins + length
-
-
-def place_of(leaves: dict, leaf: int, start: int) -> tuple[int, int]:
-    return leaves["doc_id"][leaf], leaves["at"][leaf] + start
+            late, best, depth = np.array(found).T
+            # A window with its smallest gram twice is there by either anchor.
+            other = (doc[late] != doc[best]) | (begin[late] != begin[best])
+            late, depth = late[other], depth[other]
+            yield doc[late], begin[late], begin[late] + LENGTH + depth
 
 
 def whole_strings(strings: np.ndarray, size: int) -> Iterator[slice]:
@@ -440,9 +508,9 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
     rows = rows.where(F.octet_length("text") >= LENGTH)
     repeated = stored(repeated_grams(rows), "grams")
     bits = min(MAX_FILTER_BITS, BLOCK_BITS * (1 + repeated.count() * BITS_PER_GRAM // BLOCK_BITS))
-    places = repeated_places(
-        rows, bloom_filter(repeated, bits), bloom_filter(repeated.where("diverse"), bits)
-    )
+    diverse = repeated.where("diverse")
+    hot = diverse.where(F.col("places") > HOT_PLACES)
+    places = repeated_places(rows, *(bloom_filter(grams, bits) for grams in (repeated, diverse, hot)))
     return (
         covered(places)
         .groupBy("doc_id")

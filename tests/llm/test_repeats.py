@@ -82,13 +82,16 @@ def test_empty_table(spark):
 
 
 def test_long_texts_are_read_in_parts(monkeypatch):
-    raw = np.frombuffer(words(np.random.default_rng(2), 3000).encode(), np.uint8)
-    whole = repeats.anchor_table(raw)
+    draw = np.random.default_rng(2)
+    texts = [words(draw, n).encode() for n in (30, 3000, 5, 900, 40)] + [b""]
+    whole = [np.concatenate(c) for c in zip(*repeats.anchors_of(texts), strict=True)]
     monkeypatch.setattr(repeats, "PART_BYTES", 1000)
-    assert all((a == b).all() for a, b in zip(whole, repeats.anchor_table(raw), strict=True))
+    parts = [np.concatenate(c) for c in zip(*repeats.anchors_of(texts), strict=True)]
+    assert sorted(zip(*whole, strict=True)) == sorted(zip(*parts, strict=True))
 
 
 def test_intervals_hold_all_places():
-    tails = [b"abc", b"abd", b"abc", b"x", b"", b"abcz"]
-    got = [(d, sorted(m), f) for d, m, f in repeats.intervals(tails, [5, 1, 4, 3, 0, 2])]
-    assert got == [(3, [0, 2, 5], 5), (2, [0, 1, 2, 5], 1), (0, [0, 1, 2, 3, 4, 5], 4)]
+    """Suffixes '', abc, abc, abcz, abd, x; ranks by place."""
+    common, ranks = [-1, 0, 3, 3, 2, 0], [0, 5, 4, 2, 1, 3]
+    got = [(d, low, high, best, sorted(l)) for d, low, high, best, l in repeats.intervals(common, ranks)]
+    assert got == [(3, 1, 4, 3, [1, 2]), (2, 1, 5, 4, [3]), (0, 0, 6, 0, [4, 5])]
