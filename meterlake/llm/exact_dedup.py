@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterlake.llm.common import text_of
+from meterlake.llm.common import stored, text_of
 
 # Bits in one block, as `bitmap_construct_agg` makes them: one row of 4 kB.
 BLOCK_BITS = 32768
@@ -91,10 +91,14 @@ def repeated_bits(rows: DataFrame, blocks: int) -> DataFrame:
 
 
 def grouped(rows: DataFrame) -> DataFrame:
-    """Exact groups of the possible repeats. Counts combine before the shuffle; the join back
-    on a hot text is split by adaptive execution."""
-    groups = rows.groupBy("text_sha256").agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
+    """Exact groups of the possible repeats. Counts combine before the shuffle. The groups are
+    stored, so that both sides of the join back are shuffled for it and adaptive execution can
+    split a hot text."""
+    groups = stored(
+        rows.groupBy("text_sha256").agg(
+            F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
+        ),
+        "groups",
     )
     return rows.join(groups, "text_sha256").select(
         "doc_id", "keep_id", "group_size",
