@@ -29,7 +29,10 @@ CYRILLIC = ("ба", "бе", "бо", "да", "де", "до", "ка", "ке", "к
             "мо", "на", "не", "но", "ра", "ре", "ро", "са", "се", "со", "та", "те", "то", "ва",
             "ве", "во", "зи", "ми")
 
-_TITLE = "|".join((*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES))
+TITLES = (*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES)
+_TITLE = "|".join(TITLES)
+# What names a secret; the secret follows.
+_LABEL = r"(?i:password|passwd|secret|token|api_?key|access_key)[ ]{0,2}[=:][ ]{0,2}[\"']?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _WORD = r"\p{Lu}[\p{Ll}'’-]+"
 PATTERNS = (
@@ -43,17 +46,24 @@ PATTERNS = (
     r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z\d]{4}){3,7}(?: ?[A-Z\d]{1,3})?(?![\p{L}\d])",
     r"(?<![\p{L}\d])(?:AKIA|ASIA)[A-Z\d]{16}(?![\p{L}\d])",
     r"(?<![\p{L}\d])(?:ghp_|gho_|sk-|xox[abp]-)[A-Za-z\d_\-]{16,}",
-    r"(?<=(?i:password|passwd|secret|token|api_key|apikey|access_key)[ ]{0,2}[=:][ ]{0,2}[\"']?)"
-    r"[^\s\"'=:|&#%$*]{6,}",
+    rf"(?<![\p{{L}}]){_LABEL}[^\s\"'=:|&#%$*]{{6,}}",
     r"(?<![\p{L}\d])[0-9a-f]{32,}(?![\p{L}\d])",
     rf"(?<![\p{{L}}\d])(?:{_TITLE})\.? {_WORD}(?: {_WORD})?",
 )
 ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS)
-# A document without any of these holds no entity; much cheaper than the patterns.
-HINT = (
-    r"[\d@]|(?i:password|passwd|secret|token|api_?key|access_key)|AKIA|ASIA|ghp_|gho_|sk-|xox"
-    rf"|[a-f]{{32}}|PRIVATE KEY|(?:{_TITLE})\.? \p{{Lu}}"
-)
+# Text without any of these holds no entity; much cheaper than the patterns.
+_HINTS = ("PRIVATE KEY", "AKIA", "ASIA", "ghp_", "gho_", "sk-", "xox")
+_LABEL_HINTS = ("passw", "secret", "token", "key")
+
+
+def may_hold(text: Column) -> Column:
+    hints = [text.contains(word) for word in (*_HINTS, *(f"{t} " for t in TITLES), *(f"{t}. " for t in TITLES))]
+    lower = F.lower(text)
+    labels = [lower.contains(word) for word in _LABEL_HINTS]
+    found = text.rlike("[0-9@]")
+    for hint in (*hints, *labels):
+        found |= hint
+    return found
 
 
 def kind_of(value: Column) -> Column:
@@ -61,6 +71,7 @@ def kind_of(value: Column) -> Column:
     digits = F.length(F.regexp_replace(value, r"\D", ""))
     return (
         F.when(value.startswith("-----BEGIN"), "key_block")
+        .when(value.rlike(f"^{_LABEL}"), "secret")
         .when(value.rlike(r"^[^@\s]+@[A-Za-z0-9.\-]+$"), "email")
         .when(value.rlike(r"^\d+(?:\.\d+){3}$"), "ipv4")
         .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
@@ -82,7 +93,7 @@ def canonical_of(kind: Column, value: Column) -> Column:
         .when(kind == "phone", F.regexp_replace(value, r"[^+\d]", ""))
         .when(kind == "iban", F.regexp_replace(value, " ", ""))
         .when(kind.startswith("name"), F.regexp_replace(value, r"^\p{L}+\.? ", ""))
-        .otherwise(value)
+        .otherwise(F.regexp_replace(value, f"^{_LABEL}", ""))
     )
 
 
@@ -222,7 +233,7 @@ def in_format_of(value: Column, kind: Column, made: Column) -> Column:
     return (
         F.when(kind.isin("phone", "card", "ssn"), longer)
         .when(kind.startswith("name"), F.concat(F.regexp_extract(value, r"^\p{L}+\.? ", 0), made))
-        .otherwise(made)
+        .otherwise(F.concat(F.regexp_extract(value, f"^(?:{_LABEL})?", 0), made))
     )
 
 
@@ -272,10 +283,12 @@ def redact(docs: DataFrame, key: str = KEY) -> DataFrame:
     table gives no rows.
     """
     rows = docs.drop("n_entities")
-    hit = F.coalesce(F.col("text").rlike(HINT) & F.col("text").rlike(ANY), F.lit(False))
+    hit = F.coalesce(may_hold(F.col("text")) & F.col("text").rlike(ANY), F.lit(False))
     clean = rows.where(~hit).withColumn("n_entities", F.lit(0).cast("long"))
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    private = rows.where(hit).withColumn("__key", F.md5(F.concat_ws(":", id_text, "text")))
+    private = stored(
+        rows.where(hit).withColumn("__key", F.md5(F.concat_ws(":", id_text, "text"))), "private"
+    )
     found = stored(entities(private.select("__key", "text")).distinct(), "occurrences")
     replaced = (
         found.join(assign(found, key), ["kind", "canonical"])
