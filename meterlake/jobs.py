@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: `jobs.py ingest|train|score|alert|report|publish|compact [options]`."""
+"""Jobs for spark-submit: `jobs.py ingest|train|score|alert|windows|report|forecast|publish|compact [options]`."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import functions as F
 
 from meterlake import schemas, sinks
-from meterlake.operators import alerts, shape
+from meterlake.operators import alerts, report as reports, running, shape
 from meterlake.plans import dashboard, model as power_model
 from meterlake.session import build_session
 from meterlake.sources import files, kafka
@@ -24,8 +24,9 @@ def ingest(spark, args) -> None:
     """Keep the lake up to date with the readings topic."""
     messages = read_topic(spark, args, "earliest")
     query = streams.start_ingest(
-        messages, args.lake, args.checkpoint, files_per_date=args.files_per_date
-    )
+        messages, args.lake, args.checkpoint, trigger(args, streams.INGEST_EVERY),
+        args.files_per_date,
+    )
     query.awaitTermination()
 
 
@@ -43,34 +44,63 @@ def score(spark, args) -> str | None:
     if model is None:
         return f"no model at {args.model}"
     messages = read_topic(spark, args)
-    streams.start_scoring(messages, model, args.predictions, args.checkpoint).awaitTermination()
+    query = streams.start_scoring(
+        messages, model, args.predictions, args.checkpoint, trigger(args, streams.SCORE_EVERY)
+    )
+    query.awaitTermination()
 
 
-def alert(spark, args) -> None:
+def alert(spark, args) -> str | None:
     """Raise over-voltage alerts on their own topic."""
     messages = read_topic(spark, args)
     rules = [alerts.OverVoltage()]
-    raised = shape.to_messages(alerts.run_rules(streams.cleaned_stream(messages), rules))
-    writer = kafka.stream_to_topic(raised, args.servers, args.alerts_topic)
-    writer = writer.option("checkpointLocation", args.checkpoint).trigger(**streams.SCORE_EVERY)
     try:
-        writer.start().awaitTermination()
+        queries = streams.start_alerts(
+            messages, rules, None, args.checkpoint, trigger(args, streams.SCORE_EVERY),
+            lambda raised: kafka.stream_to_topic(raised, args.servers, args.alerts_topic),
+        )
+        failed = streams.wait_for_all(queries)
     finally:
         alerts.finish_rules(rules)
+    return f"{len(failed)} alert rules failed" if failed else None
+
+
+def windows(spark, args) -> None:
+    """Keep energy per meter and window up to date, late readings included."""
+    messages = read_topic(spark, args, "earliest")
+    query = streams.start_window_energy(
+        messages, args.windows, args.checkpoint, args.length, args.digits,
+        trigger(args, streams.INGEST_EVERY),
+    )
+    query.awaitTermination()
 
 
 def report(spark, args) -> None:
-    """Print the dashboard's figures."""
+    """Print the dashboard's figures, or store them in full with --out."""
     as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
-    for name, table in dashboard.tables(spark, args.lake, args.predictions, as_of).items():
-        print(name)
-        table.show(args.rows, truncate=False)
+    found = dashboard.tables(spark, args.lake, args.predictions, as_of, args.skip_corrupt)
+    for name, table in found.items():
+        if args.out:
+            table.write.mode("overwrite").parquet(f"{args.out}/{name}")
+        else:
+            print(name)
+            table.show(args.rows, truncate=False)
+
+
+def forecast(spark, args) -> None:
+    """Store the expected energy of the month per meter and date."""
+    rows = reports.month_forecast(files.read_lake(spark, args.lake), args.digits)
+    rows.write.mode("overwrite").parquet(args.out)
 
 
 def publish(spark, args) -> None:
-    """Send historical readings to the topic, stamped with the time of sending."""
+    """Send historical readings to the topic, stamped as if each meter sent one per interval
+    from --start on, or with their own times."""
     history = files.read_history(spark, args.history)
-    records = shape.nest_history(history, args.metrics, sent_at=F.current_timestamp())
+    if not args.keep_times:
+        start = F.lit(args.start).cast("timestamp") if args.start else F.current_timestamp()
+        history = running.stamped(history, start, args.interval)
+    records = shape.nest_history(history, args.metrics)
     kafka.write_topic(shape.to_messages(records), args.servers, args.topic)
 
 
@@ -79,6 +109,10 @@ def compact(spark, args) -> None:
     sinks.compact_partition(spark, args.lake, args.target, args.date)
 
 
+def trigger(args, every: dict) -> dict:
+    return streams.ONCE if args.once else every
+
+
 def parser() -> argparse.ArgumentParser:
     commands = argparse.ArgumentParser(description=__doc__)
     sub = commands.add_subparsers(required=True)
@@ -96,11 +130,13 @@ def parser() -> argparse.ArgumentParser:
         if reads:
             cmd.add_argument("--max-offsets", type=int, help="messages per micro-batch")
             cmd.add_argument("--max-records-per-task", type=int)
+            cmd.add_argument("--once", action="store_true", help="stop after what is there now")
         return cmd
 
     command(ingest, "lake", "checkpoint", reads=True).add_argument(
-        "--files-per-date", type=int, help="most files a micro-batch adds to a date"
-    )
+        "--files-per-date", type=int, default=streams.FILES_PER_DATE,
+        help="most files a micro-batch adds to a date; 0 for no shuffle",
+    )
     command(train, "lake", "model")
     command(score, "model", "predictions", "checkpoint", reads=True)
     command(alert, "checkpoint", reads=True).add_argument(
@@ -109,9 +145,17 @@ def parser() -> argparse.ArgumentParser:
     cmd = command(report, "lake", "predictions")
     cmd.add_argument("--as-of", help="UTC time that counts as now")
     cmd.add_argument("--rows", type=int, default=20, help="rows to print per table")
-    command(publish, "history", writes=True).add_argument(
-        "--metrics", nargs="*", default=schemas.METRICS, choices=schemas.METRICS
-    )
+    cmd.add_argument("--out", help="folder for the whole tables, as Parquet")
+    cmd.add_argument("--skip-corrupt", action="store_true")
+    cmd = command(windows, "windows", "checkpoint", reads=True)
+    cmd.add_argument("--length", default="3 days")
+    cmd.add_argument("--digits", type=int, help="decimals of power, for exact sums")
+    command(forecast, "lake", "out").add_argument("--digits", type=int)
+    cmd = command(publish, "history", writes=True)
+    cmd.add_argument("--metrics", nargs="*", default=schemas.METRICS, choices=schemas.METRICS)
+    cmd.add_argument("--start", help="UTC time of the first message, default now")
+    cmd.add_argument("--interval", type=float, default=1.0, help="seconds between messages")
+    cmd.add_argument("--keep-times", action="store_true")
     command(compact, "lake", "target", "date")
     return commands
 

@@ -8,14 +8,15 @@ from meterlake.functions import measures, metering
 
 
 def latest_per_meter(readings: DataFrame, tie_break: tuple[str, ...] = ()) -> DataFrame:
-    """The newest whole row of each meter.
+    """The newest whole row of each meter; rows without a meter belong to none.
 
     Spark keeps one row per meter in each task before the shuffle, so a meter with very many
     rows is no larger than others after it.
     """
     newest_first = Window.partitionBy("meter_id").orderBy(*_newest_first(tie_break))
     return (
-        readings.withColumn("_rank", F.row_number().over(newest_first))
+        readings.where(F.col("meter_id").isNotNull())
+        .withColumn("_rank", F.row_number().over(newest_first))
         .where(F.col("_rank") == 1)
         .drop("_rank")
     )
@@ -38,7 +39,8 @@ def grid_overview(
 def energy_by_meter(readings: DataFrame) -> DataFrame:
     """Counter state per meter, largest first, meters without one last."""
     return (
-        readings.groupBy("meter_id")
+        readings.where(F.col("meter_id").isNotNull())
+        .groupBy("meter_id")
         .agg(F.max(measures.without_nan(F.col("energy"))).alias("energy_kwh"))
         .orderBy(F.desc_nulls_last("energy_kwh"), "meter_id")
     )
@@ -69,7 +71,7 @@ def voltage_points(
 ) -> DataFrame:
     """Voltages among the newest `rows` readings, one per meter and time."""
     recent = newest_rows(readings, rows, tie_break)
-    order = F.struct(*tie_break) if tie_break else F.col("voltage")
+    order = F.struct(*tie_break, "voltage")
     return (
         recent.where(F.col("voltage").isNotNull())
         .groupBy("event_time", "meter_id")
@@ -85,15 +87,24 @@ def voltage_pivot(
 ) -> DataFrame:
     """A row per time, a column per meter, over the newest `rows` readings.
 
-    Without `meters` the columns depend on the points. These number at most `rows` and are
-    fetched first, so that the readings are scanned once.
+    Without `meters` the columns are the meters of the points, `rows` at most.
     """
     points = voltage_points(readings, rows, tie_break)
     if meters is None:
-        points = readings.sparkSession.createDataFrame(points.collect(), points.schema)
+        meters = sorted(row.meter_id for row in points.select("meter_id").distinct().collect())
     return points.groupBy("event_time").pivot("meter_id", meters).agg(F.first("voltage"))
 
 
+def voltage_rows(
+    readings: DataFrame, rows: int = 100, tie_break: tuple[str, ...] = ()
+) -> DataFrame:
+    """The pivot with the meters of a time in one JSON object, sorted by name."""
+    wide = voltage_pivot(readings, rows, tie_break)
+    meters = sorted(name for name in wide.columns if name != "event_time")
+    volts = F.struct(*(F.col(f"`{name}`") for name in meters)) if meters else F.struct()
+    return wide.select("event_time", F.to_json(volts).alias("voltages"))
+
+
 def voltage_filled(
     readings: DataFrame, rows: int = 100, tie_break: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -203,17 +214,42 @@ def window_energy(
     hours: float = metering.HOURS_PER_READING,
 ) -> DataFrame:
     """Energy per meter in tumbling windows, for batches and streams."""
-    window = F.window("event_time", length)
-    units = F.sum(measures.addend(F.col("power"), digits))
-    return readings.groupBy("meter_id", window).agg(
-        F.count("*").alias("readings"),
-        _energy(units, digits, hours).alias("energy_kwh"),
-    ).select(
+    return window_units(readings, length, digits).select(
         "meter_id",
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        "window_start",
+        "window_end",
         "readings",
-        "energy_kwh",
+        _energy(F.col("units"), digits, hours).alias("energy_kwh"),
+    )
+
+
+def window_units(readings: DataFrame, length: str, digits: int | None = None) -> DataFrame:
+    """Readings and summed power per meter and window, in the units of `measures.addend`."""
+    return (
+        readings.groupBy("meter_id", F.window("event_time", length))
+        .agg(
+            F.count("*").alias("readings"),
+            F.sum(measures.addend(F.col("power"), digits)).alias("units"),
+        )
+        .select(
+            "meter_id",
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            "readings",
+            "units",
+        )
+    )
+
+
+def summed_windows(
+    partial: DataFrame,
+    digits: int | None = None,
+    hours: float = metering.HOURS_PER_READING,
+) -> DataFrame:
+    """Energy per meter and window from several `window_units` of the same windows."""
+    return partial.groupBy("meter_id", "window_start", "window_end").agg(
+        F.sum("readings").alias("readings"),
+        _energy(F.sum("units"), digits, hours).alias("energy_kwh"),
     )
 
 

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlake.functions import measures, metering
 
-# A meter with more rows than this is cut into pieces of this length.
-HOT_METER_ROWS = 5_000_000
-HOT_METER_CUT = "minute"
+# Every meter is summed in steps of this length; a step of one meter fits into a task.
+STEP = "hour"
 
 
 def running_total(
@@ -16,58 +15,48 @@ def running_total(
     value: Column,
     name: str,
     tie_break: tuple[str, ...] = (),
-    hot_rows: int = HOT_METER_ROWS,
+    step: str = STEP,
 ) -> DataFrame:
     """Add `name`: the sum of `value` over the meter's rows up to this one, by event_time.
 
-    Rows without a meter have no such sum and are left out.
+    Rows without a meter have no such sum and are left out; rows without a time come first.
+    `value` must add up exactly (integers or decimals), so that the step cannot change a sum.
 
-    Ordinary meters are one window each. A meter with more than `hot_rows` rows is summed
-    minute by minute: each minute is a window of its own, and starts from the total of the
-    minutes before it. There are fewer hot meters than rows / hot_rows, which bounds the
-    broadcast. Without hot meters adaptive execution drops the two joins.
+    All meters take one path, whatever their size: totals per step are combined in each task,
+    a window over them gives what is carried into a step, and a window inside the step adds
+    its rows.
     """
-    rows = df.where(F.col("meter_id").isNotNull())
-    sizes = rows.groupBy("meter_id").agg(F.count("*").alias("_rows"))
-    hot = sizes.where(F.col("_rows") > hot_rows).select(
-        F.col("meter_id").alias("_hot_meter"), F.lit(True).alias("_is_hot")
-    )
-    minute = F.when(F.col("_is_hot"), F.date_trunc(HOT_METER_CUT, "event_time"))
-    cut = rows.join(
-        F.broadcast(hot), F.col("meter_id") == F.col("_hot_meter"), "left"
-    ).withColumn("_minute", minute)
-
-    minutes = (
-        cut.where(F.col("_is_hot"))
-        .groupBy("meter_id", "_minute")
-        .agg(F.sum(value).alias("_minute_total"))
+    rows = df.where(F.col("meter_id").isNotNull()).withColumn(
+        "_step", F.date_trunc(step, "event_time")
     )
     earlier = (
         Window.partitionBy("meter_id")
-        .orderBy("_minute")
+        .orderBy("_step")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = minutes.select(
-        F.col("meter_id").alias("_carry_meter"),
-        F.col("_minute").alias("_carry_minute"),
-        F.sum("_minute_total").over(earlier).alias("_carried"),
+    carried = (
+        rows.groupBy("meter_id", "_step")
+        .agg(F.sum(value).alias("_step_total"))
+        .select(
+            F.col("meter_id").alias("_carry_meter"),
+            F.col("_step").alias("_carry_step"),
+            F.sum("_step_total").over(earlier).alias("_carried"),
+        )
     )
     so_far = (
-        Window.partitionBy("meter_id", "_minute")
+        Window.partitionBy("meter_id", "_step")
         .orderBy("event_time", *tie_break)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     zero = F.lit(0)
     return (
-        cut.join(
+        rows.join(
             carried,
             (F.col("meter_id") == F.col("_carry_meter"))
-            & (F.col("_minute") == F.col("_carry_minute")),
-            "left",
+            & F.col("_step").eqNullSafe(F.col("_carry_step")),
         )
         .withColumn(
-            name,
-            F.coalesce(F.sum(value).over(so_far), zero) + F.coalesce("_carried", zero),
+            name, F.coalesce(F.sum(value).over(so_far), zero) + F.coalesce("_carried", zero)
         )
         .select(*df.columns, name)
     )
@@ -75,42 +64,69 @@ def running_total(
 
 def running_energy(
     readings: DataFrame,
+    digits: int,
     name: str = "energy_kwh",
     hours: float = metering.HOURS_PER_READING,
-    digits: int | None = None,
     tie_break: tuple[str, ...] = (),
-    hot_rows: int = HOT_METER_ROWS,
+    step: str = STEP,
 ) -> DataFrame:
-    """Add the energy a meter has counted so far, each reading standing for `hours`."""
-    power = measures.addend(F.col("power"), digits)
-    summed = running_total(readings, power, "_power_so_far", tie_break, hot_rows)
+    """Add the energy a meter has counted so far, each reading standing for `hours`.
+
+    Power is added in whole units of 10^-digits, which is exact.
+    """
+    power = measures.whole_units(F.col("power"), digits)
+    summed = running_total(readings, power, "_power_so_far", tie_break, step)
     energy = measures.from_sum(F.col("_power_so_far"), digits, hours)
     return summed.withColumn(name, energy).drop("_power_so_far")
 
 
 def row_positions(
-    df: DataFrame, tie_break: tuple[str, ...] = (), hot_rows: int = HOT_METER_ROWS
+    df: DataFrame, tie_break: tuple[str, ...] = (), step: str = STEP
 ) -> DataFrame:
     """Add `position`: the row's place in its meter's history, from 0."""
-    counted = running_total(df, F.lit(1), "_nth", tie_break, hot_rows)
+    counted = running_total(df, F.lit(1), "_nth", tie_break, step)
     return counted.withColumn("position", F.col("_nth") - 1).drop("_nth")
 
 
 def replay_schedule(
     df: DataFrame,
-    first_tick: int,
-    end_tick: int,
+    first_tick: int = 0,
+    end_tick: int | None = None,
     tie_break: tuple[str, ...] = (),
-    hot_rows: int = HOT_METER_ROWS,
+    step: str = STEP,
 ) -> DataFrame:
     """What each meter sends at the ticks from `first_tick` up to, not including, `end_tick`.
 
-    A meter sends its rows in time order and starts over after the last one.
+    A meter sends its rows in time order and starts over after the last one. Without
+    `end_tick` the ticks run until the longest meter has sent every row once. An empty span
+    has no rows.
     """
-    lengths = df.groupBy("meter_id").agg(F.count("*").alias("_length"))
-    span = F.sequence(F.lit(first_tick).cast("long"), F.lit(end_tick - 1).cast("long"))
+    lengths = (
+        df.where(F.col("meter_id").isNotNull())
+        .groupBy("meter_id")
+        .agg(F.count("*").alias("_length"))
+    )
+    end = lengths.select(F.max("_length")).scalar() if end_tick is None else F.lit(end_tick)
+    first = F.lit(first_tick).cast("long")
+    span = F.when(end > first, F.sequence(first, end.cast("long") - 1))
     ticks = lengths.select("meter_id", "_length", F.explode(span).alias("tick")).select(
         "meter_id", "tick", (F.col("tick") % F.col("_length")).alias("position")
     )
-    rows = row_positions(df, tie_break, hot_rows).where(F.col("position") < end_tick)
-    return ticks.join(rows, ["meter_id", "position"])
+    return ticks.join(row_positions(df, tie_break, step), ["meter_id", "position"])
+
+
+def stamped(
+    history: DataFrame,
+    start: Column,
+    interval_seconds: float,
+    tie_break: tuple[str, ...] = (),
+    step: str = STEP,
+) -> DataFrame:
+    """History rows with the time at which a sender that starts at `start` would send them.
+
+    A meter sends one row per interval, in time order, so its times stay different.
+    """
+    placed = row_positions(history.withColumn("event_time", F.col("timestamp")), tie_break, step)
+    millis = (F.col("position") * F.lit(interval_seconds * 1000)).cast("long")
+    sent = F.timestamp_millis(F.unix_millis(start) + millis)
+    return placed.withColumn("timestamp", sent).select(*history.columns)

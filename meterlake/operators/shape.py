@@ -31,16 +31,8 @@ def align_history(df: DataFrame) -> DataFrame:
 
 def readings_to_history(readings: DataFrame) -> DataFrame:
     """Readings under history names, aligned."""
-    names = {
-        "event_time": "timestamp",
-        "district": "location_district",
-        "voltage": "measurements_voltage_v",
-        "current": "measurements_current_a",
-        "power": "measurements_active_power_kw",
-        "power_factor": "measurements_power_factor",
-        "frequency": "measurements_frequency_hz",
-        "energy": "measurements_total_energy_kwh",
-    }
+    names = {column: "_".join(place) for column, place in schemas.PLACES.items()}
+    names["event_time"] = "timestamp"
     return align_history(readings.withColumnsRenamed(names))
 
 
@@ -93,20 +85,18 @@ def event_time() -> Column:
     return F.col("timestamp").try_cast("timestamp")
 
 
+def placed(column: str) -> Column:
+    """A lake column's value in a decoded message."""
+    return F.col(".".join(schemas.PLACES[column]))
+
+
 def flatten(decoded: DataFrame) -> DataFrame:
     """Decoded messages as flat readings."""
     return decoded.select(
         "meter_id",
         event_time().alias("event_time"),
         F.to_date(event_time()).alias("date"),
-        F.col("location.district").alias("district"),
-        F.col("measurements.voltage_v").alias("voltage"),
-        F.col("measurements.current_a").alias("current"),
-        F.col("measurements.active_power_kw").alias("power"),
-        F.col("measurements.power_factor").alias("power_factor"),
-        F.col("measurements.frequency_hz").alias("frequency"),
-        F.col("measurements.total_energy_kwh").alias("energy"),
-        F.col("status.code").alias("status_code"),
+        *(placed(column).alias(column) for column in schemas.PLACES),
     )
 
 
@@ -115,11 +105,8 @@ def scoring_projection(decoded: DataFrame) -> DataFrame:
     return decoded.select(
         "meter_id",
         event_time().alias("event_time"),
-        F.col("measurements.voltage_v").alias("voltage"),
-        F.col("measurements.current_a").alias("current"),
-        F.col("measurements.power_factor").alias("power_factor"),
-        F.col("measurements.frequency_hz").alias("frequency"),
-        F.col("measurements.active_power_kw").alias("actual_power"),
+        *(placed(column).alias(column) for column in schemas.FEATURES),
+        placed(schemas.LABEL).alias("actual_power"),
     )
 
 

@@ -17,7 +17,8 @@ from meterlake.streaming import jobs
 
 DIGITS, TIE_BREAK = fixture.DIGITS, fixture.TIE_BREAK
 LAKE_ORDER = ("meter_id",)
-STREAMED_METRICS = [m for m in schemas.METRICS if m != "total_energy_kwh"]
+MESSAGE_FILES = 8
+SENT_FROM, SENT_EVERY = "2024-02-01 00:00:00", 2
 PREDICTION_DIGITS = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,12 +44,16 @@ def query(build: Query) -> Query:
 
 
 def per_session(build: Callable) -> Callable:
-    """Build once per Spark application and data folder."""
+    """Build once per Spark application, data folder and state of its files."""
     built = {}
 
     @functools.wraps(build)
     def lookup(spark: SparkSession, sf_dir: str):
-        key = (spark.sparkContext.applicationId, sf_dir)
+        files_now = fixture.read_events(spark, sf_dir).select(
+            "_metadata.file_path", "_metadata.file_modification_time"
+        )
+        state = frozenset(map(tuple, files_now.distinct().collect()))
+        key = (spark.sparkContext.applicationId, sf_dir, state)
         if key not in built:
             built[key] = build(spark, sf_dir)
         return built[key]
@@ -103,14 +108,21 @@ def nested(readings: DataFrame, metrics: list[str]) -> DataFrame:
     return shape.nest_history(shape.readings_to_history(readings), metrics)
 
 
+@per_session
+def messages_path(spark: SparkSession, sf_dir: str) -> str:
+    """All readings with their counter as messages, in files that stand in for a topic."""
+    path = scratch_path(spark, "messages")
+    sent = shape.to_messages(nested(fixture.raw_with_energy(spark, sf_dir), schemas.METRICS))
+    sent.repartition(MESSAGE_FILES).write.text(path)
+    return path
+
+
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The readings as a topic would carry them. A counter cannot be summed on the way."""
-    sent = nested(fixture.readings(fixture.event_stream(spark, sf_dir)), STREAMED_METRICS)
-    return shape.to_messages(sent)
+    return spark.readStream.text(messages_path(spark, sf_dir))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape.to_messages(nested(fixture.raw_readings(spark, sf_dir), schemas.METRICS))
+    return spark.read.text(messages_path(spark, sf_dir))
 
 
 def finish(start: Callable, spark: SparkSession, label: str) -> str:
@@ -141,11 +153,21 @@ def latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def compacted_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = lake_path(spark, sf_dir), scratch_path(spark, "compacted")
-    newest = lake(spark, sf_dir).agg(F.max("date")).first()[0]
-    sinks.compact_partition(spark, source, target, str(newest))
+    newest = files.newest_date(lake(spark, sf_dir))
+    for _ in range(2):  # as a job that runs again
+        sinks.compact_partition(spark, source, target, newest)
     return files.read_lake(spark, target)
 
 
+@query
+def compacted_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole lake, its newest date from the compacted path."""
+    source, target = lake_path(spark, sf_dir), scratch_path(spark, "compacted")
+    newest = files.newest_date(lake(spark, sf_dir))
+    sinks.compact_partition(spark, source, target, newest)
+    return files.read_compacted_lake(spark, source, target)
+
+
 @query
 def predictions_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "predictions")
@@ -290,7 +312,7 @@ def recent_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def voltage_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.voltage_pivot(fixture.cleaned(spark, sf_dir), tie_break=TIE_BREAK)
+    return report.voltage_rows(fixture.cleaned(spark, sf_dir), tie_break=TIE_BREAK)
 
 
 @query
@@ -333,12 +355,23 @@ def running_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def replay_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """200 ticks, in which most meters start over."""
-    return running.replay_schedule(fixture.cleaned(spark, sf_dir), 0, 200, TIE_BREAK).select(
+    """Until the longest meter has sent all its rows; most meters start over before."""
+    rows = fixture.cleaned(spark, sf_dir)
+    return running.replay_schedule(rows, tie_break=TIE_BREAK).select(
         "meter_id", "tick", "position", "event_time", "voltage", "power"
     )
 
 
+@query
+def published_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings as a sender would stamp them, one per meter every two seconds."""
+    history = shape.readings_to_history(fixture.raw_readings(spark, sf_dir))
+    start = F.lit(SENT_FROM).cast("timestamp")
+    sent = shape.nest_history(running.stamped(history, start, SENT_EVERY))
+    decoded = shape.decode_messages(shape.to_messages(sent))
+    return decoded.select("meter_id", "timestamp", "measurements.current_a")
+
+
 # --- alerts
 
 
@@ -417,8 +450,11 @@ def stream_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent, rules = message_stream(spark, sf_dir), [alerts.OverVoltage()]
-    out = finish(lambda *to: jobs.start_alerts(sent, rules, *to, jobs.ONCE), spark, "alerts")
-    return shape.decode_messages(spark.read.text(out), schemas.ALERT)
+    out = scratch_path(spark, "alerts")
+    jobs.wait_for_all(
+        jobs.start_alerts(sent, rules, out, scratch_path(spark, "alerts-checkpoint"), jobs.ONCE)
+    )
+    return shape.decode_messages(jobs.read_alerts(spark, out), schemas.ALERT)
 
 
 @query
@@ -426,9 +462,9 @@ def stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = message_stream(spark, sf_dir)
     out = finish(
         lambda *to: jobs.start_window_energy(
-            sent, *to, length="1 hour", lateness="10 minutes", digits=DIGITS, trigger=jobs.ONCE
+            sent, *to, length="1 hour", digits=DIGITS, trigger=jobs.ONCE
         ),
         spark,
         "windows",
     )
-    return spark.read.parquet(out)
+    return jobs.read_window_energy(spark, out, DIGITS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterlake.operators import clean, report, shape
 from meterlake.sources import files
@@ -16,15 +16,21 @@ FORECAST_HOURS = 1
 
 
 def tables(
-    spark: SparkSession, lake_path: str, predictions_path: str, as_of: Column
+    spark: SparkSession,
+    lake_path: str,
+    predictions_path: str,
+    as_of: Column,
+    skip_corrupt: bool = False,
 ) -> dict[str, DataFrame]:
     """Reports over the newest date of the lake and the last hour of predictions.
 
-    Sources that do not exist yet give an OFFLINE grid and empty tables.
+    Sources that do not exist yet give an OFFLINE grid and empty tables. With `skip_corrupt`
+    the figures leave out files that cannot be read; else such a file is an error.
     """
-    readings = files.read_latest_partition(spark, lake_path, skip_corrupt=True)
+    readings = files.read_latest_partition(spark, lake_path, skip_corrupt)
+    since = as_of - F.make_interval(hours=F.lit(FORECAST_HOURS))
     predictions = clean.since(
-        files.read_predictions(spark, predictions_path), as_of, FORECAST_HOURS
+        files.read_predictions(spark, predictions_path, since), as_of, FORECAST_HOURS
     )
     return {
         "grid_overview": report.grid_overview(readings, tie_break=TIE_BREAK),

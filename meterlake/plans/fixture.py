@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterlake.operators import clean, running
-from meterlake.sources import files
 
 # Districts in the order of user_id % 10.
 DISTRICTS = (
@@ -24,18 +23,12 @@ def events_path(sf_dir: str) -> str:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Messages carry UTC times and dates come from them.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """The session zone must be UTC: messages carry UTC times and dates come from them."""
     return spark.read.parquet(events_path(sf_dir))
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = read_events(spark, sf_dir).schema
-    return files.read_stream_of(spark, events_path(sf_dir), schema)
-
-
 def readings(events: DataFrame) -> DataFrame:
-    """Readings without the energy counter; batch or stream."""
+    """Readings without the energy counter."""
     district = F.element_at(
         F.array(*(F.lit(d) for d in DISTRICTS)), (F.col("user_id") % 10 + 1).cast("int")
     )

@@ -62,7 +62,7 @@ MILLIS = "date_trunc('millisecond', event_time) AS event_time"
 ISO = "strftime(event_time, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
 STREAMED = (
     f"meter_id, {MILLIS}, date, district, voltage, current, power, power_factor, frequency, "
-    "{energy} AS energy, status_code"
+    "energy, status_code"
 )
 METRICS = (
     "voltage AS voltage_v, current AS current_a, power AS active_power_kw, power_factor, "
@@ -85,6 +85,12 @@ SQL = {
     "lake_count": "SELECT count(*) AS record_count FROM cl",
     "latest_partition": f"SELECT {READING} FROM cl WHERE date = (SELECT max(date) FROM cl)",
     "compacted_partition": f"SELECT {READING} FROM cl WHERE date = (SELECT max(date) FROM cl)",
+    "compacted_lake": f"SELECT {READING} FROM cl",
+    "published_messages": """
+SELECT meter_id, strftime(TIMESTAMP '2024-02-01 00:00:00' + to_seconds(2 * (row_number() OVER (
+    PARTITION BY meter_id ORDER BY event_time) - 1)), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS timestamp,
+  current AS current_a
+FROM mr""",
     "predictions_scan": FIT
     + "SELECT * REPLACE (date_trunc('millisecond', event_time) AS event_time) FROM pr",
     "csv_roundtrip": """
@@ -106,10 +112,10 @@ SELECT '{{"meter_id":"' || meter_id || '","timestamp":"' || {ISO}
 FROM cl""",
     "json_decode": f"""
 SELECT meter_id, {ISO} AS timestamp, 'Unknown' AS city, district, '0.0,0.0' AS gps, {METRICS},
-  0.0::DOUBLE AS total_energy_kwh, status_code AS code, 'OK' AS message, 100 AS battery_level
+  energy AS total_energy_kwh, status_code AS code, 'OK' AS message, 100 AS battery_level
 FROM mr""",
     "json_decode_narrow": f"SELECT meter_id, {ISO} AS timestamp, {METRICS} FROM mr",
-    "flatten_readings": f"SELECT {STREAMED.format(energy='0.0::DOUBLE')} FROM mr",
+    "flatten_readings": f"SELECT {STREAMED} FROM mr",
     "metric_mask": f"""
 SELECT meter_id, {ISO} AS timestamp, voltage AS voltage_v, NULL::DOUBLE AS current_a,
   power AS active_power_kw, NULL::DOUBLE AS power_factor, NULL::DOUBLE AS frequency_hz,
@@ -166,7 +172,10 @@ SELECT count(*) AS record_count,
 SELECT event_time, meter_id, voltage, power FROM cl
 ORDER BY event_time DESC, meter_id DESC LIMIT 10""",
     "voltage_pivot": POINTS
-    + "SELECT * FROM (PIVOT v ON meter_id USING first(voltage) GROUP BY event_time)",
+    + """
+SELECT event_time, '{' || string_agg('"' || meter_id || '":' || to_json(voltage), ','
+  ORDER BY meter_id) || '}' AS voltages
+FROM v GROUP BY event_time""",
     "voltage_filled": POINTS
     + """,
 g AS (SELECT t.event_time, m.meter_id FROM (SELECT DISTINCT event_time FROM v) t
@@ -215,7 +224,7 @@ n AS (SELECT *, row_number() OVER (PARTITION BY meter_id ORDER BY event_time, ev
         AS position, count(*) OVER (PARTITION BY meter_id) AS length FROM cl),
 l AS (SELECT DISTINCT meter_id, length FROM n)
 SELECT l.meter_id, t.tick, n.position, n.event_time, n.voltage, n.power
-FROM l CROSS JOIN range(0, 200) AS t(tick)
+FROM l CROSS JOIN (SELECT unnest(range(0, max(length))) AS tick FROM n) AS t
 JOIN n ON n.meter_id = l.meter_id AND n.position = t.tick % l.length""",
     "overvoltage_alerts": f"""
 SELECT {OVER_240.format(time="event_time")} FROM cl WHERE voltage > 240""",
@@ -248,7 +257,7 @@ ORDER BY event_time DESC, meter_id DESC LIMIT 500""",
        THEN abs(actual_power - predicted_power) / actual_power * 100.0::DOUBLE
        ELSE 0.0::DOUBLE END AS error_pct
 FROM pr ORDER BY event_time DESC, meter_id DESC LIMIT 1""",
-    "stream_ingest": f"SELECT {STREAMED.format(energy='NULL::DOUBLE')} FROM cl",
+    "stream_ingest": f"SELECT {STREAMED} FROM cl",
     "stream_predict": FIT
     + f"SELECT meter_id, {MILLIS}, power AS actual_power, {GUESS} AS predicted_power"
     + " FROM mr, b WHERE voltage IS NOT NULL AND current IS NOT NULL",
@@ -257,8 +266,6 @@ FROM pr ORDER BY event_time DESC, meter_id DESC LIMIT 1""",
 SELECT meter_id, ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, count(*) AS readings,
   {ENERGY} AS energy_kwh
 FROM (SELECT *, time_bucket(INTERVAL '1 hour', event_time) AS ws FROM cl)
-WHERE ws + INTERVAL 1 HOUR <= (SELECT max(date_trunc('millisecond', event_time)) FROM cl)
-  - INTERVAL 10 MINUTE
 GROUP BY ALL""",
 }
 

@@ -96,6 +96,18 @@ HISTORY = record(
     status_battery_level=INT,
 )
 
+# Where a lake column stands in a message. A history column is named after both.
+PLACES = {
+    "district": ("location", "district"),
+    "voltage": ("measurements", "voltage_v"),
+    "current": ("measurements", "current_a"),
+    "power": ("measurements", "active_power_kw"),
+    "power_factor": ("measurements", "power_factor"),
+    "frequency": ("measurements", "frequency_hz"),
+    "energy": ("measurements", "total_energy_kwh"),
+    "status_code": ("status", "code"),
+}
+
 METRICS = MESSAGE["measurements"].dataType.names
 
 # Value of a history column that a file does not have at all.

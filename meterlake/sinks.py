@@ -11,23 +11,30 @@ def write_lake(readings: DataFrame, path: str, mode: str = "append") -> None:
     """Readings as Parquet by date.
 
     Rebalancing gathers a date's rows before the write, so that not every task adds a small
-    file to every date, and splits dates that are too large for one task.
+    file to every date, and splits dates that are too large for one task. With mode
+    "overwrite" only the dates that the readings have are replaced.
     """
-    readings.hint("rebalance", "date").write.mode(mode).partitionBy("date").parquet(path)
+    writer = readings.hint("rebalance", "date").write.mode(mode)
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
 def compact_partition(spark: SparkSession, source: str, target: str, date: str) -> None:
-    """Rewrite one date of a lake into full-size files under a new lake path.
+    """Rewrite one date of a lake into full-size files under another lake path.
 
-    The target must not be the source: a folder written by a stream lists its files in a
-    log, and readers would not see others.
+    A date that is there already is replaced, so that a job may run again. The target must
+    not be the source: a folder written by a stream lists its files in a log, and readers
+    would not see others. `files.read_compacted_lake` reads both as one lake.
     """
+    if source.rstrip("/") == target.rstrip("/"):
+        raise ValueError("compact into another path than the lake's own")
     day = files.read_lake(spark, source).where(F.col("date") == F.lit(date).cast("date"))
-    write_lake(day, target)
+    write_lake(day, target, "overwrite")
 
 
 def write_predictions(predictions: DataFrame, path: str, mode: str = "append") -> None:
-    predictions.write.mode(mode).json(path)
+    """Predictions as JSON by date."""
+    dated = predictions.withColumn("date", F.to_date("event_time"))
+    dated.write.mode(mode).partitionBy("date").json(path)
 
 
 def write_history(history: DataFrame, path: str, mode: str = "append") -> None:

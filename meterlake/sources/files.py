@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from meterlake import schemas
@@ -12,25 +14,57 @@ from meterlake.operators import shape
 # Fixed value: time format of history files.
 HISTORY_TIME = "yyyy-MM-dd HH:mm:ss"
 
+DATE_FOLDER = re.compile(r"/date=(\d{4}-\d{2}-\d{2})/")
+
 
 def read_lake(spark: SparkSession, path: str, skip_corrupt: bool = False) -> DataFrame:
     """Readings under `path`, partitioned by date or not; no rows if it does not exist."""
     return _with_time(_scan_lake(spark, path, skip_corrupt))
 
 
+def read_compacted_lake(
+    spark: SparkSession, path: str, compacted: str, skip_corrupt: bool = False
+) -> DataFrame:
+    """The lake, with the dates that `compacted` holds taken from there and only from there."""
+    whole = _scan_lake(spark, compacted, skip_corrupt)
+    dates = [F.lit(date).cast("date") for date in dates_of(whole)]
+    streamed = _scan_lake(spark, path, skip_corrupt)
+    rest = streamed.where(~F.col("date").isin(dates) | F.col("date").isNull())
+    return _with_time(rest.unionByName(whole))
+
+
 def read_latest_partition(
     spark: SparkSession, path: str, skip_corrupt: bool = False
 ) -> DataFrame:
-    """Readings of the newest date.
+    """Readings of the newest date that has any.
 
-    Finding the date reads no data column, and it reaches the scan as a partition filter. A
-    lake without dates counts as one partition.
+    In a lake without folders of dates, the date column decides; without one either, all
+    readings count as one partition.
     """
     lake = _scan_lake(spark, path, skip_corrupt)
-    newest = lake.select(F.max("date").alias("newest")).scalar()
+    found = newest_date(lake)
+    newest = F.lit(found).cast("date") if found else lake.select(F.max("date")).scalar()
     return _with_time(lake.where(F.col("date").eqNullSafe(newest)))
 
 
+def dates_of(lake: DataFrame) -> list[str]:
+    """Dates that the lake's folders are named after, newest first; no file is opened.
+
+    The names come from Spark's own list of files, so that the log of a streaming writer
+    decides which of them count.
+    """
+    found = (DATE_FOLDER.search(name) for name in lake.inputFiles())
+    return sorted({match[1] for match in found if match}, reverse=True)
+
+
+def newest_date(lake: DataFrame) -> str | None:
+    """The newest date with a reading, None for a lake without dates."""
+    for date in dates_of(lake):
+        if not _with_time(lake.where(F.col("date") == F.lit(date).cast("date"))).isEmpty():
+            return date
+    return None
+
+
 def _scan_lake(spark: SparkSession, path: str, skip_corrupt: bool) -> DataFrame:
     reader = spark.read.schema(schemas.READING)
     reader = reader.option("ignoreCorruptFiles", str(skip_corrupt).lower())
@@ -42,28 +76,47 @@ def _with_time(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("event_time").isNotNull())
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Predictions under `path`, without lines that do not parse or have no time."""
+def read_predictions(
+    spark: SparkSession, path: str, since: Column | None = None
+) -> DataFrame:
+    """Predictions under `path`, without lines that do not parse or have no time.
+
+    With `since`, folders of earlier dates are not read; later rows of that date still need a
+    filter. A folder without dates is read whole.
+    """
+    schema = StructType([*schemas.PREDICTION, *StructType().add("date", "date")])
     reader = (
-        spark.read.schema(schemas.PREDICTION)
+        spark.read.schema(schema)
         .option("mode", "DROPMALFORMED")
         .option("pathGlobFilter", "part-*.json")
     )
-    return _with_time(_or_empty(spark, lambda: reader.json(path), schemas.PREDICTION))
+    rows = _or_empty(spark, lambda: reader.json(path), schema)
+    if since is not None:
+        rows = rows.where(F.col("date").isNull() | (F.col("date") >= F.to_date(since)))
+    return _with_time(rows).select(*schemas.PREDICTION.names)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """Historical readings from CSV files with a header, all with the same columns.
 
-    Columns the files lack get their defaults, a value that does not parse is NULL.
+    Columns the files lack get their defaults, a value that does not parse is NULL. No rows
+    if there are no files.
     """
-    return shape.align_history(spark.read.csv(path, header=True, enforceSchema=False))
+    return shape.align_history(
+        _or_empty(
+            spark, lambda: spark.read.csv(path, header=True, enforceSchema=False), schemas.HISTORY
+        )
+    )
 
 
-def read_stream_of(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A stream of the Parquet file or folder of files at `path`."""
-    # As a pattern the path may be a single file, too.
-    return spark.readStream.schema(schema).parquet(f"{path}*")
+def read_stream_of(
+    spark: SparkSession, folder: str, schema: StructType, name: str | None = None
+) -> DataFrame:
+    """A stream of the Parquet files in `folder`, or of the one file `name` in it."""
+    reader = spark.readStream.schema(schema)
+    if name:
+        reader = reader.option("pathGlobFilter", re.sub(r"([*?\[\]{}\\])", r"\\\1", name))
+    return reader.parquet(folder)
 
 
 def _or_empty(spark: SparkSession, read, schema: StructType) -> DataFrame:

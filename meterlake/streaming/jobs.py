@@ -7,22 +7,29 @@ watermark, and a reading goes to the partition of its own date.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import logging
+from collections.abc import Callable, Iterable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from meterlake import schemas
 from meterlake.operators import alerts, clean, report, shape
 from meterlake.plans import model as power_model
 
+logger = logging.getLogger(__name__)
+
 # Trigger intervals of the ingest and the scoring job.
 INGEST_EVERY = {"processingTime": "1 minute"}
 SCORE_EVERY = {"processingTime": "15 seconds"}
 # For a run over what is there now.
 ONCE = {"availableNow": True}
 
+# Files that a micro-batch adds to a date at most.
+FILES_PER_DATE = 8
+
 
 def cleaned_stream(messages: DataFrame) -> DataFrame:
     return clean.clean_readings(shape.flatten(shape.decode_messages(messages)))
@@ -33,12 +40,12 @@ def start_ingest(
     lake_path: str,
     checkpoint: str,
     trigger: dict = INGEST_EVERY,
-    files_per_date: int | None = None,
+    files_per_date: int | None = FILES_PER_DATE,
 ) -> StreamingQuery:
     """Messages -> cleaned readings, appended to the lake by date.
 
-    Each task writes a file per date it meets. With `files_per_date` the readings are
-    shuffled first, so that a batch adds no more files than that to a date.
+    The readings are shuffled first, so that a batch adds no more than `files_per_date` files
+    to a date. With None there is no shuffle, and each task writes a file per date it meets.
     """
     readings = cleaned_stream(messages)
     if files_per_date:
@@ -55,25 +62,85 @@ def start_scoring(
     checkpoint: str,
     trigger: dict = SCORE_EVERY,
 ) -> StreamingQuery:
-    """Messages -> predictions, appended as JSON."""
+    """Messages -> predictions, appended as JSON by date, so that recent ones can be read
+    without the rest."""
     decoded = shape.decode_messages(messages, schemas.SCORING_MESSAGE)
     predictions = power_model.score(model, shape.scoring_projection(decoded))
-    return _append(predictions, "json", checkpoint, trigger).start(predictions_path)
+    dated = predictions.withColumn("date", F.to_date("event_time"))
+    writer = _append(dated, "json", checkpoint, trigger)
+    return writer.partitionBy("date").start(predictions_path)
 
 
 def start_alerts(
     messages: DataFrame,
     rules: Iterable[alerts.AlertRule],
-    alerts_path: str,
+    alerts_path: str | None,
     checkpoint: str,
     trigger: dict = SCORE_EVERY,
-) -> StreamingQuery:
-    """Messages -> alerts beside the readings, appended as JSON messages."""
-    raised = shape.to_messages(alerts.run_rules(cleaned_stream(messages), rules))
-    return _append(raised, "text", checkpoint, trigger).start(alerts_path)
+    sink: Callable[[DataFrame], DataStreamWriter] | None = None,
+) -> list[StreamingQuery]:
+    """Messages -> alerts beside the readings, one query per rule.
+
+    Each rule has its own checkpoint and, under `alerts_path`, its own folder, so a rule that
+    fails while running stops no other. With `sink` the messages go there instead.
+    """
+    queries = []
+    for number, rule in enumerate(rules):
+        raised = shape.to_messages(alerts.run_rules(cleaned_stream(messages), [rule]))
+        name = f"{number}-{rule.name}"
+        writer = sink(raised) if sink else _append(raised, "text", checkpoint, trigger)
+        writer = writer.option("checkpointLocation", f"{checkpoint}/{name}").trigger(**trigger)
+        queries.append(writer.start() if sink else writer.start(f"{alerts_path}/{name}"))
+    return queries
+
+
+def wait_for_all(queries: Iterable[StreamingQuery]) -> list[StreamingQuery]:
+    """Wait until every query has ended; those that failed are logged and returned."""
+    failed = []
+    for query in queries:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            logger.error("query %s failed: %s", query.id, error)
+            failed.append(query)
+    return failed
+
+
+def read_alerts(spark: SparkSession, alerts_path: str) -> DataFrame:
+    """Alert messages of all rules."""
+    return spark.read.text(f"{alerts_path}/*")
 
 
 def start_window_energy(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    length: str,
+    digits: int | None = None,
+    trigger: dict = INGEST_EVERY,
+) -> StreamingQuery:
+    """Messages -> energy per meter and window, complete after every micro-batch.
+
+    Each batch writes its own partial sums, under its number, and replaces them if it runs
+    again. There is no state and no watermark: however late a reading is, it counts.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        partial = report.window_units(batch, length, digits)
+        partial.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = cleaned_stream(messages).writeStream.foreachBatch(add)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def read_window_energy(
+    spark: SparkSession, path: str, digits: int | None = None
+) -> DataFrame:
+    """The windows that `start_window_energy` has written, partial sums added up."""
+    return report.summed_windows(spark.read.parquet(path), digits)
+
+
+def start_closed_windows(
     messages: DataFrame,
     path: str,
     checkpoint: str,
@@ -82,7 +149,11 @@ def start_window_energy(
     digits: int | None = None,
     trigger: dict = INGEST_EVERY,
 ) -> StreamingQuery:
-    """Messages -> energy per meter and window, written once the watermark has passed it."""
+    """Messages -> energy per meter and window, each written once and final.
+
+    A window is written when the watermark has passed it; the newest windows are still open,
+    and a reading later than `lateness` is not counted. `start_window_energy` counts all.
+    """
     readings = cleaned_stream(messages).withWatermark("event_time", lateness)
     windows = report.window_energy(readings, length, digits)
     return _append(windows, "parquet", checkpoint, trigger).start(path)

@@ -1,4 +1,4 @@
-"""Running totals against plain Python, with and without cutting hot meters."""
+"""Running totals against plain Python, in steps of several lengths."""
 
 import datetime as dt
 import random
@@ -34,15 +34,15 @@ def by_meter(rows):
     return groups
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100, 10_000])
+@pytest.mark.parametrize("step", ["minute", "hour", "year"])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_running_energy(spark, seed, hot_rows):
+def test_running_energy(spark, seed, step):
     rows = history(seed)
     got = running.running_energy(
         spark.createDataFrame(rows, ROWS),
         digits=4,
         tie_break=("event_id",),
-        hot_rows=hot_rows,
+        step=step,
     )
     assert got.columns == ["meter_id", "event_time", "event_id", "power", "energy_kwh"]
     want = {}
@@ -54,40 +54,37 @@ def test_running_energy(spark, seed, hot_rows):
     assert {r.event_id: r.energy_kwh for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100, 10_000])
-def test_row_positions(spark, hot_rows):
+@pytest.mark.parametrize("step", ["minute", "hour"])
+def test_row_positions(spark, step):
     rows = history(3)
     got = running.row_positions(
-        spark.createDataFrame(rows, ROWS), tie_break=("event_id",), hot_rows=hot_rows
+        spark.createDataFrame(rows, ROWS), tie_break=("event_id",), step=step
     )
     want = {r[2]: i for group in by_meter(rows).values() for i, r in enumerate(group)}
     assert {r.event_id: r.position for r in got.collect()} == want
 
 
-def test_sums_without_digits(spark):
-    rows = history(4)
-    got = running.running_total(
-        spark.createDataFrame(rows, ROWS), F.col("power"), "so_far", ("event_id",), hot_rows=50
-    )
-    for group in by_meter(rows).values():
-        so_far = 0.0
-        want = {}
-        for row in group:
-            so_far += row[3] or 0.0
-            want[row[2]] = so_far
-        ids = F.col("event_id").isin(list(want))
-        for r in got.where(ids).collect():
-            assert r.so_far == pytest.approx(want[r.event_id])
-
-
-@pytest.mark.parametrize("hot_rows", [2, 10_000])
-def test_replay_starts_over(spark, hot_rows):
+def test_replay_starts_over(spark):
     rows = [("a", START + dt.timedelta(minutes=i), i, float(i)) for i in range(3)]
     rows += [("b", START, 10, 10.0)]
     frame = spark.createDataFrame(rows, ROWS)
-    got = running.replay_schedule(frame, 2, 7, ("event_id",), hot_rows)
+    got = running.replay_schedule(frame, 2, 7, ("event_id",))
     sent = sorted((r.meter_id, r.tick, r.event_id) for r in got.collect())
     assert sent == [
         ("a", 2, 2), ("a", 3, 0), ("a", 4, 1), ("a", 5, 2), ("a", 6, 0),
         ("b", 2, 10), ("b", 3, 10), ("b", 4, 10), ("b", 5, 10), ("b", 6, 10),
     ]
+    assert running.replay_schedule(frame, 5, 5, ("event_id",)).count() == 0
+    assert running.replay_schedule(frame, 5, 4, ("event_id",)).count() == 0
+    whole = running.replay_schedule(frame, tie_break=("event_id",)).collect()
+    assert {r.tick for r in whole} == {0, 1, 2} and len(whole) == 6
+
+
+def test_stamped_times_stay_different(spark):
+    rows = [("a", START, float(i)) for i in range(5)] + [("b", START, 9.0), (None, START, 1.0)]
+    frame = spark.createDataFrame(rows, "meter_id string, timestamp timestamp, x double")
+    got = running.stamped(frame, F.lit("2025-01-01 00:00:00").cast("timestamp"), 1.5).collect()
+    times = {(r.meter_id, r.timestamp) for r in got}
+    assert len(got) == len(times) == 6
+    last = max(r.timestamp for r in got if r.meter_id == "a")
+    assert last == dt.datetime(2025, 1, 1, 0, 0, 6)

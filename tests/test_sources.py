@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterlake import schemas, sinks
 from meterlake.jobs import parser
@@ -76,12 +77,63 @@ def test_compaction(spark, tmp_path):
     source, target = str(tmp_path / "lake"), tmp_path / "compact"
     for _ in range(3):
         lake_rows(spark).repartition(4).write.mode("append").partitionBy("date").parquet(source)
-    sinks.compact_partition(spark, source, str(target), "2024-01-02")
+    for _ in range(2):  # a job that runs again repeats no row
+        sinks.compact_partition(spark, source, str(target), "2024-01-02")
+    with pytest.raises(ValueError, match="another path"):
+        sinks.compact_partition(spark, source, source + "/", "2024-01-02")
     rows = files.read_lake(spark, str(target))
     assert {r.date for r in rows.collect()} == {DAYS[1]} and rows.count() == 12
     assert len(list((target / "date=2024-01-02").glob("*.parquet"))) == 1
 
 
+def test_compacted_dates_replace_streamed_ones(spark, tmp_path):
+    source, target = str(tmp_path / "lake"), str(tmp_path / "compact")
+    sinks.write_lake(lake_rows(spark), source)
+    assert files.read_compacted_lake(spark, source, target).count() == 12
+    for date in ("2024-01-01", "2024-01-03"):
+        sinks.compact_partition(spark, source, target, date)
+    both = files.read_compacted_lake(spark, source, target)
+    assert sorted(both.collect()) == sorted(lake_rows(spark).collect())
+
+
+def test_newest_date_opens_no_file(spark, tmp_path):
+    path = tmp_path / "lake"
+    sinks.write_lake(lake_rows(spark), str(path))
+    (path / "date=2024-02-01").mkdir()
+    for file in path.glob("date=2024-01-0[12]/*.parquet"):
+        file.write_bytes(b"not a table")
+    assert files.read_latest_partition(spark, str(path)).count() == 4
+
+
+def test_recent_predictions_read_recent_folders(spark, tmp_path):
+    times = [dt.datetime(2024, 1, d, h) for d, h in ((1, 1), (2, 23), (3, 0))]
+    rows = spark.createDataFrame([("m", t, 1.0, 1.0) for t in times], schemas.PREDICTION)
+    sinks.write_predictions(rows, str(tmp_path))
+    since = F.lit("2024-01-02 23:30:00").cast("timestamp")
+    found = files.read_predictions(spark, str(tmp_path), since)
+    assert {r.event_time.day for r in found.collect()} == {2, 3}
+    assert len(found.inputFiles()) == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "date" in filters
+    assert files.read_predictions(spark, str(tmp_path)).count() == 3
+
+
+def test_stream_reads_its_own_folder_only(spark, tmp_path):
+    for name, n in (("ev", 3), ("ev_old", 5)):
+        spark.range(n).write.parquet(str(tmp_path / name))
+    stream = files.read_stream_of(spark, str(tmp_path / "ev"), spark.range(1).schema)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    query = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
+    query.start(out).awaitTermination()
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_no_history(spark, tmp_path):
+    rows = files.read_history(spark, str(tmp_path / "nothing"))
+    assert rows.count() == 0 and rows.columns == schemas.HISTORY.names
+
+
 def test_prediction_lines(spark, tmp_path):
     good = '{"meter_id":"m","event_time":"2024-01-01T00:00:00.000Z","actual_power":1.0}'
     lines = [good, "{broken", good.replace("2024-01-01T00:00:00.000Z", "never"), "{}", ""]

@@ -4,8 +4,9 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from meterlake.operators import alerts, clean, shape
+from meterlake.operators import alerts, clean, report, shape
 from meterlake.plans import model as power_model
 from meterlake.sources import files
 from meterlake.streaming import jobs
@@ -103,21 +104,56 @@ def test_two_queries_follow_one_topic(topic, tmp_path):
         topic.stream(), [alerts.OverVoltage()], str(tmp_path / "a"), str(tmp_path / "ac"), jobs.ONCE
     )
     first.awaitTermination()
-    second.awaitTermination()
+    assert jobs.wait_for_all(second) == []
 
     features = shape.scoring_projection(shape.decode_messages(topic.batch()))
     batch = power_model.score(model, features)
     assert sorted_rows(files.read_predictions(spark, str(tmp_path / "p"))) == sorted_rows(batch)
 
-    raised = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "a")).collect()]
+    raised = [json.loads(r.value) for r in jobs.read_alerts(spark, str(tmp_path / "a")).collect()]
     want = cleaned_batch(topic).where("voltage > 240").count()
     assert len(raised) == want > 0
     assert raised[0]["type"] == "CRITICAL"
 
 
-def test_windows_close_with_the_watermark(topic, tmp_path):
+class DividesByZero(alerts.AlertRule):
+    """Fits the readings, and fails when it meets one."""
+
+    def alert(self, readings):
+        broken = F.assert_true(readings["voltage"] < 0).isNull() & F.lit(True)
+        return F.when(broken, F.struct(*(F.lit("x").alias(f) for f in alerts.ALERT_FIELDS)))
+
+
+def test_failing_rule_stops_no_other(topic, tmp_path):
+    rules = [DividesByZero(), alerts.OverVoltage()]
+    paths = str(tmp_path / "a"), str(tmp_path / "ac")
+    failed = jobs.wait_for_all(jobs.start_alerts(topic.stream(), rules, *paths, jobs.ONCE))
+    assert len(failed) == 1
+    raised = jobs.read_alerts(topic.spark, paths[0]).count()
+    assert raised == cleaned_batch(topic).where("voltage > 240").count() > 0
+
+
+def test_windows_are_complete(topic, tmp_path):
+    paths = str(tmp_path / "w"), str(tmp_path / "wc")
+
+    def run():
+        jobs.start_window_energy(
+            topic.stream(), *paths, length="1 hour", digits=4, trigger=jobs.ONCE
+        ).awaitTermination()
+        return jobs.read_window_energy(topic.spark, paths[0], 4)
+
+    def batch():
+        return report.window_energy(cleaned_batch(topic), "1 hour", 4)
+
+    assert sorted_rows(run()) == sorted_rows(batch())
+    topic.send("2", [text_of(i, day=-9) for i in range(90)])  # very late
+    topic.send("3", [text_of(i, day=1) for i in range(50)])
+    assert sorted_rows(run()) == sorted_rows(batch())
+
+
+def test_closed_windows_follow_the_watermark(topic, tmp_path):
     paths = str(tmp_path / "w"), str(tmp_path / "wc")
-    query = jobs.start_window_energy(
+    query = jobs.start_closed_windows(
         topic.stream(), *paths, length="1 hour", lateness="10 minutes", trigger=jobs.ONCE
     )
     query.awaitTermination()
