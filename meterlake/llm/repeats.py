@@ -256,47 +256,106 @@ def split_keys(grams, contents, at, left, right):
 
 
 def repeated_places(rows: DataFrame, *grams: np.ndarray) -> DataFrame:
-    """The anchors that pass the first filter. Bytes come along where the second says that
-    the anchor string may have several contexts, once for each context in a batch. Those that
-    the third one knows as hot stand there under each of their `split_keys`."""
+    """The anchors that pass the first filter, where they stand first in their batch.
+
+    A later place with the context of an earlier one is a repeat whatever else there is; the
+    runs of such places come as rows of their own, so a text of one word over and over, or
+    copies, do not fill a task. Bytes come along where the second filter says that the anchor
+    string may have several contexts. Strings that the third one knows as hot stand there
+    under each of their `split_keys`.
+    """
     filters = rows.sparkSession.sparkContext.broadcast(grams)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated, diverse, hot = filters.value
         for batch in batches:
             texts, doc_ids = encoded(batch.column("text")), batch.column("doc_id").to_numpy()
-            seen = set()
+            parts = []
             for found in anchors_of(texts):
                 kept = passes(repeated, found[2])
-                text, at, grams, contexts, left, right = (column[kept] for column in found)
-                several, many = passes(diverse, grams), np.flatnonzero(passes(hot, grams))
-                if len(many):
-                    keys = split_keys(
-                        grams[many], [texts[n] for n in text[many].tolist()], at[many].tolist(),
-                        left[many].tolist(), right[many].tolist(),
-                    )
-                    grams[many] = keys[:, 0]
-                    twice = np.concatenate([np.arange(len(at)), many])
-                    text, at, contexts, left, right, several = (
-                        column[twice] for column in (text, at, contexts, left, right, several)
+                parts.append([column[kept] for column in found])
+            if not parts:
+                continue
+            text, at, grams, contexts, left, right = map(np.concatenate, zip(*parts, strict=True))
+            order = np.lexsort([at, doc_ids[text], contexts, grams])
+            text, at, grams, contexts, left, right = (
+                column[order] for column in (text, at, grams, contexts, left, right)
+            )
+            leaf, later = leaves_and_later(grams, contexts, doc_ids[text], at)
+            runs = run_table(doc_ids[text[later]], (at - left)[later], (at + right)[later])
+            yield place_batch(mix(runs[0].astype(np.uint64)), runs[0], runs[0], runs[1],
+                              np.full(len(runs[0]), RUN), runs[2] - runs[1])
+            text, at, grams, contexts, left, right = (
+                column[leaf] for column in (text, at, grams, contexts, left, right)
+            )
+            several, many = passes(diverse, grams), np.flatnonzero(passes(hot, grams))
+            if len(many):
+                keys = split_keys(
+                    grams[many], [texts[n] for n in text[many].tolist()], at[many].tolist(),
+                    left[many].tolist(), right[many].tolist(),
+                )
+                grams[many] = keys[:, 0]
+                twice = np.concatenate([np.arange(len(at)), many])
+                text, at, contexts, left, right, several = (
+                    column[twice] for column in (text, at, contexts, left, right, several)
+                )
+                grams = np.concatenate([grams, keys[:, 1]])
+            for a in range(0, len(at), ROWS_AT_ONCE):
+                part = slice(a, a + ROWS_AT_ONCE)
+                stretches = [
+                    texts[n][i - l : i + r] if wanted else None
+                    for n, i, l, r, wanted in zip(
+                        *(c[part].tolist() for c in (text, at, left, right, several)), strict=True
                     )
-                    grams = np.concatenate([grams, keys[:, 1]])
-                stretches: list[bytes | None] = [None] * len(at)
-                for i in np.flatnonzero(several).tolist():
-                    if (known := (int(grams[i]), int(contexts[i]))) not in seen:
-                        seen.add(known)
-                        stretches[i] = texts[text[i]][at[i] - left[i] : at[i] + right[i]]
-                values = grams.view(np.int64), contexts.view(np.int64), doc_ids[text], at, left, right
-                arrays = [
-                    pa.array(value.astype(np.int64)).cast(kind)
-                    for value, kind in zip(values, PLACE_TYPES[:6], strict=True)
                 ]
-                arrays.append(pa.array(stretches, pa.binary()))
-                yield pa.RecordBatch.from_arrays(arrays, PLACE_NAMES)
+                yield place_batch(grams[part], contexts[part], doc_ids[text[part]], at[part],
+                                  left[part], right[part], stretches)
 
     return rows.mapInArrow(read, PLACE)
 
 
+# In place of the length to the left: the row is a run of repeats, `to_right` bytes from `at`.
+RUN = -1
+
+
+def place_batch(gram, context, doc_id, at, left, right, stretches=None) -> pa.RecordBatch:
+    values = (gram.view(np.int64), context.view(np.int64), doc_id, at, left, right)
+    arrays = [
+        pa.array(value.astype(np.int64)).cast(kind)
+        for value, kind in zip(values, PLACE_TYPES[:6], strict=True)
+    ]
+    arrays.append(pa.array(stretches or [None] * len(at), pa.binary()))
+    return pa.RecordBatch.from_arrays(arrays, PLACE_NAMES)
+
+
+def leaves_and_later(gram, context, doc_id, at) -> tuple[np.ndarray, np.ndarray]:
+    """For places in order of these columns: the first of each context, and the others except
+    for the first place itself, met again."""
+    new = np.ones(len(gram), bool)
+    new[1:] = (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])
+    first_of = np.maximum.accumulate(np.where(new, np.arange(len(gram)), 0))
+    later = ~new & ((doc_id != doc_id[first_of]) | (at != at[first_of]))
+    return new, later
+
+
+def run_table(doc_id, begin, end) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of stretches of one document that touch: document, begin, end."""
+    order = np.lexsort([begin, doc_id])
+    doc_id, begin, end = doc_id[order], begin[order], end[order]
+    if not len(order):
+        return doc_id, begin, end
+    new_doc = np.ones(len(order), bool)
+    new_doc[1:] = doc_id[1:] != doc_id[:-1]
+    # Documents are set apart, so that one running maximum serves all.
+    apart = (np.cumsum(new_doc) - 1) * (int(end.max()) + 2)
+    reach = np.maximum.accumulate(end + apart)
+    new = np.ones(len(order), bool)
+    new[1:] = new_doc[1:] | (begin[1:] + apart[1:] > reach[:-1])
+    heads = np.flatnonzero(new)
+    lasts = np.append(heads[1:], len(order)) - 1
+    return doc_id[heads], begin[heads], (reach - apart)[lasts]
+
+
 # --- groups of places
 
 
@@ -411,20 +470,20 @@ def context_repeats(leaves: dict):
 
 def covered_in(places: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Document, start and end of repeats, for all places of some anchor strings."""
+    is_run = places.column("to_left").to_numpy() == RUN
+    doc_id, begin, size = (
+        places.column(name).to_numpy()[is_run] for name in ("doc_id", "at", "to_right")
+    )
+    yield doc_id, begin, begin + size
+    places = places.filter(pa.array(~is_run))
     columns = {name: places.column(name).to_numpy() for name in PLACE_NAMES[:6]}
     order = np.lexsort([columns[n] for n in ("at", "doc_id", "context", "gram")])
     gram, context, doc_id, at, left, right = (columns[n][order] for n in PLACE_NAMES[:6])
     if not len(order):
         return
     new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
-    new_leaf = new_gram | np.concatenate([[True], context[1:] != context[:-1]])
-    same_place = ~new_leaf & np.concatenate(
-        [[False], (doc_id[1:] == doc_id[:-1]) & (at[1:] == at[:-1])]
-    )
     # Leaves of equal contexts: everything around a later place stands around the first.
-    later = ~new_leaf & ~same_place
-    first_of = np.maximum.accumulate(np.where(new_leaf, np.arange(len(order)), 0))
-    later &= (doc_id != doc_id[first_of]) | (at != at[first_of])
+    new_leaf, later = leaves_and_later(gram, context, doc_id, at)
     yield doc_id[later], (at - left)[later], (at + right)[later]
 
     head = np.flatnonzero(new_leaf)
