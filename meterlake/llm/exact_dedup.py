@@ -20,8 +20,6 @@ BITS_PER_ROW = 16
 # 32 MB: the bound of what is broadcast.
 MAX_BITS = 1 << 28
 
-RESULT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
-
 
 def exact_dedup(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: `doc_id, keep_id, group_size, kept, text_sha256`.
