@@ -14,7 +14,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return recounted(line_dedup.line_dedup(docs), docs.columns)
+    return recounted(line_dedup.shortened(docs), docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +22,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return recounted(pii.redact(docs), docs.columns)
+    return recounted(pii.with_surrogates(docs), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

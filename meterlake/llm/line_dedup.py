@@ -22,26 +22,35 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     stay; an empty table gives no rows.
     """
     named = docs.drop("n_lines", "n_removed")
-    covered = covered_lines(windows(named))
-    lines = F.split("text", "\n", -1)
+    lines = F.coalesce(F.size("__lines"), F.lit(0))
+    removed = F.coalesce(F.size("__lines") - F.size("__rest"), F.lit(0))
+    return divided(named).select(
+        *other_columns(named),
+        lines.cast("long").alias("n_lines"),
+        removed.cast("long").alias("n_removed"),
+    )
+
+
+def shortened(docs: DataFrame) -> DataFrame:
+    """The documents with `text` shortened, as by `line_dedup`, and no other column touched."""
+    return divided(docs).select(*other_columns(docs))
+
+
+def divided(docs: DataFrame) -> DataFrame:
+    """The documents with all lines and, where some are covered, the numbers of the rest."""
     rest = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__covered"))
     return (
-        named.join(covered, "doc_id", "left")
-        .withColumn("__lines", lines)
+        docs.join(covered_lines(windows(docs)), "doc_id", "left")
+        .withColumn("__lines", F.split("text", "\n", -1))
         .withColumn("__rest", F.when(F.col("__covered").isNotNull(), rest))
-        .withColumns(
-            {
-                "text": F.when(F.col("__rest").isNull(), F.col("text")).otherwise(kept_lines()),
-                "n_lines": F.coalesce(F.size("__lines"), F.lit(0)).cast("long"),
-                "n_removed": F.coalesce(F.size("__lines") - F.size("__rest"), F.lit(0)).cast(
-                    "long"
-                ),
-            }
-        )
-        .drop("__lines", "__rest", "__covered")
     )
 
 
+def other_columns(docs: DataFrame) -> list[Column]:
+    text = F.when(F.col("__rest").isNull(), F.col("text")).otherwise(kept_lines())
+    return [text.alias("text") if name == "text" else F.col(name) for name in docs.columns]
+
+
 def kept_lines() -> Column:
     return F.array_join(F.transform("__rest", lambda i: F.col("__lines")[i]), "\n")
 

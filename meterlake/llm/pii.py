@@ -275,16 +275,22 @@ def assign(found: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def redact(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """The rows of `docs` with surrogates in `text`, and `n_entities` (long) added.
+    """The rows of `docs` with surrogates in `text`, and `n_entities` (long) added, as by
+    `with_surrogates`. A column of that name is replaced."""
+    return with_surrogates(docs.drop("n_entities"), key, "n_entities")
+
+
+def with_surrogates(docs: DataFrame, key: str = KEY, count: str | None = None) -> DataFrame:
+    """The rows of `docs` with surrogates in `text`; their number in a new column `count`.
 
     Documents without entities pass through without a shuffle. Null and empty texts stay as
     they are, with 0 entities. Rows that repeat a doc_id are treated each by its own text; a
-    null doc_id is no obstacle. A column n_entities is replaced, other columns stay; an empty
-    table gives no rows.
+    null doc_id is no obstacle. Other columns stay; an empty table gives no rows.
     """
-    rows = docs.drop("n_entities")
+    rows = docs
     hit = F.coalesce(may_hold(F.col("text")) & F.col("text").rlike(ANY), F.lit(False))
-    clean = rows.where(~hit).withColumn("n_entities", F.lit(0).cast("long"))
+    counted = {count: F.lit(0).cast("long")} if count else {}
+    clean = rows.where(~hit).withColumns(counted)
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     private = stored(
         rows.where(hit).withColumn("__key", F.md5(F.concat_ws(":", id_text, "text"))), "private"
@@ -303,7 +309,7 @@ def redact(docs: DataFrame, key: str = KEY) -> DataFrame:
     changed = (
         private.join(replaced, "__key")
         .withColumn("text", F.array_join(woven, ""))
-        .withColumn("n_entities", F.size("__made").cast("long"))
+        .withColumns({name: F.size("__made").cast("long") for name in counted})
     )
     return clean.unionByName(changed.select(*clean.columns))
 

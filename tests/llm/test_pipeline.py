@@ -5,9 +5,11 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from meterlake.llm import packing, pii, quality
+from meterlake.llm.common import stored
 from test_documents import check_places, plain_components, plain_fingerprint, remaining_lines
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -86,6 +88,29 @@ def test_packing_stage(stages):
     assert placed == lengths
 
 
+AWKWARD = [
+    (None, "no id", None, None, None), (1, None, None, None, None), (2, "", "en", "s", 0),
+    (3, "same\nlines\nhere\nagain", "en", "s", 9), (4, "same\nlines\nhere\nagain", "en", "s", 9),
+    (4, "same\nlines\nhere\nagain", "en", "s", 9), (5, "mail a@b.cc " * 3000, "en", None, 1),
+    (6, "\n\n\n\n", "de", "s", 4), (7, "word " * 9000, "de", "s", 4), (8, "x", None, "s", 1),
+]
+CLASHING = ["n_lines", "n_removed", "n_entities", "bits", "id", "kind", "value", "line", "score"]
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, AWKWARD[:1], []])
+def test_awkward_tables(spark, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema).withColumns({n: F.lit("own") for n in CLASHING})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF_DIR), name.replace(" ", "-"))
+        assert docs.columns == COLUMNS + CLASHING
+        assert all(r[c] == "own" for r in docs.collect() for c in CLASHING)
+    ids = {r.doc_id for r in docs.collect()}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+    assert {r.doc_id for r in packed} == ids
+    check_places(packed)
+
+
 def test_run_is_all_stages(spark, stages):
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     whole = corpus_pipeline.run(spark, SF_DIR).select(*columns)

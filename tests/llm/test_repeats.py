@@ -38,8 +38,10 @@ def words(draw, n):
     return " ".join("".join(draw.choice(list("abcdeé"), draw.integers(1, 7))) for _ in range(n))
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_shared_parts(spark, seed):
+@pytest.mark.parametrize("seed,hot", [(0, 500), (1, 500), (2, 500), (0, 3), (1, 1)])
+def test_shared_parts(spark, monkeypatch, seed, hot):
+    """With few places to be hot, anchors are divided by what stands around them."""
+    monkeypatch.setattr(repeats, "HOT_PLACES", hot)
     draw = np.random.default_rng(seed)
     passages = [words(draw, n) for n in (8, 18, 22, 25, 30, 40, 60, 200)]
     line = "a line that very many of the documents have in common but short\n"
