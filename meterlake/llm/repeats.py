@@ -255,8 +255,9 @@ def split_keys(grams, contents, at, left, right):
     return mix(np.array(keys, np.uint64).reshape(-1, 2) + grams[:, None])
 
 
-def repeated_places(rows: DataFrame, *grams: np.ndarray) -> DataFrame:
-    """The anchors that pass the first filter, where they stand first in their batch.
+def repeated_places(rows: DataFrame, *grams: np.ndarray, combine: bool = True) -> DataFrame:
+    """The anchors that pass the first filter, where they stand first in their batch, or with
+    `combine` off at all their places.
 
     A later place with the context of an earlier one is a repeat whatever else there is; the
     runs of such places come as rows of their own, so a text of one word over and over, or
@@ -282,13 +283,15 @@ def repeated_places(rows: DataFrame, *grams: np.ndarray) -> DataFrame:
                 column[order] for column in (text, at, grams, contexts, left, right)
             )
             leaf, later = leaves_and_later(grams, contexts, doc_ids[text], at)
-            runs = run_table(doc_ids[text[later]], (at - left)[later], (at + right)[later])
-            yield place_batch(mix(runs[0].astype(np.uint64)), runs[0], runs[0], runs[1],
-                              np.full(len(runs[0]), RUN), runs[2] - runs[1])
-            text, at, grams, contexts, left, right = (
-                column[leaf] for column in (text, at, grams, contexts, left, right)
-            )
-            several, many = passes(diverse, grams), np.flatnonzero(passes(hot, grams))
+            if combine:
+                runs = run_table(doc_ids[text[later]], (at - left)[later], (at + right)[later])
+                yield place_batch(mix(runs[0].astype(np.uint64)), runs[0], runs[0], runs[1],
+                                  np.full(len(runs[0]), RUN), runs[2] - runs[1])
+                text, at, grams, contexts, left, right, leaf = (
+                    column[leaf] for column in (text, at, grams, contexts, left, right, leaf)
+                )
+            several = passes(diverse, grams) & leaf
+            many = np.flatnonzero(passes(hot, grams))
             if len(many):
                 keys = split_keys(
                     grams[many], [texts[n] for n in text[many].tolist()], at[many].tolist(),
@@ -489,33 +492,66 @@ def covered_in(places: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
     head = np.flatnonzero(new_leaf)
     strings = np.cumsum(new_gram)[head]
     several = np.bincount(strings)[strings] > 1
-    leaf_of = np.cumsum(new_leaf) - 1
+    content, holder = contexts_of(places, order, new_leaf)
+    chosen = np.flatnonzero(several & (holder >= 0))
+    for doc, begin, found in suffix_arrays(
+        gram, doc_id, at, left, right, content, holder[chosen], head[chosen], strings[chosen]
+    ):
+        late = [(n, best, depth) for depth, _, _, best, later in found for n in later]
+        if late:
+            late, best, depth = np.array(late).T
+            # A window with its smallest gram twice is there by either anchor.
+            other = (doc[late] != doc[best]) | (begin[late] != begin[best])
+            late, depth = late[other], depth[other]
+            yield doc[late], begin[late], begin[late] + LENGTH + depth
+
+
+def groups_in(places: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
+    """First document and start, length, document and start: all places of all repeats among
+    the places of some anchor strings."""
+    columns = {name: places.column(name).to_numpy() for name in PLACE_NAMES[:6]}
+    order = np.lexsort([columns[n] for n in ("at", "doc_id", "context", "gram")])
+    gram, context, doc_id, at, left, right = (columns[n][order] for n in PLACE_NAMES[:6])
+    if not len(order):
+        return
+    new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
+    new_leaf, _ = leaves_and_later(gram, context, doc_id, at)
+    strings = np.cumsum(new_gram)
+    content, holder = contexts_of(places, order, new_leaf)
+    holder = holder[np.cumsum(new_leaf) - 1]
+    chosen = np.flatnonzero((np.bincount(strings)[strings] > 1) & (holder >= 0))
+    for doc, begin, found in suffix_arrays(
+        gram, doc_id, at, left, right, content, holder[chosen], chosen, strings[chosen]
+    ):
+        for depth, low, high, best, _ in found:
+            size = high - low
+            # A window with its smallest gram twice is there by either anchor.
+            if not ((doc[low:high] != doc[best]) | (begin[low:high] != begin[best])).any():
+                continue
+            yield (np.full(size, doc[best]), np.full(size, begin[best]),
+                   np.full(size, LENGTH + depth), doc[low:high], begin[low:high])
+
+
+def contexts_of(places: pa.Table, order: np.ndarray, new_leaf: np.ndarray):
+    """The bytes column, and for every leaf a row that has its bytes, -1 without one."""
     content = places.column("bytes").combine_chunks()
     known = np.flatnonzero(np.asarray(content.is_valid())[order])
-    holder = np.full(len(head), -1)
-    holder[leaf_of[known]] = order[known]
-    chosen = np.flatnonzero(several & (holder >= 0))
-    for part in whole_strings(strings[chosen], CONTEXTS_AT_ONCE):
-        which = chosen[part]
-        here = head[which]
+    holder = np.full(int(new_leaf.sum()), -1)
+    holder[(np.cumsum(new_leaf) - 1)[known]] = order[known]
+    return content, holder
+
+
+def suffix_arrays(gram, doc_id, at, left, right, content, holder, rows, strings):
+    """Document and start of the suffixes, and their intervals, for the chosen rows."""
+    for part in whole_strings(strings, CONTEXTS_AT_ONCE):
+        here = rows[part]
         leaves = {
             "gram": gram[here], "doc_id": doc_id[here], "left": left[here].astype(np.int64),
             "right": right[here].astype(np.int64), "at": at[here].astype(np.int64) - LEFT,
-            "bytes": content.take(pa.array(holder[which])).to_pylist(),
+            "bytes": content.take(pa.array(holder[part])).to_pylist(),
         }
         row, start, common, ranks = context_repeats(leaves)
-        doc, begin = leaves["doc_id"][row], leaves["at"][row] + start
-        found = [
-            (late, best, depth)
-            for depth, _, _, best, later in intervals(common, ranks)
-            for late in later
-        ]
-        if found:
-            late, best, depth = np.array(found).T
-            # A window with its smallest gram twice is there by either anchor.
-            other = (doc[late] != doc[best]) | (begin[late] != begin[best])
-            late, depth = late[other], depth[other]
-            yield doc[late], begin[late], begin[late] + LENGTH + depth
+        yield leaves["doc_id"][row], leaves["at"][row] + start, intervals(common, ranks)
 
 
 def whole_strings(strings: np.ndarray, size: int) -> Iterator[slice]:
@@ -559,14 +595,47 @@ def merged(begins: list[int], ends: list[int]) -> list[tuple[int, int]]:
     return runs
 
 
-def repeat_spans(docs: DataFrame) -> DataFrame:
-    """`doc_id, begins, ends`: overlapping stretches of bytes that also start earlier."""
+def searched(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Documents that can hold a repeat, their repeated anchor strings, and filter bits."""
     rows = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")
     )
     rows = rows.where(F.octet_length("text") >= LENGTH)
     repeated = stored(repeated_grams(rows), "grams")
-    bits = min(MAX_FILTER_BITS, BLOCK_BITS * (1 + repeated.count() * BITS_PER_GRAM // BLOCK_BITS))
+    wanted = repeated.count() * BITS_PER_GRAM
+    return rows, repeated, min(MAX_FILTER_BITS, BLOCK_BITS * (1 + wanted // BLOCK_BITS))
+
+
+GROUP = "first_doc_id long, first_start int, length int, doc_id long, start int"
+
+
+def repeat_groups(docs: DataFrame) -> DataFrame:
+    """All places of every maximal repeat, within the context of an anchor.
+
+    A row per place: `doc_id, start`, with the repeat's length and its first place, which
+    names the group. Every place of a group's string is there. Meant for inspection: unlike
+    `repeat_spans` it keeps each place, so the places of one anchor string meet in one task.
+    """
+    rows, repeated, bits = searched(docs)
+    known = bloom_filter(repeated, bits)
+    places = repeated_places(rows, known, known, np.zeros_like(known), combine=False)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = list(batches)
+        if not found:
+            return
+        names = [part.split()[0] for part in GROUP.split(", ")]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+        for columns in groups_in(pa.Table.from_batches(found)):
+            arrays = [pa.array(c.astype(np.int64)).cast(k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return places.repartition("gram").mapInArrow(scan, GROUP).distinct()
+
+
+def repeat_spans(docs: DataFrame) -> DataFrame:
+    """`doc_id, begins, ends`: overlapping stretches of bytes that also start earlier."""
+    rows, repeated, bits = searched(docs)
     diverse = repeated.where("diverse")
     hot = diverse.where(F.col("places") > HOT_PLACES)
     places = repeated_places(rows, *(bloom_filter(grams, bits) for grams in (repeated, diverse, hot)))

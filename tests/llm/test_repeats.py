@@ -79,6 +79,35 @@ def test_rows_without_and_with_repeated_id(spark):
     assert gone == [(0, False), (5, False), (5, False), (6, True)]
 
 
+def test_groups_hold_every_place(spark):
+    draw = np.random.default_rng(5)
+    passages = [words(draw, n) for n in (30, 45, 70)]
+    texts = {
+        i: words(draw, 5) + passages[i % 3][: 110 + 5 * i] + words(draw, 4) + passages[i % 2]
+        for i in range(12)
+    }
+    texts |= {20: texts[3], 21: texts[3], 22: "ab" * 120}
+    raw = {i: text.encode() for i, text in texts.items()}
+    docs = spark.createDataFrame([(i, t, "s") for i, t in texts.items()], SCHEMA)
+    groups = {}
+    for r in repeats.repeat_groups(docs.repartition(3)).collect():
+        key = r.first_doc_id, r.first_start, r.length
+        groups.setdefault(key, set()).add((r.doc_id, r.start))
+    for (doc_id, start, length), places in groups.items():
+        string = raw[doc_id][start : start + length]
+        everywhere = {
+            (i, at) for i, b in raw.items() for at in range(len(b)) if b[at : at + length] == string
+        }
+        assert len(string) == length >= 100 and places == everywhere and len(places) > 1
+        assert (doc_id, start) == min(places)
+    covered = {i: np.zeros(len(b), bool) for i, b in raw.items()}
+    for (doc_id, start, length), places in groups.items():
+        for i, at in places - {(doc_id, start)}:
+            covered[i][at : at + length] = True
+    expected = plain(texts)
+    assert {i: int(c.sum()) for i, c in covered.items()} == {i: v[1] for i, v in expected.items()}
+
+
 def test_empty_table(spark):
     assert repeats.digest(spark.createDataFrame([], SCHEMA)).count() == 0
 
