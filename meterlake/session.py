@@ -44,5 +44,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 @functools.cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """Removed when Python ends."""
+    return tempfile.TemporaryDirectory(prefix="meterlake-", ignore_cleanup_errors=True)
+
+
 def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="meterlake-")
+    return _local_folder().name
