@@ -70,10 +70,15 @@ class Pieces:
     def best_path(self, chunk: str) -> list[int]:
         """Ids of the segmentation with the largest sum of scores; of equal ones, that whose
         last differing piece is longer."""
-        if SPACE in chunk:  # the mark itself, in a text, is not a space
-            before, _, after = chunk.partition(SPACE)
-            return [*self.best_path(before), *self.in_bytes(SPACE), *self.best_path(after)]
-        text = chunk.replace(" ", SPACE)
+        first, *others = chunk.split(SPACE)  # the mark itself, in a text, is not a space
+        ids = self.best_part(first)
+        for part in others:
+            ids += self.in_bytes(SPACE)
+            ids += self.best_part(part)
+        return ids
+
+    def best_part(self, part: str) -> list[int]:
+        text = part.replace(" ", SPACE)
         best, back = [0.0], [(0, 0)]
         matches = self.automaton.iter(text)
         match = next(matches, None)

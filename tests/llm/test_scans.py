@@ -215,6 +215,13 @@ def test_round_trip_of_documents(spark):
         assert row.decoded_sha256 == hashlib.sha256((docs[row.doc_id] or "").encode()).hexdigest()
 
 
+def test_thousands_of_marks_in_a_text(spark):
+    texts = ["▁" * 5000, "▁word" * 3000, "a" + "▁▁b" * 2000 + " c"]
+    encoded = sentence_pieces.encode(table(spark, texts))
+    decoded = {r.doc_id: r.text for r in sentence_pieces.decode(encoded).collect()}
+    assert [decoded[i] for i in range(len(texts))] == texts
+
+
 # --- surrogates
 
 PRIVATE = [
