@@ -1,14 +1,18 @@
-"""SentencePiece encoding and decoding.
-
-An Aho-Corasick automaton over all pieces reads a text once. At every position its output
-links name the pieces that end there, each of which may improve the best score up to that
-position; the best path is the encoding. Characters without a piece become byte pieces.
+"""SentencePiece encoding and decoding, for models trained by merges.
+
+The encoding is what is left when the best-scored pair of neighbours is merged until none is a
+piece. An Aho-Corasick automaton over all pieces reads a text once. At every position its
+output links name the pieces that end there; the last piece of the encoding up to there is the
+one that its neighbour, the last piece of the encoding up to its start, leaves as it is when the
+two are merged alone. Every part of an encoding is the encoding of that part, so one piece for
+each position is enough. Characters without a piece become byte pieces.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,11 +27,7 @@ from meterlake.llm.packing import public_path
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
-# Penalty of a character that no piece covers, below the worst piece.
-UNKNOWN_PENALTY = 10.0
-# Runs of spaces are pieces without a score of their own and win over single spaces.
-UNSCORED = -1e8
-# Bound of the memory for encoded words in a Python worker.
+# Bound of the memory for encoded words, and for pairs of pieces, in a Python worker.
 CACHE_ENTRIES = 300_000
 
 
@@ -38,19 +38,19 @@ class Pieces:
         self.byte_ids = byte_ids
         self.bytes_of = {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.bytes_of |= {i: p.replace(SPACE, " ").encode() for p, (i, _) in scores.items()}
-        self.single = {piece for piece in scores if len(piece) == 1}
-        worst = min(score for _, score in scores.values() if score > UNSCORED)
-        self.unknown = worst - UNKNOWN_PENALTY
+        self.ids = {piece: i for piece, (i, _) in scores.items()}
+        self.ranks = {piece: -score for piece, (_, score) in scores.items()}
         self.automaton = ahocorasick.Automaton()
-        for piece, (i, score) in scores.items():
+        for piece in scores:
             if SPACE in piece.lstrip(SPACE) or "\n" in piece:
                 raise ValueError("a piece reaches across words")
-            value = score if score > UNSCORED else -0.1
-            self.automaton.add_word(piece, (i, len(piece), value))
+            if self.merged(piece) == [piece]:  # no merges lead to any other
+                self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
         self.known: dict[str, list[int]] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
 
-    # No piece reaches across these borders, so the best path runs through them.
+    # No piece reaches across these borders, so the encoding is divided there.
     chunk = re.compile(r" *[^ \n]+|\n| +")
 
     def encode(self, text: str) -> list[int]:
@@ -63,49 +63,91 @@ class Pieces:
             if found is None:
                 if len(known) >= CACHE_ENTRIES:
                     known.clear()
-                found = known[chunk] = self.best_path(chunk)
+                found = known[chunk] = self.encode_chunk(chunk)
             ids += found
         return ids
 
-    def best_path(self, chunk: str) -> list[int]:
-        """Ids of the segmentation with the largest sum of scores; of equal ones, that whose
-        last differing piece is longer."""
+    def encode_chunk(self, chunk: str) -> list[int]:
         first, *others = chunk.split(SPACE)  # the mark itself, in a text, is not a space
-        ids = self.best_part(first)
+        ids = self.encode_part(first)
         for part in others:
             ids += self.in_bytes(SPACE)
-            ids += self.best_part(part)
+            ids += self.encode_part(part)
         return ids
 
-    def best_part(self, part: str) -> list[int]:
+    def encode_part(self, part: str) -> list[int]:
         text = part.replace(" ", SPACE)
-        best, back = [0.0], [(0, 0)]
+        # Runs of spaces have equal scores, so that their merges depend on the whole run.
+        pieces = self.merged(text) if text.startswith(2 * SPACE) else self.relaxed(text)
+        ids: list[int] = []
+        for piece in pieces:
+            if piece in self.ids:
+                ids.append(self.ids[piece])
+            else:
+                ids += self.in_bytes(piece)
+        return ids
+
+    def relaxed(self, text: str) -> list[str]:
+        """The pieces of a text without a run of spaces, from the automaton."""
+        last: list[str] = [""]
         matches = self.automaton.iter(text)
         match = next(matches, None)
         for end, char in enumerate(text):
-            top, step = float("-inf"), (-1, 1)
-            if char not in self.single:
-                top = best[end] + self.unknown
+            # A character without a piece stands alone.
+            found = char
             while match is not None and match[0] == end:
-                i, length, score = match[1]
-                score += best[end + 1 - length]
-                if score > top or (score == top and length > step[1]):
-                    top, step = score, (i, length)
+                before = last[end + 1 - len(match[1])]
+                if len(match[1]) > len(found) and self.stay_apart(before, match[1]):
+                    found = match[1]
                 match = next(matches, None)
-            best.append(top)
-            back.append(step)
-        ids, end = [], len(text)
+            last.append(found)
+        pieces, end = [], len(text)
         while end:
-            i, length = back[end]
-            if i >= 0:
-                ids.append(i)
-            else:
-                ids += self.in_bytes(text[end - 1])[::-1]
-            end -= length
-        return ids[::-1]
-
-    def in_bytes(self, char: str) -> list[int]:
-        return [self.byte_ids[b] for b in char.encode()]
+            pieces.append(last[end])
+            end -= len(last[end])
+        return pieces[::-1]
+
+    def stay_apart(self, before: str, piece: str) -> bool:
+        """Whether the merges of two pieces in a row lead to these two."""
+        pair = before, piece
+        found = self.pairs.get(pair)
+        if found is None:
+            if len(self.pairs) >= CACHE_ENTRIES:
+                self.pairs.clear()
+            found = self.pairs[pair] = not before or self.merged(before + piece) == [*pair]
+        return found
+
+    def merged(self, text: str) -> list[str]:
+        """The pieces of a text by merges, the best-scored first, of equal ones the leftmost."""
+        parts: list[str] = list(text)
+        after = list(range(1, len(parts) + 1))
+        before = list(range(-1, len(parts) - 1))
+        waiting: list[tuple[float, int, int, int]] = []
+
+        def offer(left: int, right: int) -> None:
+            joined = parts[left] + parts[right]
+            if (rank := self.ranks.get(joined)) is not None:
+                heapq.heappush(waiting, (rank, left, right, len(joined)))
+
+        for right in range(1, len(parts)):
+            offer(right - 1, right)
+        while waiting:
+            _, left, right, size = heapq.heappop(waiting)
+            # Either may have been merged with another one since.
+            if not parts[left] or not parts[right] or len(parts[left]) + len(parts[right]) != size:
+                continue
+            parts[left] += parts[right]
+            parts[right] = ""
+            after[left] = after[right]
+            if after[left] < len(parts):
+                before[after[left]] = left
+                offer(left, after[left])
+            if before[left] >= 0:
+                offer(before[left], left)
+        return [part for part in parts if part]
+
+    def in_bytes(self, text: str) -> list[int]:
+        return [self.byte_ids[b] for b in text.encode()]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode()[1:]

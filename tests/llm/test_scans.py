@@ -215,6 +215,19 @@ def test_round_trip_of_documents(spark):
         assert row.decoded_sha256 == hashlib.sha256((docs[row.doc_id] or "").encode()).hexdigest()
 
 
+@needs_tables
+def test_ids_are_those_of_the_library(spark):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    from meterlake.llm.packing import public_path
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_path(sentence_pieces.MODEL))
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    texts += [t for t in PIECE_TEXTS if t and "▁" not in t]
+    texts += [" " * n + "x" + " " * n for n in range(50)] + ["international the ☃☃ \t\n\n  x"]
+    encode = sentence_pieces.load_pieces().encode
+    assert [i for i, text in enumerate(texts) if encode(text) != library.encode(text)] == []
+
+
 def test_thousands_of_marks_in_a_text(spark):
     texts = ["▁" * 5000, "▁word" * 3000, "a" + "▁▁b" * 2000 + " c"]
     encoded = sentence_pieces.encode(table(spark, texts))
