@@ -5,11 +5,14 @@ secret key derives from type and canonical form: one entity gets one surrogate i
 document. Surrogates keep the type and its format: letters stay letters of the same case,
 digits stay digits, card numbers pass the Luhn test, names keep title, gender and script. The
 surrogates of all entities are checked against each other and against all originals; those
-that collide are derived again, so that different entities stay different.
+that collide are derived again, so that different entities stay different. Family and given
+names are entities of their own, whatever the title, and full names are composed of theirs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterlake.llm.common import stored
@@ -17,6 +20,10 @@ from meterlake.llm.common import stored
 KEY = "replace with a secret of your own"
 # Attempts with the exact format; later ones are made longer until they are distinct.
 SAME_FORMAT_ATTEMPTS = 8
+# Of a name: 32 ** 5 are 33 million. Later attempts have more.
+SYLLABLES = 5
+# What a stem of syllables may end in; syllables have two letters, so an ending can be told.
+ENDINGS = ("n", "na", "н", "на", "нов", "нова")
 
 # Titles that show a gender.
 MALE_TITLES = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Signor", "Господин")
@@ -160,36 +167,24 @@ def octets(hexes: Column) -> Column:
     return F.concat_ws(".", *parts)
 
 
-def name_word(word: Column, hexes: Column, ending: Column) -> Column:
-    """Three syllables in the script of the word, and an ending."""
-    cyrillic = word.rlike(r"\p{IsCyrillic}")
+def name_stem(key: str, role: Column, word: Column, attempt: int) -> Column:
+    """Syllables in the script of the word."""
+    hexes = noise(key, role, word, F.lit(str(attempt)))
+    size = SYLLABLES + max(0, attempt - SAME_FORMAT_ATTEMPTS + 1)
 
-    def syllables(table: tuple) -> list[Column]:
+    def syllables(table: tuple) -> Column:
         choices = F.array(*map(F.lit, table))
-        return [choices[number(hexes, F.lit(i)) % len(table)] for i in range(3)]
+        return F.concat(*(choices[number(hexes, F.lit(i)) % len(table)] for i in range(size)))
 
-    made = F.when(cyrillic, F.concat(*syllables(CYRILLIC))).otherwise(F.concat(*syllables(LATIN)))
-    return F.concat(F.initcap(made), ending)
+    cyrillic = word.rlike(r"\p{IsCyrillic}")
+    return F.initcap(F.when(cyrillic, syllables(CYRILLIC)).otherwise(syllables(LATIN)))
 
 
 def surrogate(key: str, kind: Column, canonical: Column, attempt: int) -> Column:
-    """The canonical surrogate. Names are derived word by word, so that a family name alone
-    and with a given name stay recognisable as one."""
+    """The canonical surrogate of all but names."""
     tried = F.lit(str(attempt))
     hexes = noise(key, kind, canonical, tried)
     local = F.substring_index(canonical, "@", 1)
-    family = F.element_at(F.split(canonical, " "), -1)
-    given = F.when(canonical.contains(" "), F.substring_index(canonical, " ", 1))
-    cyrillic = family.rlike(r"\p{IsCyrillic}")
-    family_ending = (
-        F.when(cyrillic & (kind == "name_f"), "нова").when(cyrillic, "нов").otherwise("n")
-    )
-    given_ending = F.when(kind == "name_f", F.when(cyrillic, "на").otherwise("na")).otherwise(
-        F.when(cyrillic, "н").otherwise("n")
-    )
-    # A family name takes the same surrogate for both genders but for its ending.
-    family_name = name_word(family, noise(key, F.lit("family"), family, tried), family_ending)
-    given_name = name_word(given, noise(key, F.lit("given"), kind, given, tried), given_ending)
     made = (
         F.when(kind == "email", F.concat(same_shape(local, hexes), F.lit("@example.net")))
         .when(kind == "ipv4", octets(hexes))
@@ -199,7 +194,6 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: int) -> Column
         .when(kind == "ssn", F.concat(F.lit("9"), F.substring(same_shape(canonical, hexes), 2, 8)))
         .when(kind == "iban", same_shape(canonical, hexes, keep=2))
         .when(kind == "key_block", F.concat(F.lit("[private key "), F.substring(hexes, 1, 16), F.lit("]")))
-        .when(kind.startswith("name"), F.concat_ws(" ", F.when(given.isNotNull(), given_name), family_name))
         .when(canonical.rlike("^(?:AKIA|ASIA|ghp_|gho_|xox.-)"), same_shape(canonical, hexes, keep=4))
         .when(canonical.rlike("^[0-9a-f]+$"), hex_shape(canonical, hexes))
         .otherwise(same_shape(canonical, hexes))
@@ -252,17 +246,33 @@ def entities(docs: DataFrame) -> DataFrame:
 def assign(found: DataFrame, key: str = KEY) -> DataFrame:
     """`kind, canonical, surrogate` for each different entity of `found(kind, canonical)`.
 
-    No two of one kind share a surrogate, and no surrogate is an original of its kind. Of
-    entities that collide the smallest keeps the surrogate, the others try again.
+    No two of one kind share a surrogate, and no surrogate is an original of its kind; for this,
+    names are of one kind, whatever the title.
     """
     originals = stored(found.select("kind", "canonical").distinct(), "entities")
-    taken = originals.select("kind", F.col("canonical").alias("surrogate"))
+    is_name = F.col("kind").startswith("name")
+    others = originals.where(~is_name)
+    taken = others.select("kind", F.col("canonical").alias("surrogate"))
+
+    def made(attempt: int) -> Column:
+        return surrogate(key, F.col("kind"), F.col("canonical"), attempt)
+
+    return collision_rounds(others, taken, made).unionByName(
+        assign_names(originals.where(is_name), key)
+    )
+
+
+def collision_rounds(
+    originals: DataFrame, taken: DataFrame, made: Callable[[int], Column]
+) -> DataFrame:
+    """`kind, canonical, surrogate`: distinct in each kind, and none of `taken`.
+
+    Of entities that collide the smallest keeps the surrogate, the others try again.
+    """
     pending, assigned, attempt = originals, None, 0
     while True:
-        made = pending.withColumn(
-            "surrogate", surrogate(key, F.col("kind"), F.col("canonical"), attempt)
-        )
-        free = made.join(taken, ["kind", "surrogate"], "left_anti")
+        tried = pending.withColumn("surrogate", made(attempt))
+        free = tried.join(taken, ["kind", "surrogate"], "left_anti")
         given = stored(
             free.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical")), "surrogates"
         )
@@ -274,6 +284,54 @@ def assign(found: DataFrame, key: str = KEY) -> DataFrame:
         attempt += 1
 
 
+def assign_names(names: DataFrame, key: str) -> DataFrame:
+    """`kind, canonical, surrogate` of names: a family name alone and with a given name, and a
+    given name under any title, keep their surrogate. Gender only chooses the ending."""
+    canonical, kind = F.col("canonical"), F.col("kind")
+    family = F.substring_index(canonical, " ", -1)
+    given = F.when(canonical.contains(" "), F.substring_index(canonical, " ", 1))
+    parts = names.withColumns({"family": family, "given": given})
+    words = stored(
+        parts.select(F.lit("family").alias("kind"), F.col("family").alias("canonical"))
+        .union(parts.where("given IS NOT NULL").select(F.lit("given").alias("kind"), "given"))
+        .distinct(),
+        "name-words",
+    )
+    # A stem that would give an original with some ending is taken, whatever the role.
+    stems = F.array(*(F.regexp_extract("canonical", f"^(.+){e}$", 1) for e in ENDINGS))
+    taken = (
+        words.select(F.explode(stems).alias("surrogate"))
+        .where("surrogate <> ''")
+        .select(F.explode(F.array(F.lit("family"), F.lit("given"))).alias("kind"), "surrogate")
+        .distinct()
+    )
+    found = collision_rounds(words, taken, lambda n: name_stem(key, kind, canonical, n))
+
+    def stem(role: str) -> DataFrame:
+        part = found.where(kind == role)
+        return part.select(canonical.alias(role), F.col("surrogate").alias(f"{role}_stem"))
+
+    female = kind == "name_f"
+    family_ending = (
+        F.when(F.col("family").rlike(r"\p{IsCyrillic}"), F.when(female, "нова").otherwise("нов"))
+        .otherwise("n")
+    )
+    given_ending = (
+        F.when(F.col("given").rlike(r"\p{IsCyrillic}"), F.when(female, "на").otherwise("н"))
+        .otherwise(F.when(female, "na").otherwise("n"))
+    )
+    return (
+        parts.join(stem("family"), "family")
+        .join(stem("given"), "given", "left")
+        .select(
+            "kind", "canonical",
+            F.concat_ws(
+                " ", F.concat("given_stem", given_ending), F.concat("family_stem", family_ending)
+            ).alias("surrogate"),
+        )
+    )
+
+
 def redact(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The rows of `docs` with surrogates in `text`, and `n_entities` (long) added, as by
     `with_surrogates`. A column of that name is replaced."""

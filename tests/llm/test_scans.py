@@ -313,3 +313,21 @@ def test_collisions_are_resolved(spark):
         made = [r.surrogate for r in given]
         assert len(set(made)) == len(made)
         assert not set(made) & {canonical for k, canonical in values if k == kind}
+
+
+def test_names_keep_their_parts_under_any_title(spark):
+    """So many surnames that three syllables have collisions."""
+    surnames = ["S" + "".join(chr(97 + n // 26**k % 26) for k in range(3)) for n in range(3000)]
+    values = [("name_m", s) for s in surnames] + [("name", f"Anna {s}") for s in surnames]
+    values += [("name_f", f"Anna {s}") for s in surnames[:1500]] + [("name_m", "Иван Петров")]
+    found = spark.createDataFrame(values, "kind string, canonical string")
+    made = {(r.kind, r.canonical): r.surrogate for r in pii.assign(found).collect()}
+    assert made.keys() == set(values)
+    alone = {s: made["name_m", s] for s in surnames}
+    assert len(set(alone.values())) == len(surnames)
+    parted = [s for s in surnames if made["name", f"Anna {s}"].split()[1] != alone[s]]
+    parted += [s for s in surnames[:1500] if made["name_f", f"Anna {s}"].split()[1] != alone[s]]
+    assert len(parted) == 0
+    given = {re.sub("na?$", "", m.split()[0]) for (_, c), m in made.items() if c.startswith("Anna")}
+    assert len(given) == 1
+    assert re.fullmatch("[а-яА-Я]+н [а-яА-Я]+нов", made["name_m", "Иван Петров"])
