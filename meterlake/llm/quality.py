@@ -2,14 +2,16 @@
 
 Each document has a strength, a weighted sum of features of its text. A pair of a good and a
 bad document is a comparison that the good one won; the weights minimise the logistic loss on
-the difference of the two feature vectors. A quantile of the strengths of the labelled rows
-becomes the cut, and the score is shifted so that the cut scores `CUT_SCORE`.
+the difference of the two feature vectors. Weights come from a sample. All labelled rows
+outside the held-out fold say which share of each label lies below a strength, and so which
+quantile parts the labels best; that quantile of the strengths of all documents becomes the
+cut, and the score is shifted so that the cut scores `CUT_SCORE`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -22,6 +24,10 @@ from meterlake.llm.common import documents, table, text_of
 SAMPLE_PER_LABEL = 4000
 PAIRS_PER_DOCUMENT = 8
 CUT_SCORE = 0.3
+# Steps of strength in which documents are counted for the quantile; STEPS bounds what reaches
+# the driver, two rows for each of them.
+STEP = 0.002
+STEPS = 50_000
 HELD_OUT_FOLDS = 5
 
 FEATURES = (
@@ -47,8 +53,11 @@ class Ranking:
     weights: np.ndarray
     cut: float
 
+    def strengths(self, features: np.ndarray) -> np.ndarray:
+        return (features - self.centre) / self.spread @ self.weights
+
     def scores(self, features: np.ndarray) -> np.ndarray:
-        strength = (features - self.centre) / self.spread @ self.weights
+        strength = self.strengths(features)
         shift = np.log(CUT_SCORE / (1 - CUT_SCORE))
         return 1 / (1 + np.exp(-np.clip(strength - self.cut + shift, -30, 30)))
 
@@ -88,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_LABEL) -> R
     """Learn from labelled rows outside the held-out fold; None without both labels.
 
     At most `sample` rows of each label, those with the smallest hash of their doc_id, come
-    to the driver, as feature vectors.
+    to the driver, as feature vectors. The cut comes from all rows of `docs`.
     """
     known = labels.where(~held_out() & F.col("quality").isin(0, 1)).select("doc_id", "quality")
     chosen = None
@@ -110,11 +119,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_LABEL) -> R
     good = learned["quality"].to_numpy() == 1
     if good.all() or not good.any():
         return None
-    shares = {row["quality"]: row["count"] for row in known.groupBy("quality").count().collect()}
-    return rank(np.stack(learned["features"]), good, shares[0] / (shares[0] + shares[1]))
+    ranking = rank(np.stack(learned["features"]), good)
+    return replace(ranking, cut=cut_of(*counts_of(docs, known, ranking)))
 
 
-def rank(features: np.ndarray, good: np.ndarray, bad_share: float) -> Ranking:
+def rank(features: np.ndarray, good: np.ndarray) -> Ranking:
+    """The weights; the cut is still open."""
     centre, spread = features.mean(0), features.std(0) + 1e-6
     scaled = (features - centre) / spread
     draw = np.random.default_rng(0)
@@ -129,25 +139,45 @@ def rank(features: np.ndarray, good: np.ndarray, bad_share: float) -> Ranking:
         curve = difference * (lost * (1 - lost))[:, None]
         hessian = difference.T @ curve / pairs + 1e-3 * np.eye(len(weights))
         weights -= np.linalg.solve(hessian, gradient)
-    return Ranking(centre, spread, weights, cut_of(scaled @ weights, good, bad_share))
+    return Ranking(centre, spread, weights, 0.0)
+
 
+def counts_of(docs: DataFrame, known: DataFrame, ranking: Ranking) -> tuple[np.ndarray, ...]:
+    """Steps of strength in order, and in each the bad and good training rows and all documents."""
 
-def cut_of(strength: np.ndarray, good: np.ndarray, bad_share: float) -> float:
-    """The quantile of strength that parts the labels best.
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            strength = ranking.strengths(feature_matrix(batch.column("text").to_pylist()))
+            step = np.clip(np.floor(strength / STEP), -STEPS, STEPS - 1).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(step)], ["doc_id", "step"])
 
-    Quantiles are those of the corpus: rows are weighted so that `bad_share` of the weight is
-    on bad documents. Both labels count alike; of equally good cuts the middle one is taken.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    steps = rows.mapInArrow(placed, "doc_id long, step long")
+    label = known.groupBy("doc_id").agg(
+        F.sum((F.col("quality") == 0).cast("long")).alias("bad"),
+        F.sum((F.col("quality") == 1).cast("long")).alias("good"),
+    )
+    found = (
+        steps.join(label, "doc_id", "left")
+        .groupBy("step")
+        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("n"))
+        .toPandas()
+        .fillna(0)
+        .sort_values("step")
+    )
+    return tuple(found[name].to_numpy() for name in ("step", "bad", "good", "n"))
+
+
+def cut_of(step: np.ndarray, bad: np.ndarray, good: np.ndarray, documents: np.ndarray) -> float:
+    """The quantile of the documents' strength that parts the labels best.
+
+    Both labels count alike; of equally good quantiles the middle one is taken.
     """
-    order = np.argsort(strength, kind="stable")
-    bad = ~good[order]
-    weight = np.where(bad, bad_share / bad.sum(), (1 - bad_share) / good.sum())
-    quantile = np.cumsum(weight)
-    caught = np.cumsum(bad) / bad.sum()
-    lost = np.cumsum(~bad) / good.sum()
-    gain = caught - lost
+    quantile = np.cumsum(documents) / documents.sum()
+    gain = np.cumsum(bad) / max(1, bad.sum()) - np.cumsum(good) / max(1, good.sum())
     best = quantile[gain >= gain.max() - 1e-12]
-    at = min(len(order) - 2, int(np.searchsorted(quantile, (best[0] + best[-1]) / 2)))
-    return float(strength[order][at : at + 2].mean())
+    at = int(np.searchsorted(quantile, (best[0] + best[-1]) / 2))
+    return float(step[at] + 1) * STEP
 
 
 def score_documents(docs: DataFrame, ranking: Ranking | None) -> DataFrame:

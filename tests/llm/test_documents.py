@@ -289,3 +289,25 @@ def test_quality_without_labels_and_awkward_texts(spark, docs, empty):
     kept = quality.keep_good(docs, both)
     assert kept.columns == docs.columns
     assert kept.count() == scored.where("predicted = 1").count()
+
+
+def test_cut_is_a_quantile_of_all_documents(spark):
+    """Labelled rows outside the sample and documents without a label move the cut."""
+    draw = np.random.default_rng(1)
+    rows = [(i, "good words here " * 20 + "# " * int(draw.integers(0, 60))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [text.count("#") for _, text in rows]
+    noisy = [int(m + draw.normal() * 12 < 30) for m in marks[:300]]
+    labels = spark.createDataFrame(list(enumerate(noisy)), "doc_id long, quality int")
+    ranking = quality.fit(docs, labels, sample=20)
+    features = quality.feature_matrix([text for _, text in rows])
+    strength = (features - ranking.centre) / ranking.spread @ ranking.weights
+    held = {r.doc_id for r in docs.where(quality.held_out()).collect()}
+    train = [i for i in range(300) if i not in held]
+    bad = np.array([strength[i] for i in train if not noisy[i]])
+    good = np.array([strength[i] for i in train if noisy[i]])
+
+    def gain(cut):
+        return (bad < cut).mean() - (good < cut).mean()
+
+    assert gain(ranking.cut) >= max(gain(cut) for cut in strength) - 0.02
