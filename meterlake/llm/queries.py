@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.llm import (
-    exact_dedup, licenses, line_dedup, neighbours, packing, pii, quality, repeats,
+    byte_bpe, exact_dedup, licenses, line_dedup, neighbours, packing, pii, quality, repeats,
     sentence_pieces, simhash,
 )
 from meterlake.llm.common import documents
@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {
     "op8_sentence_pieces": over_documents(sentence_pieces.digest),
     "op9_pii_surrogates": over_documents(pii.digest),
     "op10_quality_classifier": quality.query,
+    "op13_byte_bpe": byte_bpe.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
