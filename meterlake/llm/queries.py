@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.llm import (
-    byte_bpe, exact_dedup, lexical, licenses, line_dedup, neighbours, packing, pii, quality, repeats,
+    byte_bpe, exact_dedup, hard_negatives, lexical, licenses, line_dedup, neighbours, packing, pii, quality, repeats,
     sentence_pieces, simhash,
 )
 from meterlake.llm.common import documents
@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {
     "op8_sentence_pieces": over_documents(sentence_pieces.digest),
     "op9_pii_surrogates": over_documents(pii.digest),
     "op10_quality_classifier": quality.query,
+    "op11_hard_negatives": hard_negatives.query,
     "op12_lexical_search": lexical.query,
     "op13_byte_bpe": byte_bpe.query,
 }
@@ -38,5 +39,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
     "op4_license_scan": licenses.oracle_sql(),
     "op5_line_dedup": line_dedup.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
     "op12_lexical_search": lexical.ORACLE_SQL,
 }
