@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import heapq
 import itertools
 import struct
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +28,8 @@ from meterlake.llm.common import documents, text_of
 RANKS = "byte_bpe_multi_50k.tiktoken"
 # Characters that a task splits at a time; the pre-tokens of a block are in memory together.
 BLOCK_CHARS = 1 << 21
-# Merged pre-tokens that a worker remembers: this many new ones, and as many from before.
-REMEMBERED = 250_000
+# Pre-tokens that a worker remembers: this many and those of a block, and as many from before.
+REMEMBERED = 300_000
 KEYS_PER_BUCKET = 4
 PACK = struct.Struct("<I").pack
 MIX, STIR = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -108,6 +109,7 @@ class Codec:
         # Ranks of what a merge can make. The heap asks for one pair at a time.
         self.rank_of = ranks.get
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.name_of = {rank: str(rank) for rank in self.bytes_of}
         self.recent: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
 
@@ -115,7 +117,8 @@ class Codec:
         """Ids of every text, as little-endian 32-bit numbers one after the other."""
         for some in blocks(texts):
             if len(some) == 1 and len(some[0]) > BLOCK_CHARS:
-                yield b"".join(self.joined(part) for part in self.parts(some[0]))
+                parts = self.parts(some[0])
+                yield b"".join(b"".join(map(self.codes(part).__getitem__, part)) for part in parts)
                 continue
             split = [self.pattern.findall(text) for text in some]
             codes = self.codes(itertools.chain.from_iterable(split))
@@ -127,26 +130,22 @@ class Codec:
         while part := list(itertools.islice(found, BLOCK_CHARS // 4)):
             yield part
 
-    def joined(self, tokens: list[str]) -> bytes:
-        return b"".join(map(self.codes(tokens).__getitem__, tokens))
-
     def codes(self, tokens: Iterable[str]) -> dict[str, bytes]:
-        """Packed ids of every distinct pre-token."""
-        distinct = list(set(tokens))
-        raw = [token.encode() for token in distinct]
-        whole = self.hash.find(raw)
-        packed = whole.astype("<u4").tobytes()
-        codes = {token: packed[4 * i : 4 * i + 4] for i, token in enumerate(distinct)}
-        for i in np.flatnonzero(whole < 0).tolist():
-            token = distinct[i]
-            known = self.recent.get(token)
+        """Packed ids by pre-token, for these and others met before."""
+        if len(self.recent) > REMEMBERED:
+            self.recent, self.earlier = {}, self.recent
+        new = []
+        for token in set(tokens) - self.recent.keys():
+            known = self.earlier.get(token)
             if known is None:
-                known = self.earlier.get(token) or b"".join(map(PACK, self.merged(raw[i])))
+                new.append(token)
+            else:
                 self.recent[token] = known
-                if len(self.recent) > REMEMBERED:
-                    self.recent, self.earlier = {}, self.recent
-            codes[token] = known
-        return codes
+        raw = [token.encode() for token in new]
+        for token, data, whole in zip(new, raw, self.hash.find(raw).tolist()):
+            ids = [whole] if whole >= 0 else self.merged(data)
+            self.recent[token] = b"".join(map(PACK, ids))
+        return self.recent
 
     def merged(self, token: bytes) -> list[int]:
         """Ids of a byte string: the pair of neighbours of the lowest rank is joined, the
@@ -222,7 +221,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
         codec = load_codec(path, pattern)
         for batch in batches:
             ids = codec.encode(batch.column("text").to_pylist())
-            yield from in_blocks(batch.column("doc_id"), ids, lists_of_ids, "ids")
+            yield from in_blocks(batch.column("doc_id"), ids)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return rows.mapInArrow(encoded, "doc_id long, ids array<int>")
@@ -238,50 +237,75 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         codec = load_codec(path)
         for batch in batches:
             ids = batch.column("ids")
-            raw = pa.array((codec.decode(row.as_py() or []) for row in ids), pa.large_binary())
+            raw = [codec.decode(numbers) for numbers in numbers_of(ids)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), ids, raw.cast(pa.binary())], ["doc_id", "ids", "decoded"]
+                [batch.column("doc_id"), ids, pa.array(raw, pa.binary())], ["doc_id", "ids", "decoded"]
             )
 
     rows = encoded.select("doc_id", "ids")
     return rows.mapInArrow(decoded, "doc_id long, ids array<int>, decoded binary")
 
 
-def in_blocks(
-    doc_ids: pa.Array, packed: Iterable[bytes], column: Callable, name: str
-) -> Iterator[pa.RecordBatch]:
+def numbers_of(ids: pa.ListArray) -> Iterator[list[int]]:
+    """Each row's ids; `flatten` leaves null rows out, whose length counts as none."""
+    sizes = ids.value_lengths().fill_null(0).to_numpy()
+    values = ids.flatten().to_numpy()
+    for end, size in zip(np.cumsum(sizes).tolist(), sizes.tolist()):
+        yield values[end - size : end].tolist()
+
+
+def in_blocks(doc_ids: pa.Array, packed: Iterable[bytes]) -> Iterator[pa.RecordBatch]:
     """Batches of about `BLOCK_CHARS` ids, so that long texts do not pile up in one."""
+
+    def block(at: int, run: list[bytes]) -> pa.RecordBatch:
+        ends = np.cumsum([0] + [len(ids) // 4 for ids in run])
+        values = np.frombuffer(b"".join(run), "<i4")
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+        return pa.RecordBatch.from_arrays([doc_ids[at : at + len(run)], lists], ["doc_id", "ids"])
+
     at, run, size = 0, [], 0
     for ids in packed:
         run.append(ids)
         size += len(ids)
         if size > 4 * BLOCK_CHARS:
-            yield pa.RecordBatch.from_arrays([doc_ids[at : at + len(run)], column(run)], ["doc_id", name])
+            yield block(at, run)
             at, run, size = at + len(run), [], 0
     if run:
-        yield pa.RecordBatch.from_arrays([doc_ids[at:], column(run)], ["doc_id", name])
+        yield block(at, run)
 
 
-def lists_of_ids(packed: list[bytes]) -> pa.Array:
-    ends = np.cumsum([0] + [len(ids) // 4 for ids in packed])
-    values = np.frombuffer(b"".join(packed), "<i4")
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+def digest(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """`doc_id, n_tokens, ids_sha256, decoded_sha256` of every row: encoded, and decoded again.
 
+    As `encode` and `decode` one after the other, but the ids stay in the worker. A null or
+    empty text has no tokens and the checksums of an empty string; a table without rows gives
+    none.
+    """
 
-def digest(docs: DataFrame) -> DataFrame:
-    """`doc_id, n_tokens, ids_sha256, decoded_sha256` of every row: encoded, decoded again.
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = load_codec(path, pattern)
+        for batch in batches:
+            rows = []
+            for packed in codec.encode(batch.column("text").to_pylist()):
+                ids = np.frombuffer(packed, "<u4").tolist()
+                named = ",".join(map(codec.name_of.__getitem__, ids)).encode()
+                rows.append((len(ids), sha256_of(named), sha256_of(codec.decode(ids))))
+            counts, ids_sums, text_sums = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sums, pa.string()),
+                 pa.array(text_sums, pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
-    A null or empty text has no tokens and the checksums of an empty string; a table without
-    rows gives none.
-    """
-    both = decode(encode(docs))
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    return rows.mapInArrow(
+        digested, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
 
+def sha256_of(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return digest(documents(spark, sf_dir))
