@@ -1,11 +1,13 @@
 """SentencePiece encoding and decoding, for models trained by merges.
 
-The encoding is what is left when the best-scored pair of neighbours is merged until none is a
-piece. An Aho-Corasick automaton over all pieces reads a text once. At every position its
-output links name the pieces that end there; the last piece of the encoding up to there is the
-one that its neighbour, the last piece of the encoding up to its start, leaves as it is when the
-two are merged alone. Every part of an encoding is the encoding of that part, so one piece for
-each position is enough. Characters without a piece become byte pieces.
+An Aho-Corasick automaton over all pieces reads a text once. At every position its output links
+name the pieces that end there; each takes the best sum of scores up to its start one step
+further, and the best of these sums is kept with its last piece. A step is allowed only from a
+piece that it leaves as it is: merging the two alone, best-scored pairs first, must lead to the
+same two. With this condition the best path is the model's own segmentation. Characters without
+a piece take a step of their own, below all scores, and become byte pieces. The one exception
+are words after a run of spaces: pieces of spaces have equal scores, so that their merges depend
+on the whole run, and such a part is merged as a whole.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,8 +31,12 @@ from meterlake.llm.packing import public_path
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
-# Bound of the memory for encoded words, and for pairs of pieces, in a Python worker.
+# Bound of the memory for encoded words, and for pairs of pieces, in a Python worker: this many
+# and those of a block, and as many words from before.
 CACHE_ENTRIES = 300_000
+# Characters whose words are in memory together.
+BLOCK_CHARS = 1 << 21
+BELOW_ALL = 10.0
 
 
 class Pieces:
@@ -39,33 +47,46 @@ class Pieces:
         self.bytes_of = {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.bytes_of |= {i: p.replace(SPACE, " ").encode() for p, (i, _) in scores.items()}
         self.ids = {piece: i for piece, (i, _) in scores.items()}
-        self.ranks = {piece: -score for piece, (_, score) in scores.items()}
+        self.scores = {piece: score for piece, (_, score) in scores.items()}
+        self.unknown = min(self.scores.values(), default=0.0) - BELOW_ALL
         self.automaton = ahocorasick.Automaton()
         for piece in scores:
             if SPACE in piece.lstrip(SPACE) or "\n" in piece:
                 raise ValueError("a piece reaches across words")
             if self.merged(piece) == [piece]:  # no merges lead to any other
-                self.automaton.add_word(piece, piece)
+                self.automaton.add_word(piece, (piece, self.scores[piece]))
         self.automaton.make_automaton()
-        self.known: dict[str, list[int]] = {}
+        self.recent: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
     # No piece reaches across these borders, so the encoding is divided there.
     chunk = re.compile(r" *[^ \n]+|\n| +")
 
     def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), "<u4").tolist()
+
+    def packed(self, text: str) -> bytes:
+        """The ids as little-endian 32-bit numbers one after the other."""
         if not text:
-            return []
-        ids: list[int] = []
-        known = self.known
-        for chunk in self.chunk.findall(" " + text):
-            found = known.get(chunk)
-            if found is None:
-                if len(known) >= CACHE_ENTRIES:
-                    known.clear()
-                found = known[chunk] = self.encode_chunk(chunk)
-            ids += found
-        return ids
+            return b""
+        if len(text) <= BLOCK_CHARS:
+            chunks = self.chunk.findall(" " + text)
+            return b"".join(map(self.codes(chunks).__getitem__, chunks))
+        found = (match.group() for match in self.chunk.finditer(" " + text))
+        parts = iter(lambda: list(itertools.islice(found, BLOCK_CHARS // 4)), [])
+        return b"".join(b"".join(map(self.codes(part).__getitem__, part)) for part in parts)
+
+    def codes(self, chunks: list[str]) -> dict[str, bytes]:
+        """Packed ids by chunk, for these and others met before."""
+        if len(self.recent) > CACHE_ENTRIES:
+            self.recent, self.earlier = {}, self.recent
+        for chunk in set(chunks) - self.recent.keys():
+            known = self.earlier.get(chunk)
+            if known is None:
+                known = np.array(self.encode_chunk(chunk), "<u4").tobytes()
+            self.recent[chunk] = known
+        return self.recent
 
     def encode_chunk(self, chunk: str) -> list[int]:
         first, *others = chunk.split(SPACE)  # the mark itself, in a text, is not a space
@@ -88,18 +109,22 @@ class Pieces:
         return ids
 
     def relaxed(self, text: str) -> list[str]:
-        """The pieces of a text without a run of spaces, from the automaton."""
-        last: list[str] = [""]
+        """The best path through a text without a run of spaces."""
+        sums, last = [0.0], [""]
         matches = self.automaton.iter(text)
         match = next(matches, None)
         for end, char in enumerate(text):
-            # A character without a piece stands alone.
-            found = char
+            best, found = -math.inf, char
             while match is not None and match[0] == end:
-                before = last[end + 1 - len(match[1])]
-                if len(match[1]) > len(found) and self.stay_apart(before, match[1]):
-                    found = match[1]
+                piece, score = match[1]
+                start = end + 1 - len(piece)
+                total = sums[start] + score
+                if total > best and self.stay_apart(last[start], piece):
+                    best, found = total, piece
                 match = next(matches, None)
+            if best == -math.inf:
+                best = sums[end] + self.unknown
+            sums.append(best)
             last.append(found)
         pieces, end = [], len(text)
         while end:
@@ -126,8 +151,8 @@ class Pieces:
 
         def offer(left: int, right: int) -> None:
             joined = parts[left] + parts[right]
-            if (rank := self.ranks.get(joined)) is not None:
-                heapq.heappush(waiting, (rank, left, right, len(joined)))
+            if (score := self.scores.get(joined)) is not None:
+                heapq.heappush(waiting, (-score, left, right, len(joined)))
 
         for right in range(1, len(parts)):
             offer(right - 1, right)
@@ -150,7 +175,10 @@ class Pieces:
         return [self.byte_ids[b] for b in text.encode()]
 
     def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode()[1:]
+        return self.decoded(ids).decode()
+
+    def decoded(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))[1:]
 
 
 @functools.cache
@@ -205,10 +233,11 @@ def digest(docs: DataFrame, model: str | None = None) -> DataFrame:
         for batch in batches:
             counts, sums, shas = [], [], []
             for text in batch.column("text").to_pylist():
-                ids = pieces.encode(text)
+                packed = pieces.packed(text)
+                ids = np.frombuffer(packed, "<u4").tolist()
                 counts.append(len(ids))
-                sums.append(zlib.crc32(np.array(ids, "<u4").tobytes()))
-                shas.append(hashlib.sha256(pieces.decode(ids).encode()).hexdigest())
+                sums.append(zlib.crc32(packed))
+                shas.append(hashlib.sha256(pieces.decoded(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums, pa.int64()),
                  pa.array(shas, pa.string())],

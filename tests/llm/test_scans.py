@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
@@ -154,56 +155,65 @@ PIECE_TEXTS = [
 ]
 
 
-def plain_best(pieces, chunk):
-    """Best score by trying every piece at every place."""
-    scores = {p: s for p, (_, s) in pieces.items()}
-    top = [0.0] + [-math.inf] * len(chunk)
-    for end in range(1, len(chunk) + 1):
-        for length in range(1, min(end, 16) + 1):
-            piece = chunk[end - length : end]
-            if piece in scores:
-                top[end] = max(top[end], top[end - length] + scores[piece])
-        if chunk[end - 1] not in scores:
-            top[end] = max(top[end], top[end - 1] + scores[None])
-    return top[-1]
-
-
-def model_scores():
-    sentencepiece = pytest.importorskip("sentencepiece")
-    from meterlake.llm.packing import public_path
-
-    read = sentencepiece.SentencePieceProcessor(model_file=public_path(sentencepiece_model()))
-    scores = {}
-    for i in range(259, read.get_piece_size()):
-        score = read.get_score(i)
-        scores[read.id_to_piece(i)] = (i, score if score > -1e8 else -0.1)
-    scores[None] = (None, min(s for _, s in scores.values()) - 10)
-    return scores
-
-
-def sentencepiece_model():
-    return sentence_pieces.MODEL
-
-
-def test_best_paths_and_round_trip(spark):
-    docs = table(spark, PIECE_TEXTS)
-    encoded = sentence_pieces.encode(docs)
-    ids = {r.doc_id: r.ids for r in encoded.collect()}
-    texts = {r.doc_id: r.text for r in sentence_pieces.decode(encoded).collect()}
-    assert {i: texts[i] for i in range(len(PIECE_TEXTS))} == {
-        i: text or "" for i, text in enumerate(PIECE_TEXTS)
-    }
-    scores = model_scores()
-    by_id = {i: (p, s) for p, (i, s) in scores.items() if p}
-    for i, text in enumerate(PIECE_TEXTS):
-        if not text or "▁" in text:
-            continue
-        got = sum(by_id[n][1] for n in ids[i] if n in by_id)
-        unknown = sum(
-            1 for char in (" " + text).replace(" ", "▁") if char not in scores
-        )
-        whole = (" " + text).replace(" ", "▁")
-        assert math.isclose(got + unknown * scores[None][1], plain_best(scores, whole))
+def small_pieces(words, seed):
+    """Pieces of a small alphabet, every one made of two others, with distinct scores."""
+    draw, made = random.Random(seed), list(words)
+    while len(made) < 40:
+        joined = draw.choice(made) + draw.choice(made)
+        if joined not in made and "▁" not in joined[1:]:
+            made.append(joined)
+    scores = {piece: (i, -float(i)) for i, piece in enumerate(made)}
+    return sentence_pieces.Pieces(scores, [1000 + b for b in range(256)])
+
+
+def all_paths(pieces, text):
+    """Every way through a text by pieces or lone unknown characters, as lists."""
+    if not text:
+        yield []
+    for size in range(1, len(text) + 1):
+        piece = text[:size]
+        if piece in pieces.scores or size == 1:
+            for rest in all_paths(pieces, text[size:]):
+                yield [piece, *rest]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_best_allowed_path(seed):
+    """The best sum of scores over all paths whose neighbours the merges leave apart, and the
+    result of the merges."""
+    draw = random.Random(seed)
+    pieces = small_pieces("▁abc", seed)
+    for _ in range(60):
+        text = "".join(draw.choices("abcx", [4, 4, 4, 1], k=draw.randrange(1, 9)))
+        text = draw.choice(["", "▁"]) + text
+        allowed = [
+            path for path in all_paths(pieces, text)
+            if all(pieces.merged(a + b) == [a, b] for a, b in zip(path, path[1:]))
+            and all(pieces.merged(a) == [a] for a in path)
+        ]
+        best = max(allowed, key=lambda path: sum(pieces.scores.get(p, pieces.unknown) for p in path))
+        assert pieces.relaxed(text) == best == pieces.merged(text)
+
+
+def test_texts_and_no_rows(spark):
+    """Round trip of awkward texts; rows that repeat, clashing columns, a table without rows."""
+    docs = table(spark, PIECE_TEXTS).withColumn("ids", F.lit("x"))
+    encoded = sentence_pieces.encode(docs.unionByName(docs))
+    texts = [(r.doc_id, r.text) for r in sentence_pieces.decode(encoded).collect()]
+    once = [(r.doc_id, r.text or "") for r in docs.collect()]
+    assert Counter(texts) == Counter(once * 2)
+    assert sentence_pieces.digest(docs).count() == len(once)
+    assert sentence_pieces.digest(docs.limit(0)).collect() == []
+    assert sentence_pieces.encode(docs.limit(0)).collect() == []
+
+
+def test_long_texts_in_parts_and_small_memory(monkeypatch):
+    pieces = sentence_pieces.load_pieces.__wrapped__()
+    texts = [t for t in PIECE_TEXTS if t] + ["some words, " * 500]
+    whole = [pieces.encode(text) for text in texts]
+    monkeypatch.setattr(sentence_pieces, "BLOCK_CHARS", 40)
+    monkeypatch.setattr(sentence_pieces, "CACHE_ENTRIES", 5)
+    assert [sentence_pieces.load_pieces.__wrapped__().encode(text) for text in texts] == whole
 
 
 @needs_tables
