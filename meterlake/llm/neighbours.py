@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlake.llm.common import stored, table
 
@@ -29,6 +29,7 @@ LEAST_ROWS = 200
 # Rows that fit the centre and spread of the projections.
 FIT_ROWS = 2000
 BLOCK_ROWS = 2000
+RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 @dataclass(frozen=True)
@@ -92,14 +93,11 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """`vec_id, vector` of vectors that have a direction, in double precision.
-
-    Vectors of another length than the longest usable one take no part.
-    """
+    """`vec_id, vector` of vectors that have a direction, in double precision."""
     finite = F.forall(
         "vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     )
-    rows = (
+    return (
         vectors.select(
             F.col("vec_id").cast("long").alias("vec_id"),
             F.col("embedding").cast("array<double>").alias("vector"),
@@ -107,8 +105,6 @@ def usable(vectors: DataFrame) -> DataFrame:
         .where(F.col("vec_id").isNotNull() & (F.size("vector") > 0) & finite)
         .where(F.exists("vector", lambda x: x != 0))
     )
-    longest = rows.agg(F.max(F.size("vector"))).first()[0] or 0
-    return rows.where(F.size("vector") == longest)
 
 
 def nearest(
@@ -128,29 +124,37 @@ def nearest(
     Queries are the rows whose vec_id is divisible by `query_step`. Ties go to the smaller
     vec_id. Null, zero and non-finite vectors and null ids take no part; without another
     vector a query has no row. Equal vectors are searched as one: the `k + 1` smallest ids of
-    each are enough to fill any result. Rows that repeat a vec_id count once per vector. Other
-    columns are ignored.
+    each are enough to fill any result. Rows that repeat a vec_id count once per vector. Vectors
+    are compared with those of their own size, a search for each size. Other columns are ignored,
+    whatever their names.
     """
     rows = usable(vectors).distinct()
     is_query = F.col("vec_id") % query_step == 0
+    size = F.size("vector").alias("size")
     # Equal vectors, however many, are combined in each task before they meet.
     merged = stored(
         rows.groupBy("vector").agg(F.min("vec_id").alias("id"), F.max(is_query).alias("asked")),
         "vectors",
     )
-    total = merged.count()
-    if total == 0:
-        return rows.sparkSession.createDataFrame(
-            [], "query_id long, rank int, vec_id long, score double"
-        )
-    members = rows.join(merged.select("vector", "id"), "vector").select("id", "vec_id")
+    members = rows.join(merged.select("vector", "id"), "vector").select("id", "vec_id", size)
     members = stored(members, "members")
-    # Bound: fit_rows vectors.
-    sample = merged.orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("vector").collect()
-    fitted = fit_curves(np.array([row[0] for row in sample]), curves, dimensions, bits)
-    half = max(least_rows, k + 1, int(np.ceil(window_share * total / 2)))
-    placed = positions(merged, fitted)
-    found = compare_blocks(placed, half, block_rows, k + 1)
+    # One number for each size of vector.
+    counts = merged.groupBy(size).count().collect()
+    result = rows.sparkSession.createDataFrame([], RESULT)
+    for own, total in counts:
+        half = max(least_rows, k + 1, int(np.ceil(window_share * total / 2)))
+        same = merged.where(size == own).drop("size")
+        # Bound: fit_rows vectors.
+        sample = same.orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("vector").collect()
+        fitted = fit_curves(np.array([row[0] for row in sample]), curves, dimensions, bits)
+        found = compare_blocks(positions(same, fitted), half, block_rows, k + 1)
+        there = members.where(F.col("size") == own).drop("size")
+        result = result.unionByName(of_members(found, there, is_query, k))
+    return result
+
+
+def of_members(found: DataFrame, members: DataFrame, is_query: Column, k: int) -> DataFrame:
+    """The first `k` rows of every query, from the best vectors of every distinct vector."""
     best = top(found.groupBy("query", "id").agg(F.max("score").alias("score")), "query", "id", k + 1)
     smallest = (
         members.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("vec_id")))
