@@ -135,7 +135,7 @@ class Codec:
         if len(self.recent) > REMEMBERED:
             self.recent, self.earlier = {}, self.recent
         new = []
-        for token in set(tokens) - self.recent.keys():
+        for token in set(tokens).difference(self.recent):
             known = self.earlier.get(token)
             if known is None:
                 new.append(token)

@@ -18,6 +18,7 @@ import heapq
 import itertools
 import math
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -29,11 +30,11 @@ from pyspark.sql import DataFrame, functions as F
 from meterlake.llm.common import text_of
 from meterlake.llm.packing import public_path
 
+PACK = struct.Struct("<I").pack
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
-# Bound of the memory for encoded words, and for pairs of pieces, in a Python worker: this many
-# and those of a block, and as many words from before.
-CACHE_ENTRIES = 300_000
+# Words that a worker remembers, with those of a block and as many from before; and pairs.
+CACHE_ENTRIES, CACHE_PAIRS = 600_000, 500_000
 # Characters whose words are in memory together.
 BLOCK_CHARS = 1 << 21
 BELOW_ALL = 10.0
@@ -46,7 +47,7 @@ class Pieces:
         self.byte_ids = byte_ids
         self.bytes_of = {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.bytes_of |= {i: p.replace(SPACE, " ").encode() for p, (i, _) in scores.items()}
-        self.ids = {piece: i for piece, (i, _) in scores.items()}
+        self.packed_of = {piece: PACK(i) for piece, (i, _) in scores.items()}
         self.scores = {piece: score for piece, (_, score) in scores.items()}
         self.unknown = min(self.scores.values(), default=0.0) - BELOW_ALL
         self.automaton = ahocorasick.Automaton()
@@ -54,11 +55,12 @@ class Pieces:
             if SPACE in piece.lstrip(SPACE) or "\n" in piece:
                 raise ValueError("a piece reaches across words")
             if self.merged(piece) == [piece]:  # no merges lead to any other
-                self.automaton.add_word(piece, (piece, self.scores[piece]))
+                self.automaton.add_word(piece, (piece, self.scores[piece], len(piece) - 1))
         self.automaton.make_automaton()
         self.recent: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.tried = 0
 
     # No piece reaches across these borders, so the encoding is divided there.
     chunk = re.compile(r" *[^ \n]+|\n| +")
@@ -81,66 +83,65 @@ class Pieces:
         """Packed ids by chunk, for these and others met before."""
         if len(self.recent) > CACHE_ENTRIES:
             self.recent, self.earlier = {}, self.recent
-        for chunk in set(chunks) - self.recent.keys():
+        for chunk in set(chunks).difference(self.recent):
             known = self.earlier.get(chunk)
             if known is None:
-                known = np.array(self.encode_chunk(chunk), "<u4").tobytes()
+                known = self.encode_chunk(chunk)
             self.recent[chunk] = known
         return self.recent
 
-    def encode_chunk(self, chunk: str) -> list[int]:
+    def encode_chunk(self, chunk: str) -> bytes:
+        if SPACE not in chunk:
+            return self.encode_part(chunk)
         first, *others = chunk.split(SPACE)  # the mark itself, in a text, is not a space
-        ids = self.encode_part(first)
-        for part in others:
-            ids += self.in_bytes(SPACE)
-            ids += self.encode_part(part)
-        return ids
+        mark = self.in_bytes(SPACE)
+        return self.encode_part(first) + b"".join(mark + self.encode_part(part) for part in others)
 
-    def encode_part(self, part: str) -> list[int]:
+    def encode_part(self, part: str) -> bytes:
         text = part.replace(" ", SPACE)
         # Runs of spaces have equal scores, so that their merges depend on the whole run.
         pieces = self.merged(text) if text.startswith(2 * SPACE) else self.relaxed(text)
-        ids: list[int] = []
-        for piece in pieces:
-            if piece in self.ids:
-                ids.append(self.ids[piece])
-            else:
-                ids += self.in_bytes(piece)
-        return ids
+        return b"".join([self.packed_of.get(piece) or self.in_bytes(piece) for piece in pieces])
 
     def relaxed(self, text: str) -> list[str]:
         """The best path through a text without a run of spaces."""
-        sums, last = [0.0], [""]
-        matches = self.automaton.iter(text)
-        match = next(matches, None)
-        for end, char in enumerate(text):
-            best, found = -math.inf, char
-            while match is not None and match[0] == end:
-                piece, score = match[1]
-                start = end + 1 - len(piece)
-                total = sums[start] + score
-                if total > best and self.stay_apart(last[start], piece):
+        pairs, nothing, size = self.pairs, -math.inf, len(text)
+        # By place: the best sum, its last piece, and what is known of pieces after that one.
+        sums, last, after = [0.0], [""], [pairs.setdefault("", {})]
+        place, best, found = 0, nothing, ""
+        for end, match in itertools.chain(self.automaton.iter(text), [(size, None)]):
+            while place < end:  # no more pieces end here
+                if best == nothing:  # a character without a piece stands alone
+                    best, found = sums[place] + self.unknown, text[place]
+                sums.append(best)
+                last.append(found)
+                known = pairs.get(found)
+                after.append(pairs.setdefault(found, {}) if known is None else known)
+                place, best = place + 1, nothing
+            if match is None:
+                break
+            piece, score, back = match
+            start = end - back
+            total = sums[start] + score
+            if total > best:
+                apart = after[start].get(piece)
+                if apart is None:
+                    apart = after[start][piece] = self.stay_apart(last[start], piece)
+                if apart:
                     best, found = total, piece
-                match = next(matches, None)
-            if best == -math.inf:
-                best = sums[end] + self.unknown
-            sums.append(best)
-            last.append(found)
-        pieces, end = [], len(text)
-        while end:
-            pieces.append(last[end])
-            end -= len(last[end])
+        pieces = []
+        while place:
+            pieces.append(last[place])
+            place -= len(last[place])
         return pieces[::-1]
 
     def stay_apart(self, before: str, piece: str) -> bool:
         """Whether the merges of two pieces in a row lead to these two."""
-        pair = before, piece
-        found = self.pairs.get(pair)
-        if found is None:
-            if len(self.pairs) >= CACHE_ENTRIES:
-                self.pairs.clear()
-            found = self.pairs[pair] = not before or self.merged(before + piece) == [*pair]
-        return found
+        self.tried += 1
+        if self.tried > CACHE_PAIRS:
+            self.tried = 0
+            self.pairs.clear()
+        return not before or self.merged(before + piece) == [before, piece]
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a text by merges, the best-scored first, of equal ones the leftmost."""
@@ -171,8 +172,8 @@ class Pieces:
                 offer(before[left], left)
         return [part for part in parts if part]
 
-    def in_bytes(self, text: str) -> list[int]:
-        return [self.byte_ids[b] for b in text.encode()]
+    def in_bytes(self, text: str) -> bytes:
+        return b"".join(PACK(self.byte_ids[b]) for b in text.encode())
 
     def decode(self, ids: list[int]) -> str:
         return self.decoded(ids).decode()
