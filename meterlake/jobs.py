@@ -1,4 +1,5 @@
-"""Jobs for spark-submit: `jobs.py ingest|train|score|alert|windows|report|forecast|publish|compact [options]`."""
+"""Jobs for spark-submit: `jobs.py COMMAND [options]`: ingest, train, score, alert,
+windows, consumption, report, forecast, publish, compact."""
 
 from __future__ import annotations
 
@@ -32,10 +33,11 @@ def ingest(spark, args) -> None:
 
 def train(spark, args) -> str | None:
     """Fit the power model on the lake."""
-    model = power_model.train_and_save(spark, args.lake, args.model)
+    model = power_model.train_and_save(spark, args.lake, args.model, args.compacted)
     if model is None:
         return "no complete readings to train on"
-    power_model.train_report(model, files.read_lake(spark, args.lake)).show()
+    lake = files.read_compacted_lake(spark, args.lake, args.compacted)
+    power_model.train_report(model, lake).show()
 
 
 def score(spark, args) -> str | None:
@@ -75,10 +77,21 @@ def windows(spark, args) -> None:
     query.awaitTermination()
 
 
+def consumption(spark, args) -> None:
+    """Print or store the energy per meter and window that `windows` has written."""
+    found = streams.read_window_energy(spark, args.windows, args.digits)
+    if args.out:
+        found.write.mode("overwrite").parquet(args.out)
+    else:
+        found.orderBy("window_start", "meter_id").show(args.rows, truncate=False)
+
+
 def report(spark, args) -> None:
     """Print the dashboard's figures, or store them in full with --out."""
     as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
-    found = dashboard.tables(spark, args.lake, args.predictions, as_of, args.skip_corrupt)
+    found = dashboard.tables(
+        spark, args.lake, args.predictions, as_of, args.skip_corrupt, args.compacted
+    )
     for name, table in found.items():
         if args.out:
             table.write.mode("overwrite").parquet(f"{args.out}/{name}")
@@ -89,7 +102,8 @@ def report(spark, args) -> None:
 
 def forecast(spark, args) -> None:
     """Store the expected energy of the month per meter and date."""
-    rows = reports.month_forecast(files.read_lake(spark, args.lake), args.digits)
+    lake = files.read_compacted_lake(spark, args.lake, args.compacted)
+    rows = reports.month_forecast(lake, args.digits)
     rows.write.mode("overwrite").parquet(args.out)
 
 
@@ -105,8 +119,8 @@ def publish(spark, args) -> None:
 
 
 def compact(spark, args) -> None:
-    """Rewrite one date of the lake into full-size files under a new path."""
-    sinks.compact_partition(spark, args.lake, args.target, args.date)
+    """Take new files of the lake, of one date or of all, into full-size files elsewhere."""
+    sinks.compact_lake(spark, args.lake, args.target, args.date)
 
 
 def trigger(args, every: dict) -> dict:
@@ -137,12 +151,12 @@ def parser() -> argparse.ArgumentParser:
         "--files-per-date", type=int, default=streams.FILES_PER_DATE,
         help="most files a micro-batch adds to a date; 0 for no shuffle",
     )
-    command(train, "lake", "model")
+    with_compacted(command(train, "lake", "model"))
     command(score, "model", "predictions", "checkpoint", reads=True)
     command(alert, "checkpoint", reads=True).add_argument(
         "--alerts-topic", default=kafka.ALERTS_TOPIC
     )
-    cmd = command(report, "lake", "predictions")
+    cmd = with_compacted(command(report, "lake", "predictions"))
     cmd.add_argument("--as-of", help="UTC time that counts as now")
     cmd.add_argument("--rows", type=int, default=20, help="rows to print per table")
     cmd.add_argument("--out", help="folder for the whole tables, as Parquet")
@@ -150,16 +164,25 @@ def parser() -> argparse.ArgumentParser:
     cmd = command(windows, "windows", "checkpoint", reads=True)
     cmd.add_argument("--length", default="3 days")
     cmd.add_argument("--digits", type=int, help="decimals of power, for exact sums")
-    command(forecast, "lake", "out").add_argument("--digits", type=int)
+    cmd = command(consumption, "windows")
+    cmd.add_argument("--digits", type=int, help="as given to `windows`")
+    cmd.add_argument("--rows", type=int, default=20, help="rows to print")
+    cmd.add_argument("--out", help="folder for the whole table, as Parquet")
+    with_compacted(command(forecast, "lake", "out")).add_argument("--digits", type=int)
     cmd = command(publish, "history", writes=True)
     cmd.add_argument("--metrics", nargs="*", default=schemas.METRICS, choices=schemas.METRICS)
     cmd.add_argument("--start", help="UTC time of the first message, default now")
     cmd.add_argument("--interval", type=float, default=1.0, help="seconds between messages")
     cmd.add_argument("--keep-times", action="store_true")
-    command(compact, "lake", "target", "date")
+    command(compact, "lake", "target").add_argument("--date", help="default: all dates")
     return commands
 
 
+def with_compacted(cmd: argparse.ArgumentParser) -> argparse.ArgumentParser:
+    cmd.add_argument("--compacted", help="target of `compact`, to read the lake from there")
+    return cmd
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = build_session(f"meterlake-{args.run.__name__}")

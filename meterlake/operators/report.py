@@ -241,15 +241,25 @@ def window_units(readings: DataFrame, length: str, digits: int | None = None) ->
     )
 
 
+def merged_units(partial: DataFrame) -> DataFrame:
+    """Several `window_units` of the same windows as one."""
+    return partial.groupBy("meter_id", "window_start", "window_end").agg(
+        F.sum("readings").alias("readings"), F.sum("units").alias("units")
+    )
+
+
 def summed_windows(
     partial: DataFrame,
     digits: int | None = None,
     hours: float = metering.HOURS_PER_READING,
 ) -> DataFrame:
     """Energy per meter and window from several `window_units` of the same windows."""
-    return partial.groupBy("meter_id", "window_start", "window_end").agg(
-        F.sum("readings").alias("readings"),
-        _energy(F.sum("units"), digits, hours).alias("energy_kwh"),
+    return merged_units(partial).select(
+        "meter_id",
+        "window_start",
+        "window_end",
+        "readings",
+        _energy(F.col("units"), digits, hours).alias("energy_kwh"),
     )
 
 

@@ -12,7 +12,7 @@ from meterlake import schemas, sinks
 from meterlake.operators import alerts, clean, fleet, report, running, sampling, shape
 from meterlake.plans import fixture, model as power_model
 from meterlake.session import scratch_path
-from meterlake.sources import files
+from meterlake.sources import files, runs
 from meterlake.streaming import jobs
 
 DIGITS, TIE_BREAK = fixture.DIGITS, fixture.TIE_BREAK
@@ -117,8 +117,9 @@ def messages_path(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.text(messages_path(spark, sf_dir))
+def message_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
+    reader = spark.readStream.option("maxFilesPerTrigger", -(-MESSAGE_FILES // batches))
+    return reader.text(messages_path(spark, sf_dir))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,16 +156,22 @@ def compacted_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = lake_path(spark, sf_dir), scratch_path(spark, "compacted")
     newest = files.newest_date(lake(spark, sf_dir))
     for _ in range(2):  # as a job that runs again
-        sinks.compact_partition(spark, source, target, newest)
-    return files.read_lake(spark, target)
+        sinks.compact_lake(spark, source, target, newest)
+    table = runs.RunTable(spark, target)
+    return table.read(table.live(), schemas.READING)
 
 
 @query
 def compacted_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole lake, its newest date from the compacted path."""
-    source, target = lake_path(spark, sf_dir), scratch_path(spark, "compacted")
+    """The whole lake, compacted but for a third of its readings, which come later: the dates
+    hold files on either side, and the newest date is compacted once more."""
+    source, target = scratch_path(spark, "late-lake"), scratch_path(spark, "compacted")
+    late = F.pmod(F.xxhash64("meter_id", "event_time"), F.lit(3)) == 0
+    sinks.write_lake(lake(spark, sf_dir).where(~late), source)
+    sinks.compact_lake(spark, source, target)
+    sinks.write_lake(lake(spark, sf_dir).where(late), source)
     newest = files.newest_date(lake(spark, sf_dir))
-    sinks.compact_partition(spark, source, target, newest)
+    sinks.compact_lake(spark, source, target, newest)
     return files.read_compacted_lake(spark, source, target)
 
 
@@ -459,12 +466,14 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sent = message_stream(spark, sf_dir)
-    out = finish(
-        lambda *to: jobs.start_window_energy(
-            sent, *to, length="1 hour", digits=DIGITS, trigger=jobs.ONCE
-        ),
-        spark,
-        "windows",
-    )
+    """Two queries on one path, each with its own checkpoint and its share of the messages; the
+    second one reads in several batches."""
+    out = scratch_path(spark, "windows")
+    for share in (0, 1):
+        sent = message_stream(spark, sf_dir, share + 1)
+        own = F.pmod(F.xxhash64("value"), F.lit(2)) == share
+        jobs.start_window_energy(
+            sent.where(own), out, scratch_path(spark, "windows-checkpoint"), "1 hour", DIGITS,
+            jobs.ONCE,
+        ).awaitTermination()
     return jobs.read_window_energy(spark, out, DIGITS)

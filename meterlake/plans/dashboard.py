@@ -21,13 +21,14 @@ def tables(
     predictions_path: str,
     as_of: Column,
     skip_corrupt: bool = False,
+    compacted: str | None = None,
 ) -> dict[str, DataFrame]:
     """Reports over the newest date of the lake and the last hour of predictions.
 
     Sources that do not exist yet give an OFFLINE grid and empty tables. With `skip_corrupt`
     the figures leave out files that cannot be read; else such a file is an error.
     """
-    readings = files.read_latest_partition(spark, lake_path, skip_corrupt)
+    readings = files.read_latest_partition(spark, lake_path, skip_corrupt, compacted)
     since = as_of - F.make_interval(hours=F.lit(FORECAST_HOURS))
     predictions = clean.since(
         files.read_predictions(spark, predictions_path, since), as_of, FORECAST_HOURS

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterlake import schemas
 from meterlake.operators import clean
-from meterlake.sources.files import read_lake
+from meterlake.sources.files import read_compacted_lake
 
 
 def train(readings: DataFrame) -> PipelineModel | None:
@@ -89,9 +89,11 @@ def train_report(model: PipelineModel, readings: DataFrame) -> DataFrame:
     )
 
 
-def train_and_save(spark: SparkSession, lake_path: str, model_path: str) -> PipelineModel | None:
+def train_and_save(
+    spark: SparkSession, lake_path: str, model_path: str, compacted: str | None = None
+) -> PipelineModel | None:
     """Train on the whole lake and replace the saved model."""
-    model = train(read_lake(spark, lake_path))
+    model = train(read_compacted_lake(spark, lake_path, compacted))
     if model is not None:
         save(model, model_path)
     return model

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DataType,
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructType,
     TimestampType,
 )
 
-STRING, DOUBLE, INT = StringType(), DoubleType(), IntegerType()
+STRING, DOUBLE, INT, LONG = StringType(), DoubleType(), IntegerType(), LongType()
+BOOLEAN = BooleanType()
 TIMESTAMP, DATE = TimestampType(), DateType()
 
 

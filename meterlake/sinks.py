@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlake.sources import files
+from meterlake import schemas
+from meterlake.sources import files, runs
 
 
 def write_lake(readings: DataFrame, path: str, mode: str = "append") -> None:
@@ -18,17 +19,51 @@ def write_lake(readings: DataFrame, path: str, mode: str = "append") -> None:
     writer.option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
-def compact_partition(spark: SparkSession, source: str, target: str, date: str) -> None:
-    """Rewrite one date of a lake into full-size files under another lake path.
+def compact_lake(
+    spark: SparkSession, source: str, target: str, date: str | None = None
+) -> dict[str, int]:
+    """Take the files that a lake has got since the last time into full-size ones.
 
-    A date that is there already is replaced, so that a job may run again. The target must
-    not be the source: a folder written by a stream lists its files in a log, and readers
-    would not see others. `files.read_compacted_lake` reads both as one lake.
+    `target` is another path, a table of runs with a part for each date: rows and the names of
+    the files they came from appear there together, so that `files.read_compacted_lake` counts
+    every row once, whatever comes to a date later. The new run takes in earlier ones of a date
+    that are not much larger. The lake itself is left as it is; a folder written by a stream
+    lists its files in a log, and readers would not see others. One compaction of a lake runs at
+    a time. Files without a date folder stay in the lake. Returns the dates, all or the given
+    one, with the number of rows that were not compacted before.
     """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("compact into another path than the lake's own")
-    day = files.read_lake(spark, source).where(F.col("date") == F.lit(date).cast("date"))
-    write_lake(day, target, "overwrite")
+    table, name, chosen = runs.RunTable(spark, target), runs.new_name(), runs.new_name()
+    live = table.live()
+    fresh = files.not_taken(spark, source, files.taken_files(table, live))
+    wanted = F.col("date").isNotNull() if date is None else F.col("date") == date
+    # Written down first: what a stream adds meanwhile is left for the next time.
+    listing = table.folder(chosen, runs.BESIDE)
+    fresh.where(wanted).select(F.lit(name).alias("name"), "date", "file").write.parquet(listing)
+    names = spark.read.schema(files.TAKEN).parquet(listing)
+    dates = [row.date for row in names.select("date").distinct().collect()]
+    rows = files.rows_of_files(spark, source, dates, names)
+    new = {str(row.date): row["count"] for row in rows.groupBy("date").count().collect()}
+    new = {one: new.get(one, 0) for one in dates}
+    if dates:
+        own = {one: [run for run in live if run.part == one] for one in dates}
+        merged = {one: runs.to_merge(own[one], new[one]) for one in dates}
+        old = [run for some in merged.values() for run in some]
+        everything = rows.unionByName(table.read(old, schemas.READING))
+        write_lake(everything, table.folder(name))
+        earlier = files.taken_files(table, old).withColumn("name", F.lit(name))
+        names.unionByName(earlier).coalesce(1).write.parquet(table.folder(name, runs.BESIDE))
+        added = [
+            runs.Run(
+                name, one, new[one] + sum(run.rows for run in merged[one]),
+                1 + max((run.last for run in own[one]), default=0),
+            )
+            for one in dates
+        ]
+        table.commit("lake", [run for run in added if run.rows], old)
+    table.discard(chosen)
+    return new
 
 
 def write_predictions(predictions: DataFrame, path: str, mode: str = "append") -> None:

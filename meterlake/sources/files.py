@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from meterlake import schemas
 from meterlake.operators import shape
+from meterlake.sources.runs import BESIDE, Run, RunTable, or_empty
 
 # Fixed value: time format of history files.
 HISTORY_TIME = "yyyy-MM-dd HH:mm:ss"
 
+TAKEN = schemas.record(name=schemas.STRING, date=schemas.STRING, file=schemas.STRING)
+
 DATE_FOLDER = re.compile(r"/date=(\d{4}-\d{2}-\d{2})/")
 
 
@@ -23,24 +25,77 @@ def read_lake(spark: SparkSession, path: str, skip_corrupt: bool = False) -> Dat
 
 
 def read_compacted_lake(
-    spark: SparkSession, path: str, compacted: str, skip_corrupt: bool = False
+    spark: SparkSession, path: str, compacted: str | None, skip_corrupt: bool = False
 ) -> DataFrame:
-    """The lake, with the dates that `compacted` holds taken from there and only from there."""
-    whole = _scan_lake(spark, compacted, skip_corrupt)
-    dates = [F.lit(date).cast("date") for date in dates_of(whole)]
-    streamed = _scan_lake(spark, path, skip_corrupt)
-    rest = streamed.where(~F.col("date").isin(dates) | F.col("date").isNull())
-    return _with_time(rest.unionByName(whole))
+    """The lake, with the files that a compaction has taken in read from `compacted`.
+
+    Files that came later, to whatever date, are read from the lake. Dates without such files
+    are not opened there at all.
+    """
+    if compacted is None:
+        return read_lake(spark, path, skip_corrupt)
+    table = RunTable(spark, compacted)
+    live = table.live()
+    taken = taken_files(table, live)
+    # One row for each date with files that no compaction has taken in.
+    open_dates = not_taken(spark, path, taken).select("date").distinct().collect()
+    rows = table.read(live, schemas.READING)
+    if open_dates:
+        dates = [row.date for row in open_dates]
+        named = [F.lit(date).cast("date") for date in dates if date]
+        wanted = F.col("date").isin(named) if all(dates) else F.lit(True)
+        late = _scan_lake(spark, path, skip_corrupt, file=_tail("_metadata.file_path"))
+        rows = rows.unionByName(late.where(wanted).join(taken, "file", "left_anti").drop("file"))
+    return _with_time(rows)
+
+
+def taken_files(table: RunTable, live: list[Run]) -> DataFrame:
+    """`name, date, file`: the files whose rows are in the given runs, by folder and name."""
+    pairs = table.spark.createDataFrame([(r.name, r.part) for r in live], "name string, date string")
+    listed = table.read_beside(live, TAKEN, BESIDE)
+    return listed.join(F.broadcast(pairs), ["name", "date"], "left_semi")
+
+
+def not_taken(spark: SparkSession, path: str, taken: DataFrame) -> DataFrame:
+    """`file, date` of the lake's files that are not among `taken`; none of them is opened.
+
+    The names come from Spark's own list of files, so that the log of a streaming writer
+    decides which of them count. A lake without date folders has null dates.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listing = listing.option("pathGlobFilter", "*.parquet")
+    names = or_empty(spark, lambda: listing.load(path), StructType().add("path", "string"))
+    date = F.regexp_extract("file", r"date=(\d{4}-\d{2}-\d{2})/", 1)
+    return (
+        names.select(_tail("path").alias("file"))
+        .select("file", F.nullif(date, F.lit("")).alias("date"))
+        .join(taken, "file", "left_anti")
+    )
+
+
+def rows_of_files(spark: SparkSession, path: str, dates: list[str], names: DataFrame) -> DataFrame:
+    """The rows of some dates that are in the files `names`."""
+    days = _scan_lake(spark, path, False, file=_tail("_metadata.file_path"))
+    days = days.where(F.col("date").isin([F.lit(date).cast("date") for date in dates]))
+    return days.join(names, "file", "left_semi").drop("file")
+
+
+def _tail(column: str) -> Column:
+    """Folder and name of a file, the same however a path is spelled."""
+    return F.substring_index(column, "/", -2)
 
 
 def read_latest_partition(
-    spark: SparkSession, path: str, skip_corrupt: bool = False
+    spark: SparkSession, path: str, skip_corrupt: bool = False, compacted: str | None = None
 ) -> DataFrame:
     """Readings of the newest date that has any.
 
     In a lake without folders of dates, the date column decides; without one either, all
     readings count as one partition.
     """
+    if compacted is not None:
+        lake = read_compacted_lake(spark, path, compacted, skip_corrupt)
+        return lake.where(F.col("date").eqNullSafe(lake.select(F.max("date")).scalar()))
     lake = _scan_lake(spark, path, skip_corrupt)
     found = newest_date(lake)
     newest = F.lit(found).cast("date") if found else lake.select(F.max("date")).scalar()
@@ -65,11 +120,14 @@ def newest_date(lake: DataFrame) -> str | None:
     return None
 
 
-def _scan_lake(spark: SparkSession, path: str, skip_corrupt: bool) -> DataFrame:
+def _scan_lake(
+    spark: SparkSession, path: str, skip_corrupt: bool, **more: Column
+) -> DataFrame:
+    """Readings as they are, and columns `more` from the files."""
     reader = spark.read.schema(schemas.READING)
     reader = reader.option("ignoreCorruptFiles", str(skip_corrupt).lower())
-    lake = _or_empty(spark, lambda: reader.parquet(path), schemas.READING)
-    return lake.select(*schemas.READING.names)
+    lake = or_empty(spark, lambda: reader.parquet(path), schemas.READING)
+    return lake.select(*schemas.READING.names, *(c.alias(name) for name, c in more.items()))
 
 
 def _with_time(rows: DataFrame) -> DataFrame:
@@ -90,7 +148,7 @@ def read_predictions(
         .option("mode", "DROPMALFORMED")
         .option("pathGlobFilter", "part-*.json")
     )
-    rows = _or_empty(spark, lambda: reader.json(path), schema)
+    rows = or_empty(spark, lambda: reader.json(path), schema)
     if since is not None:
         rows = rows.where(F.col("date").isNull() | (F.col("date") >= F.to_date(since)))
     return _with_time(rows).select(*schemas.PREDICTION.names)
@@ -103,7 +161,7 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     if there are no files.
     """
     return shape.align_history(
-        _or_empty(
+        or_empty(
             spark, lambda: spark.read.csv(path, header=True, enforceSchema=False), schemas.HISTORY
         )
     )
@@ -117,12 +175,3 @@ def read_stream_of(
     if name:
         reader = reader.option("pathGlobFilter", re.sub(r"([*?\[\]{}\\])", r"\\\1", name))
     return reader.parquet(folder)
-
-
-def _or_empty(spark: SparkSession, read, schema: StructType) -> DataFrame:
-    try:
-        return read()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)

@@ -14,10 +14,12 @@ from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from meterlake import schemas
 from meterlake.operators import alerts, clean, report, shape
 from meterlake.plans import model as power_model
+from meterlake.sources import runs
 
 logger = logging.getLogger(__name__)
 
@@ -121,23 +123,62 @@ def start_window_energy(
 ) -> StreamingQuery:
     """Messages -> energy per meter and window, complete after every micro-batch.
 
-    Each batch writes its own partial sums, under its number, and replaces them if it runs
-    again. There is no state and no watermark: however late a reading is, it counts.
+    Each batch adds its own partial sums as a run of the query, which its checkpoint names. A
+    batch that runs again counts once; a query with a new checkpoint on the same path adds to
+    what others wrote. Newer runs are merged as they come, so that their number grows with the
+    logarithm of the windows. There is no state and no watermark: however late a reading is,
+    it counts.
     """
 
     def add(batch: DataFrame, number: int) -> None:
-        partial = report.window_units(batch, length, digits)
-        partial.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        spark = batch.sparkSession
+        owner = query_id(spark, checkpoint)
+        table = runs.RunTable(spark, path)
+        live = table.live(owner)
+        if any(run.last >= number for run in live):
+            return  # the same readings, counted before the query stopped
+        new = table.write(report.window_units(batch, length, digits), number)
+        if not new.rows:
+            table.discard(new.name)
+            return
+        merged = runs.to_merge(live, new.rows)
+        if merged:
+            parts = table.read([*merged, new], window_partials(digits))
+            whole = table.write(report.merged_units(parts), number)
+            table.commit(owner, [whole], merged)
+            table.discard(new.name)
+        else:
+            table.commit(owner, [new])
 
     writer = cleaned_stream(messages).writeStream.foreachBatch(add)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity that Spark gives to a checkpoint and to every query that goes on with it."""
+    found = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()
+    return found.id
+
+
 def read_window_energy(
     spark: SparkSession, path: str, digits: int | None = None
 ) -> DataFrame:
-    """The windows that `start_window_energy` has written, partial sums added up."""
-    return report.summed_windows(spark.read.parquet(path), digits)
+    """The windows that all queries of `start_window_energy` on this path have written, partial
+    sums added up; no rows before the first batch."""
+    table = runs.RunTable(spark, path)
+    return report.summed_windows(table.read(table.live(), window_partials(digits)), digits)
+
+
+def window_partials(digits: int | None) -> StructType:
+    """What a run of window sums holds: whole units if there are digits."""
+    units = schemas.DOUBLE if digits is None else schemas.LONG
+    return schemas.record(
+        meter_id=schemas.STRING,
+        window_start=schemas.TIMESTAMP,
+        window_end=schemas.TIMESTAMP,
+        readings=schemas.LONG,
+        units=units,
+    )
 
 
 def start_closed_windows(

@@ -73,16 +73,22 @@ def test_commands_in_turn(spark, topics):
     run("windows", "--windows", topics / "windows", "--length", "6 hours", *follow, topics / "c4")
     windows = streams.read_window_energy(spark, str(topics / "windows"))
     assert windows.groupBy().sum("readings").first()[0] == 240
+    run("consumption", "--windows", topics / "windows", "--out", topics / "consumption")
+    assert spark.read.parquet(str(topics / "consumption")).count() == windows.count()
 
+    compacted = ("--compacted", topics / "compact")
     run("compact", "--lake", lake, "--target", topics / "compact", "--date", "2024-03-01")
     both = files.read_compacted_lake(spark, str(lake), str(topics / "compact"))
     assert both.count() == 240
+    run("compact", "--lake", lake, "--target", topics / "compact")
+    run("train", "--lake", lake, "--model", topics / "model2", *compacted)
+    assert power_model.load(str(topics / "model2")) is not None
 
-    run("forecast", "--lake", lake, "--out", topics / "forecast", "--digits", 4)
+    run("forecast", "--lake", lake, "--out", topics / "forecast", "--digits", 4, *compacted)
     assert spark.read.parquet(str(topics / "forecast")).columns[-1] == "forecast_kwh"
 
     run("report", "--lake", lake, "--predictions", predictions, "--out", topics / "report",
-        "--as-of", "2024-03-01 20:00:00")
+        "--as-of", "2024-03-01 20:00:00", *compacted)
     assert spark.read.parquet(str(topics / "report/energy_by_meter")).count() == 3
     assert spark.read.parquet(str(topics / "report/forecast_series")).count() > 0
 

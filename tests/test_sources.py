@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from meterlake import schemas, sinks
 from meterlake.jobs import parser
 from meterlake.session import scratch_path
-from meterlake.sources import files, kafka
+from meterlake.sources import files, kafka, runs
 
 DAYS = [dt.date(2024, 1, d) for d in (1, 2, 3)]
 
@@ -74,26 +75,87 @@ def test_corrupt_files_are_skipped_on_request(spark, tmp_path):
 
 
 def test_compaction(spark, tmp_path):
-    source, target = str(tmp_path / "lake"), tmp_path / "compact"
+    source, target = str(tmp_path / "lake"), str(tmp_path / "compact")
     for _ in range(3):
         lake_rows(spark).repartition(4).write.mode("append").partitionBy("date").parquet(source)
-    for _ in range(2):  # a job that runs again repeats no row
-        sinks.compact_partition(spark, source, str(target), "2024-01-02")
+    counts = [sinks.compact_lake(spark, source, target, "2024-01-02") for _ in range(2)]
+    assert counts == [{"2024-01-02": 12}, {}]  # a job that runs again repeats no row
     with pytest.raises(ValueError, match="another path"):
-        sinks.compact_partition(spark, source, source + "/", "2024-01-02")
-    rows = files.read_lake(spark, str(target))
-    assert {r.date for r in rows.collect()} == {DAYS[1]} and rows.count() == 12
-    assert len(list((target / "date=2024-01-02").glob("*.parquet"))) == 1
+        sinks.compact_lake(spark, source, source + "/", "2024-01-02")
+    table = runs.RunTable(spark, target)
+    (run,) = table.live()
+    rows = table.read([run], schemas.READING).collect()
+    assert {r.date for r in rows} == {DAYS[1]} and len(rows) == run.rows == 12
+    assert len(list(Path(table.rows_folder(run)).glob("*.parquet"))) == 1
+
+
+def test_late_readings_of_compacted_dates(spark, tmp_path):
+    """Every reading counts once: compacted, late, late and compacted again."""
+    source, target = str(tmp_path / "lake"), str(tmp_path / "compact")
+    sinks.write_lake(lake_rows(spark), source)
+    both = lambda: files.read_compacted_lake(spark, source, target)
+    whole = lambda: files.read_lake(spark, source)
+    assert both().count() == 12
+    for date in ("2024-01-01", "2024-01-03", "2024-07-07"):
+        sinks.compact_lake(spark, source, target, date)
+    assert sorted(both().collect()) == sorted(lake_rows(spark).collect())
+    for turn in range(6):
+        late = lake_rows(spark).where(F.col("date") == F.lit(DAYS[turn % 3]))
+        sinks.write_lake(late.withColumn("energy", F.lit(100.0 + turn)), source)
+        assert sorted(both().collect()) == sorted(whole().collect())
+        if turn % 2:
+            assert sinks.compact_lake(spark, source, target)
+            assert sorted(both().collect()) == sorted(whole().collect())
+    assert sinks.compact_lake(spark, source, target) == {}
+    live = runs.RunTable(spark, target).live()
+    assert sum(run.rows for run in live) == whole().count() == 36
+    assert len(live) <= 6
+    latest = files.read_latest_partition(spark, source, compacted=target)
+    assert sorted(latest.collect()) == sorted(files.read_latest_partition(spark, source).collect())
+
+
+def test_compacted_dates_are_not_opened_in_the_lake(spark, tmp_path):
+    source, target = tmp_path / "lake", str(tmp_path / "compact")
+    sinks.write_lake(lake_rows(spark), str(source))
+    sinks.compact_lake(spark, str(source), target)
+    for file in source.glob("date=*/*.parquet"):
+        file.write_bytes(b"not a table")
+    assert files.read_compacted_lake(spark, str(source), target).count() == 12
 
 
-def test_compacted_dates_replace_streamed_ones(spark, tmp_path):
+def test_failed_compaction_counts_nothing(spark, tmp_path, monkeypatch):
     source, target = str(tmp_path / "lake"), str(tmp_path / "compact")
     sinks.write_lake(lake_rows(spark), source)
+
+    def fail(*_):
+        raise RuntimeError("lost before the commit")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(runs.RunTable, "commit", fail)
+        with pytest.raises(RuntimeError):
+            sinks.compact_lake(spark, source, target, "2024-01-01")
+    assert files.read_compacted_lake(spark, source, target).count() == 12
+    sinks.compact_lake(spark, source, target)
     assert files.read_compacted_lake(spark, source, target).count() == 12
-    for date in ("2024-01-01", "2024-01-03"):
-        sinks.compact_partition(spark, source, target, date)
-    both = files.read_compacted_lake(spark, source, target)
-    assert sorted(both.collect()) == sorted(lake_rows(spark).collect())
+
+
+def test_runs_are_merged_to_few(spark, tmp_path):
+    """Sizes of the runs grow by a factor, whatever the batches bring; folders stay few."""
+    table, total = runs.RunTable(spark, str(tmp_path)), 0
+    for number in range(12):
+        rows = spark.range(total, total + 1 + number % 3)
+        total += 1 + number % 3
+        live = table.live("q")
+        merged = runs.to_merge(live, 1 + number % 3)
+        both = rows.unionByName(table.read(merged, rows.schema))
+        table.commit("q", [table.write(both, number)], merged)
+        table.commit("other", [])
+    live = table.live()
+    assert sorted(r.id for r in table.read(live, rows.schema).collect()) == list(range(total))
+    sizes = [run.rows for run in live]
+    assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:])) and len(sizes) <= 5
+    assert len(list((tmp_path / "rows").iterdir())) <= 2 * len(sizes) + 2
+    assert len(list((tmp_path / "log" / "q").iterdir())) <= runs.KEPT_VERSIONS
 
 
 def test_newest_date_opens_no_file(spark, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import alerts, clean, report, shape
 from meterlake.plans import model as power_model
-from meterlake.sources import files
+from meterlake.sources import files, runs
 from meterlake.streaming import jobs
 
 START = dt.datetime(2024, 1, 1)
@@ -151,6 +151,40 @@ def test_windows_are_complete(topic, tmp_path):
     assert sorted_rows(run()) == sorted_rows(batch())
 
 
+def test_windows_of_several_checkpoints(topic, tmp_path):
+    """A new checkpoint adds to the path, a batch that runs again counts once, runs stay few."""
+    path = str(tmp_path / "w")
+
+    def run(checkpoint):
+        jobs.start_window_energy(
+            topic.stream(), path, str(tmp_path / checkpoint), "1 hour", 4, jobs.ONCE
+        ).awaitTermination()
+        return sorted_rows(jobs.read_window_energy(topic.spark, path, 4))
+
+    assert jobs.read_window_energy(topic.spark, path, 4).collect() == []
+    want = report.window_energy(cleaned_batch(topic), "1 hour", 4)
+    assert run("c1") == sorted_rows(want)
+    first = cleaned_batch(topic).count()
+    doubled = sorted_rows(
+        want.selectExpr(
+            "meter_id", "window_start", "window_end", "2 * readings AS readings",
+            "2 * energy_kwh AS energy_kwh",
+        )
+    )
+    assert run("c2") == doubled
+    # The query stopped before Spark noted that the batch was done.
+    for done in (tmp_path / "c2/commits").iterdir():
+        done.unlink()
+    assert run("c2") == doubled
+    for turn in range(3, 9):
+        topic.send(str(turn), [text_of(i, day=turn) for i in range(40)])
+        run("c1")
+    live = runs.RunTable(topic.spark, path).live()
+    assert len(live) <= 6
+    found = jobs.read_window_energy(topic.spark, path, 4).groupBy().sum("readings").first()[0]
+    assert found == cleaned_batch(topic).count() + first
+
+
 def test_closed_windows_follow_the_watermark(topic, tmp_path):
     paths = str(tmp_path / "w"), str(tmp_path / "wc")
     query = jobs.start_closed_windows(
