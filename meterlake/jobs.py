@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterlake import schemas, sinks
 from meterlake.operators import alerts, report as reports, running, shape
-from meterlake.plans import dashboard, model as power_model
+from meterlake.plans import dashboard, model as power_model, moments
 from meterlake.session import build_session
 from meterlake.sources import files, kafka
 from meterlake.streaming import jobs as streams
@@ -33,9 +33,14 @@ def ingest(spark, args) -> None:
 
 def train(spark, args) -> str | None:
     """Fit the power model on the lake."""
-    model = power_model.train_and_save(spark, args.lake, args.model, args.compacted)
+    if args.moments:
+        model = moments.train_and_save(spark, args.lake, args.moments, args.model)
+    else:
+        model = power_model.train_and_save(spark, args.lake, args.model, args.compacted)
     if model is None:
         return "no complete readings to train on"
+    if args.moments:
+        return None  # a report would read the whole lake
     lake = files.read_compacted_lake(spark, args.lake, args.compacted)
     power_model.train_report(model, lake).show()
 
@@ -100,10 +105,16 @@ def report(spark, args) -> None:
             table.show(args.rows, truncate=False)
 
 
-def forecast(spark, args) -> None:
-    """Store the expected energy of the month per meter and date."""
-    lake = files.read_compacted_lake(spark, args.lake, args.compacted)
-    rows = reports.month_forecast(lake, args.digits)
+def forecast(spark, args) -> str | None:
+    """Store the expected energy of the month per meter and date, from the lake or from the
+    days that `windows --length "1 day"` keeps."""
+    if args.windows:
+        rows = streams.read_month_forecast(spark, args.windows, args.digits)
+    elif args.lake:
+        lake = files.read_compacted_lake(spark, args.lake, args.compacted)
+        rows = reports.month_forecast(lake, args.digits)
+    else:
+        return "give --lake or --windows"
     rows.write.mode("overwrite").parquet(args.out)
 
 
@@ -151,7 +162,9 @@ def parser() -> argparse.ArgumentParser:
         "--files-per-date", type=int, default=streams.FILES_PER_DATE,
         help="most files a micro-batch adds to a date; 0 for no shuffle",
     )
-    with_compacted(command(train, "lake", "model"))
+    with_compacted(command(train, "lake", "model")).add_argument(
+        "--moments", help="folder of sums kept between runs: only new files are read"
+    )
     command(score, "model", "predictions", "checkpoint", reads=True)
     command(alert, "checkpoint", reads=True).add_argument(
         "--alerts-topic", default=kafka.ALERTS_TOPIC
@@ -168,7 +181,10 @@ def parser() -> argparse.ArgumentParser:
     cmd.add_argument("--digits", type=int, help="as given to `windows`")
     cmd.add_argument("--rows", type=int, default=20, help="rows to print")
     cmd.add_argument("--out", help="folder for the whole table, as Parquet")
-    with_compacted(command(forecast, "lake", "out")).add_argument("--digits", type=int)
+    cmd = with_compacted(command(forecast, "out"))
+    cmd.add_argument("--digits", type=int)
+    cmd.add_argument("--lake")
+    cmd.add_argument("--windows", help="days that `windows` keeps, in place of a lake")
     cmd = command(publish, "history", writes=True)
     cmd.add_argument("--metrics", nargs="*", default=schemas.METRICS, choices=schemas.METRICS)
     cmd.add_argument("--start", help="UTC time of the first message, default now")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlake.functions import measures, metering
+from meterlake.operators import running
 
 
 def latest_per_meter(readings: DataFrame, tie_break: tuple[str, ...] = ()) -> DataFrame:
@@ -134,6 +135,40 @@ def voltage_filled(
     return grid.select("event_time", "meter_id", filled.alias("voltage"))
 
 
+def voltage_filled_all(
+    readings: DataFrame, step: str = "hour", tie_break: tuple[str, ...] = ()
+) -> DataFrame:
+    """Voltage of every meter in every step of the whole table, from its first to its last.
+
+    A step has the meter's first voltage in it. A gap takes the voltage before it, at the start
+    of the series the one after it. Steps are fixed lengths: minute, hour or day.
+
+    The voltages of a step are combined in each task, so that a meter has one row for each step
+    at most; a row then makes the steps up to the meter's next one.
+    """
+    volts = measures.without_nan(F.col("voltage"))
+    known = readings.where(
+        volts.isNotNull() & F.col("meter_id").isNotNull() & F.col("event_time").isNotNull()
+    ).withColumn("_step", F.date_trunc(step, "event_time"))
+    points = known.groupBy("meter_id", "_step").agg(
+        F.min_by(volts, F.struct("event_time", *tie_break)).alias("voltage")
+    )
+    by_time = Window.partitionBy("meter_id").orderBy("_step")
+    length = F.expr(f"INTERVAL 1 {step}")
+    ends = known.agg(F.min("_step").alias("first"), F.max("_step").alias("last"))
+    kind = points.schema["_step"].dataType
+    first = F.when(F.lag("_step").over(by_time).isNull(), ends.select("first").scalar())
+    until = F.coalesce(F.lead("_step").over(by_time) - length, ends.select("last").scalar())
+    return points.select(
+        F.coalesce(first, "_step").cast(kind).alias("_from"),
+        until.cast(kind).alias("_until"),
+        "meter_id",
+        "voltage",
+    ).select(
+        F.explode(F.sequence("_from", "_until", length)).alias("event_time"), "meter_id", "voltage"
+    )
+
+
 def forecast_error(predictions: DataFrame, tie_break: tuple[str, ...] = ()) -> DataFrame:
     """Gap between actual and predicted power in the newest prediction."""
     newest = F.max_by(
@@ -188,25 +223,47 @@ def consumption_rollup(
     hours: float = metering.HOURS_PER_READING,
 ) -> DataFrame:
     """Energy per meter and day, month and year. Months and years add up the days."""
-    periods = F.array(
-        *(
-            F.struct(
-                F.lit(grain).alias("grain"),
-                F.trunc("date", grain).alias("period_start")
-                if grain != "day"
-                else F.col("date").alias("period_start"),
-            )
-            for grain in ("day", "month", "year")
-        )
-    )
     return (
         daily_units(readings, digits)
-        .select("meter_id", "units", F.inline(periods))
+        .select("meter_id", "units", F.inline(_periods()))
         .groupBy("meter_id", "grain", "period_start")
         .agg(_energy(F.sum("units"), digits, hours).alias("energy_kwh"))
     )
 
 
+def counter_rollup(
+    readings: DataFrame,
+    digits: int | None = None,
+    tie_break: tuple[str, ...] = (),
+    step: str = running.STEP,
+) -> DataFrame:
+    """Energy per meter and day, month and year from the counter, and how often it fell.
+
+    A reading adds what the counter has gained since the meter's reading before it, on the
+    reading's own date. A counter that falls was reset and started over from 0. Readings without
+    a counter value are passed over; a meter's first value adds nothing.
+    """
+    value = measures.addend(F.col("energy"), digits)
+    counted = running.value_before(readings, value, "_before", tie_break, step)
+    gained = F.when(value < F.col("_before"), value).otherwise(value - F.col("_before"))
+    daily = (
+        counted.where(value.isNotNull())
+        .groupBy("meter_id", "date")
+        .agg(
+            F.sum(gained).alias("units"),
+            F.count_if(value < F.col("_before")).alias("resets"),
+        )
+    )
+    return (
+        daily.select("meter_id", "units", "resets", F.inline(_periods()))
+        .groupBy("meter_id", "grain", "period_start")
+        .agg(
+            _energy(F.sum("units"), digits, 1.0).alias("energy_kwh"),
+            F.sum("resets").alias("resets"),
+        )
+    )
+
+
 def window_energy(
     readings: DataFrame,
     length: str = "3 days",
@@ -274,6 +331,16 @@ def month_forecast(
     The month so far is scaled up to the length of the month, from its third day on. Works
     on daily sums, so a window holds 31 rows at most.
     """
+    return forecast_of_days(daily_units(readings, digits), digits, first_day, hours)
+
+
+def forecast_of_days(
+    daily: DataFrame,
+    digits: int | None = None,
+    first_day: int = 3,
+    hours: float = metering.HOURS_PER_READING,
+) -> DataFrame:
+    """The month forecast from `meter_id, date, units`, one row per meter and date."""
     month_so_far = (
         Window.partitionBy("meter_id", F.trunc("date", "month"))
         .orderBy("date")
@@ -281,8 +348,7 @@ def month_forecast(
     )
     day = F.dayofmonth("date")
     return (
-        daily_units(readings, digits)
-        .withColumn("so_far", _energy(F.sum("units").over(month_so_far), digits, hours))
+        daily.withColumn("so_far", _energy(F.sum("units").over(month_so_far), digits, hours))
         .where(day >= first_day)
         .select(
             "meter_id",
@@ -293,6 +359,21 @@ def month_forecast(
     )
 
 
+def _periods() -> Column:
+    """The day, month and year of `date`."""
+    return F.array(
+        *(
+            F.struct(
+                F.lit(grain).alias("grain"),
+                F.trunc("date", grain).alias("period_start")
+                if grain != "day"
+                else F.col("date").alias("period_start"),
+            )
+            for grain in ("day", "month", "year")
+        )
+    )
+
+
 def _energy(units: Column, digits: int | None, hours: float) -> Column:
     return measures.from_sum(F.coalesce(units, F.lit(0)), digits, hours)
 

@@ -8,6 +8,8 @@ from meterlake.functions import measures, metering
 
 # Every meter is summed in steps of this length; a step of one meter fits into a task.
 STEP = "hour"
+# Rounds of a replay that one row makes at a time.
+ROUNDS = 4096
 
 
 def running_total(
@@ -62,6 +64,55 @@ def running_total(
     )
 
 
+def value_before(
+    df: DataFrame,
+    value: Column,
+    name: str,
+    tie_break: tuple[str, ...] = (),
+    step: str = STEP,
+) -> DataFrame:
+    """Add `name`: the meter's last `value` that is not NULL in a row before this one.
+
+    Rows without a meter are left out; rows without a time come first. As in `running_total`,
+    the last value of a step is picked in each task, a window over the steps carries it on, and
+    a window inside a step looks at its own rows, so that no meter needs one task.
+    """
+    rows = df.where(F.col("meter_id").isNotNull()).withColumns(
+        {"_step": F.date_trunc(step, "event_time"), "_value": value}
+    )
+    order = F.struct("event_time", *tie_break)
+    earlier = (
+        Window.partitionBy("meter_id")
+        .orderBy("_step")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # Steps without a value carry on what is before them.
+    steps = rows.groupBy("meter_id", "_step").agg(
+        F.max_by("_value", F.when(F.col("_value").isNotNull(), order)).alias("_last")
+    )
+    carried = steps.select(
+        F.col("meter_id").alias("_carry_meter"),
+        F.col("_step").alias("_carry_step"),
+        F.last("_last", ignorenulls=True).over(earlier).alias("_carried"),
+    )
+    inside = (
+        Window.partitionBy("meter_id", "_step")
+        .orderBy("event_time", *tie_break)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        rows.join(
+            carried,
+            (F.col("meter_id") == F.col("_carry_meter"))
+            & F.col("_step").eqNullSafe(F.col("_carry_step")),
+        )
+        .withColumn(
+            name, F.coalesce(F.last("_value", ignorenulls=True).over(inside), "_carried")
+        )
+        .select(*df.columns, name)
+    )
+
+
 def running_energy(
     readings: DataFrame,
     digits: int,
@@ -90,29 +141,42 @@ def row_positions(
 
 def replay_schedule(
     df: DataFrame,
-    first_tick: int = 0,
-    end_tick: int | None = None,
+    first_tick: int,
+    end_tick: int,
     tie_break: tuple[str, ...] = (),
     step: str = STEP,
 ) -> DataFrame:
     """What each meter sends at the ticks from `first_tick` up to, not including, `end_tick`.
 
-    A meter sends its rows in time order and starts over after the last one. Without
-    `end_tick` the ticks run until the longest meter has sent every row once. An empty span
-    has no rows.
+    A meter sends its rows in time order and starts over after the last one: a round. A row is
+    repeated for the rounds in which the span holds its place, and left out if there is none,
+    so that what is made is what is sent. An empty span has no rows, nor has a time before
+    tick 0; rows without a meter are left out.
     """
+    placed = row_positions(df, tie_break, step)
     lengths = (
         df.where(F.col("meter_id").isNotNull())
         .groupBy("meter_id")
         .agg(F.count("*").alias("_length"))
     )
-    end = lengths.select(F.max("_length")).scalar() if end_tick is None else F.lit(end_tick)
-    first = F.lit(first_tick).cast("long")
-    span = F.when(end > first, F.sequence(first, end.cast("long") - 1))
-    ticks = lengths.select("meter_id", "_length", F.explode(span).alias("tick")).select(
-        "meter_id", "tick", (F.col("tick") % F.col("_length")).alias("position")
+    first, end = max(first_tick, 0), max(end_tick, 0)
+    # Rounds r with first <= position + r * length < end.
+    low = F.greatest(F.lit(0), F.expr(f"({first}L - position + _length - 1) div _length"))
+    high = F.expr(f"CASE WHEN position < {end}L THEN ({end}L - position - 1) div _length ELSE -1 END")
+    # A short meter may need more rounds than an array of one row should hold.
+    blocks = F.sequence(F.expr(f"_low div {ROUNDS}"), F.expr(f"_high div {ROUNDS}"))
+    from_round = F.greatest("_low", F.col("_block") * ROUNDS)
+    to_round = F.least("_high", F.col("_block") * ROUNDS + ROUNDS - 1)
+    lengths = lengths.withColumnRenamed("meter_id", "_meter")
+    return (
+        placed.join(lengths, F.col("meter_id") == F.col("_meter"))
+        .withColumns({"_low": low, "_high": high})
+        .where("_low <= _high")
+        .withColumn("_block", F.explode(blocks))
+        .withColumn("_round", F.explode(F.sequence(from_round, to_round)))
+        .withColumn("tick", F.col("position") + F.col("_round") * F.col("_length"))
+        .select("meter_id", "position", "tick", *(c for c in df.columns if c != "meter_id"))
     )
-    return ticks.join(row_positions(df, tie_break, step), ["meter_id", "position"])
 
 
 def stamped(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterlake import schemas, sinks
 from meterlake.operators import alerts, clean, fleet, report, running, sampling, shape
-from meterlake.plans import fixture, model as power_model
+from meterlake.plans import fixture, model as power_model, moments
 from meterlake.session import scratch_path
 from meterlake.sources import files, runs
 from meterlake.streaming import jobs
@@ -20,6 +20,9 @@ LAKE_ORDER = ("meter_id",)
 MESSAGE_FILES = 8
 SENT_FROM, SENT_EVERY = "2024-02-01 00:00:00", 2
 PREDICTION_DIGITS = 3
+# Counters are multiples of 0.00005 kWh.
+COUNTER_DIGITS = 5
+COUNTER_UNITS, COUNTER_END = 10**COUNTER_DIGITS, 50 * 10**COUNTER_DIGITS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -284,6 +287,13 @@ def sample_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_readings(rows, percent=10).drop("event_id")
 
 
+@query
+def sample_per_meter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty readings of a meter: more than some have, fewer than others."""
+    rows = fixture.cleaned(spark, sf_dir)
+    return sampling.sample_per_meter(rows, 50, TIE_BREAK).drop("event_id")
+
+
 # --- reports
 
 
@@ -327,6 +337,11 @@ def voltage_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.voltage_filled(fixture.cleaned(spark, sf_dir), tie_break=TIE_BREAK)
 
 
+@query
+def voltage_filled_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.voltage_filled_all(fixture.cleaned(spark, sf_dir), "hour", TIE_BREAK)
+
+
 @query
 def load_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.load_bands(fixture.cleaned(spark, sf_dir), DIGITS)
@@ -342,6 +357,15 @@ def consumption_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.consumption_rollup(fixture.cleaned(spark, sf_dir), DIGITS)
 
 
+@query
+def counter_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters that start over at every 50 kWh; readings without a voltage have none."""
+    rows = fixture.cleaned_with_energy(spark, sf_dir)
+    units = F.rint(F.col("energy") * COUNTER_UNITS).cast("long") % COUNTER_END
+    register = F.when(F.col("voltage").isNotNull(), units / F.lit(float(COUNTER_UNITS)))
+    return report.counter_rollup(rows.withColumn("energy", register), COUNTER_DIGITS, TIE_BREAK)
+
+
 @query
 def window_3d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.window_energy(fixture.cleaned(spark, sf_dir), "3 days", DIGITS)
@@ -364,7 +388,8 @@ def running_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Until the longest meter has sent all its rows; most meters start over before."""
     rows = fixture.cleaned(spark, sf_dir)
-    return running.replay_schedule(rows, tie_break=TIE_BREAK).select(
+    end = rows.groupBy("meter_id").count().agg(F.max("count")).first()[0] or 0
+    return running.replay_schedule(rows, 0, end, TIE_BREAK).select(
         "meter_id", "tick", "position", "event_time", "voltage", "power"
     )
 
@@ -414,6 +439,19 @@ def train_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("value", F.round("value", 4))
 
 
+@query
+def train_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model from sums that were kept while the lake grew, late readings included."""
+    source, target = scratch_path(spark, "growing-lake"), scratch_path(spark, "moments")
+    late = F.pmod(F.xxhash64("meter_id", "event_time"), F.lit(3)) == 0
+    for part in (~late, late):
+        sinks.write_lake(lake(spark, sf_dir).where(part), source)
+        moments.update(spark, source, target)
+    fitted = moments.fit(spark, target)
+    rows = power_model.train_report(fitted, fixture.cleaned(spark, sf_dir))
+    return rows.withColumn("value", F.round("value", 4))
+
+
 @query
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predictions(spark, sf_dir)
@@ -477,3 +515,17 @@ def stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
             jobs.ONCE,
         ).awaitTermination()
     return jobs.read_window_energy(spark, out, DIGITS)
+
+
+@query
+def stream_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month forecast from a stream in several batches, whose readings come in no order."""
+    sent = message_stream(spark, sf_dir, 2)
+    out = finish(
+        lambda *to: jobs.start_window_energy(
+            sent, *to, length="1 day", digits=DIGITS, trigger=jobs.ONCE
+        ),
+        spark,
+        "days",
+    )
+    return jobs.read_month_forecast(spark, out, DIGITS)

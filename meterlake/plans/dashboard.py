@@ -26,14 +26,15 @@ def tables(
     """Reports over the newest date of the lake and the last hour of predictions.
 
     Sources that do not exist yet give an OFFLINE grid and empty tables. With `skip_corrupt`
-    the figures leave out files that cannot be read; else such a file is an error.
+    the figures leave out files that cannot be read, and `skipped_files` names those of the whole
+    lake; else such a file is an error.
     """
     readings = files.read_latest_partition(spark, lake_path, skip_corrupt, compacted)
     since = as_of - F.make_interval(hours=F.lit(FORECAST_HOURS))
     predictions = clean.since(
         files.read_predictions(spark, predictions_path, since), as_of, FORECAST_HOURS
     )
-    return {
+    found = {
         "grid_overview": report.grid_overview(readings, tie_break=TIE_BREAK),
         "voltages": report.voltage_filled(readings, VOLTAGE_ROWS, TIE_BREAK),
         "energy_by_meter": report.energy_by_meter(readings),
@@ -41,3 +42,6 @@ def tables(
         "forecast_series": report.newest_rows_ascending(predictions, FORECAST_ROWS, TIE_BREAK),
         "recent_log": shape.log_view(report.newest_rows(readings, LOG_ROWS, TIE_BREAK)),
     }
+    if skip_corrupt:
+        found["skipped_files"] = files.files_without_rows(spark, lake_path)
+    return found

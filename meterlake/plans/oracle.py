@@ -151,6 +151,10 @@ FROM (SELECT DISTINCT meter_id FROM cl)""",
 SELECT {UNCOUNTED} FROM cl
 WHERE CAST('0x' || substr(md5(meter_id || '@' || epoch_us(event_time)), 1, 8) AS BIGINT) % 100
   < 10""",
+    "sample_per_meter": f"""
+SELECT {UNCOUNTED} FROM cl
+QUALIFY row_number() OVER (PARTITION BY meter_id
+  ORDER BY md5(meter_id || '@' || epoch_us(event_time)), event_time, event_id) <= 50""",
     "latest_per_meter": f"""
 SELECT event_id, {UNCOUNTED} FROM cl
 QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY event_time DESC, event_id DESC) = 1""",
@@ -186,6 +190,18 @@ SELECT event_time, meter_id, coalesce(
   last_value(voltage IGNORE NULLS) OVER (PARTITION BY meter_id ORDER BY event_time
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
   first_value(voltage IGNORE NULLS) OVER (PARTITION BY meter_id ORDER BY event_time
+    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS voltage FROM j""",
+    "voltage_filled_all": """,
+p AS (SELECT meter_id, date_trunc('hour', event_time) AS step, arg_min(voltage, event_time) AS voltage
+      FROM cl WHERE voltage IS NOT NULL GROUP BY ALL),
+g AS (SELECT t.step, m.meter_id
+      FROM (SELECT unnest(generate_series(min(step), max(step), INTERVAL 1 HOUR)) AS step FROM p) t
+      CROSS JOIN (SELECT DISTINCT meter_id FROM p) m),
+j AS (SELECT g.step, g.meter_id, p.voltage FROM g LEFT JOIN p USING (step, meter_id))
+SELECT step AS event_time, meter_id, coalesce(
+  last_value(voltage IGNORE NULLS) OVER (PARTITION BY meter_id ORDER BY step
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(voltage IGNORE NULLS) OVER (PARTITION BY meter_id ORDER BY step
     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS voltage FROM j""",
     "load_bands": """
 SELECT CASE WHEN hour(event_time) <= 5 THEN 'night' WHEN hour(event_time) BETWEEN 6 AND 9
@@ -202,6 +218,17 @@ FROM (SELECT *, voltage * current * power_factor / 1000.0::DOUBLE AS ideal_power
 SELECT meter_id, grain, CAST(date_trunc(grain, date) AS DATE) AS period_start,
   {ENERGY} AS energy_kwh
 FROM cl, (VALUES ('day'), ('month'), ('year')) AS g(grain) GROUP BY ALL""",
+    "counter_rollup": """,
+c AS (SELECT meter_id, event_time, event_id, date,
+        CAST(round(energy * 100000) AS BIGINT) % 5000000 AS units
+      FROM cl WHERE voltage IS NOT NULL),
+d AS (SELECT *, lag(units) OVER (PARTITION BY meter_id ORDER BY event_time, event_id) AS before
+      FROM c)
+SELECT meter_id, grain, CAST(date_trunc(grain, date) AS DATE) AS period_start,
+  CAST(sum(CASE WHEN before IS NULL THEN 0 WHEN units < before THEN units
+    ELSE units - before END) AS DOUBLE) / 100000.0::DOUBLE AS energy_kwh,
+  count(*) FILTER (units < before) AS resets
+FROM d, (VALUES ('day'), ('month'), ('year')) AS g(grain) GROUP BY ALL""",
     "window_3d": f"""
 SELECT meter_id, ws AS window_start, ws + INTERVAL 3 DAY AS window_end, count(*) AS readings,
   {ENERGY} AS energy_kwh
@@ -269,6 +296,9 @@ FROM (SELECT *, time_bucket(INTERVAL '1 hour', event_time) AS ws FROM cl)
 GROUP BY ALL""",
 }
 
+SQL["stream_forecast"] = SQL["month_forecast"]
+SQL["train_incremental"] = SQL["train_report"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: BASE + body for name, body in SQL.items()}

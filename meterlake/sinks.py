@@ -34,16 +34,11 @@ def compact_lake(
     """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("compact into another path than the lake's own")
-    table, name, chosen = runs.RunTable(spark, target), runs.new_name(), runs.new_name()
+    table, name = runs.RunTable(spark, target), runs.new_name()
     live = table.live()
-    fresh = files.not_taken(spark, source, files.taken_files(table, live))
-    wanted = F.col("date").isNotNull() if date is None else F.col("date") == date
-    # Written down first: what a stream adds meanwhile is left for the next time.
-    listing = table.folder(chosen, runs.BESIDE)
-    fresh.where(wanted).select(F.lit(name).alias("name"), "date", "file").write.parquet(listing)
-    names = spark.read.schema(files.TAKEN).parquet(listing)
+    names, pinned = files.pin_new_files(spark, source, table, live, name, date)
     dates = [row.date for row in names.select("date").distinct().collect()]
-    rows = files.rows_of_files(spark, source, dates, names)
+    rows = files.rows_of_files(spark, source, names)
     new = {str(row.date): row["count"] for row in rows.groupBy("date").count().collect()}
     new = {one: new.get(one, 0) for one in dates}
     if dates:
@@ -62,7 +57,7 @@ def compact_lake(
             for one in dates
         ]
         table.commit("lake", [run for run in added if run.rows], old)
-    table.discard(chosen)
+    table.discard(pinned)
     return new
 
 

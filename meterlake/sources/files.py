@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from meterlake import schemas
 from meterlake.operators import shape
-from meterlake.sources.runs import BESIDE, Run, RunTable, or_empty
+from meterlake.sources.runs import BESIDE, Run, RunTable, new_name, or_empty
 
 # Fixed value: time format of history files.
 HISTORY_TIME = "yyyy-MM-dd HH:mm:ss"
 
-TAKEN = schemas.record(name=schemas.STRING, date=schemas.STRING, file=schemas.STRING)
+TAKEN = schemas.record(
+    name=schemas.STRING, date=schemas.STRING, file=schemas.STRING, modified=schemas.TIMESTAMP
+)
 
 DATE_FOLDER = re.compile(r"/date=(\d{4}-\d{2}-\d{2})/")
 
@@ -38,46 +40,82 @@ def read_compacted_lake(
     live = table.live()
     taken = taken_files(table, live)
     # One row for each date with files that no compaction has taken in.
-    open_dates = not_taken(spark, path, taken).select("date").distinct().collect()
+    fresh = not_taken(spark, path, taken).groupBy("date").agg(F.min("modified").alias("since"))
+    found = fresh.collect()
     rows = table.read(live, schemas.READING)
-    if open_dates:
-        dates = [row.date for row in open_dates]
-        named = [F.lit(date).cast("date") for date in dates if date]
-        wanted = F.col("date").isin(named) if all(dates) else F.lit(True)
-        late = _scan_lake(spark, path, skip_corrupt, file=_tail("_metadata.file_path"))
-        rows = rows.unionByName(late.where(wanted).join(taken, "file", "left_anti").drop("file"))
+    if found:
+        late = _files_since(spark, path, found, skip_corrupt).join(taken, "file", "left_anti")
+        rows = rows.unionByName(late.drop("file"))
     return _with_time(rows)
 
 
+def _files_since(
+    spark: SparkSession, path: str, dates: list[Row], skip_corrupt: bool
+) -> DataFrame:
+    """Readings, and their `file`, of some dates and of the time since their oldest new file.
+
+    Spark leaves out other dates and older files when it lists them, without opening any.
+    """
+    named = [F.lit(row.date).cast("date") for row in dates if row.date]
+    wanted = F.col("date").isin(named) if len(named) == len(dates) else F.lit(True)
+    oldest = F.lit(min(row.since for row in dates))
+    rows = _scan_lake(
+        spark, path, skip_corrupt, oldest, file=_tail("_metadata.file_path")
+    )
+    return rows.where(wanted)
+
+
 def taken_files(table: RunTable, live: list[Run]) -> DataFrame:
-    """`name, date, file`: the files whose rows are in the given runs, by folder and name."""
-    pairs = table.spark.createDataFrame([(r.name, r.part) for r in live], "name string, date string")
+    """`name, date, file`: the files whose rows are in the given runs, by folder and name.
+
+    A run of one date answers for the files of that date, a run without a part for all it lists.
+    """
+    pairs = table.spark.createDataFrame([(r.name, r.part) for r in live], "run string, part string")
     listed = table.read_beside(live, TAKEN, BESIDE)
-    return listed.join(F.broadcast(pairs), ["name", "date"], "left_semi")
+    own = (F.col("name") == F.col("run")) & F.col("part").isin("", F.col("date"))
+    return listed.join(F.broadcast(pairs), own, "left_semi")
+
+
+def pin_new_files(
+    spark: SparkSession, path: str, table: RunTable, live: list[Run], name: str, date: str | None = None
+) -> tuple[DataFrame, str]:
+    """`name, date, file` of the files, of one date or of all, that no live run has taken, for a
+    run `name`; written down, so that what comes meanwhile is left for the next time. And the
+    name under which they are stored."""
+    pinned = new_name()
+    fresh = not_taken(spark, path, taken_files(table, live))
+    wanted = F.col("date").isNotNull() if date is None else F.col("date") == date
+    listing = table.folder(pinned, BESIDE)
+    fresh.where(wanted).select(F.lit(name).alias("name"), "date", "file", "modified").write.parquet(
+        listing
+    )
+    return spark.read.schema(TAKEN).parquet(listing), pinned
 
 
 def not_taken(spark: SparkSession, path: str, taken: DataFrame) -> DataFrame:
-    """`file, date` of the lake's files that are not among `taken`; none of them is opened.
+    """`file, date, modified` of the lake's files that are not among `taken`; none is opened.
 
     The names come from Spark's own list of files, so that the log of a streaming writer
     decides which of them count. A lake without date folders has null dates.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     listing = listing.option("pathGlobFilter", "*.parquet")
-    names = or_empty(spark, lambda: listing.load(path), StructType().add("path", "string"))
+    none = schemas.record(path=schemas.STRING, modificationTime=schemas.TIMESTAMP)
+    names = or_empty(spark, lambda: listing.load(path), none)
     date = F.regexp_extract("file", r"date=(\d{4}-\d{2}-\d{2})/", 1)
     return (
-        names.select(_tail("path").alias("file"))
-        .select("file", F.nullif(date, F.lit("")).alias("date"))
+        names.select(_tail("path").alias("file"), F.col("modificationTime").alias("modified"))
+        .select("file", F.nullif(date, F.lit("")).alias("date"), "modified")
         .join(taken, "file", "left_anti")
     )
 
 
-def rows_of_files(spark: SparkSession, path: str, dates: list[str], names: DataFrame) -> DataFrame:
-    """The rows of some dates that are in the files `names`."""
-    days = _scan_lake(spark, path, False, file=_tail("_metadata.file_path"))
-    days = days.where(F.col("date").isin([F.lit(date).cast("date") for date in dates]))
-    return days.join(names, "file", "left_semi").drop("file")
+def rows_of_files(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
+    """The rows that are in the files `names`."""
+    dates = names.groupBy("date").agg(F.min("modified").alias("since")).collect()
+    if not dates:
+        return spark.createDataFrame([], schemas.READING)
+    return _files_since(spark, path, dates, False).join(names, "file", "left_semi").drop("file")
 
 
 def _tail(column: str) -> Column:
@@ -102,6 +140,19 @@ def read_latest_partition(
     return _with_time(lake.where(F.col("date").eqNullSafe(newest)))
 
 
+def files_without_rows(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
+    """`file, date` of the lake's files that give no reading when corrupt ones are skipped: those
+    that cannot be read, and empty ones. Of one date, or of all."""
+    listed = not_taken(spark, path, spark.createDataFrame([], TAKEN))
+    if listed.isEmpty():
+        return listed.select("file", "date")
+    read = _scan_lake(spark, path, True, file=_tail("_metadata.file_path"))
+    if date is not None:
+        listed = listed.where(F.col("date") == date)
+        read = read.where(F.col("date") == F.lit(date).cast("date"))
+    return listed.join(read.select("file").distinct(), "file", "left_anti").select("file", "date")
+
+
 def dates_of(lake: DataFrame) -> list[str]:
     """Dates that the lake's folders are named after, newest first; no file is opened.
 
@@ -121,12 +172,14 @@ def newest_date(lake: DataFrame) -> str | None:
 
 
 def _scan_lake(
-    spark: SparkSession, path: str, skip_corrupt: bool, **more: Column
+    spark: SparkSession, path: str, skip_corrupt: bool, since: Column | None = None, **more: Column
 ) -> DataFrame:
-    """Readings as they are, and columns `more` from the files."""
+    """Readings as they are, of files changed at `since` or later, and columns `more` of files."""
     reader = spark.read.schema(schemas.READING)
     reader = reader.option("ignoreCorruptFiles", str(skip_corrupt).lower())
     lake = or_empty(spark, lambda: reader.parquet(path), schemas.READING)
+    if since is not None:
+        lake = lake.where(F.col("_metadata.file_modification_time") >= since)
     return lake.select(*schemas.READING.names, *(c.alias(name) for name, c in more.items()))
 
 

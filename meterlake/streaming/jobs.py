@@ -169,6 +169,17 @@ def read_window_energy(
     return report.summed_windows(table.read(table.live(), window_partials(digits)), digits)
 
 
+def read_month_forecast(
+    spark: SparkSession, path: str, digits: int | None = None
+) -> DataFrame:
+    """The month forecast from the days that `start_window_energy` has added up, with `length`
+    "1 day": up to date after every micro-batch, late readings of any day included."""
+    table = runs.RunTable(spark, path)
+    days = report.merged_units(table.read(table.live(), window_partials(digits)))
+    dated = days.withColumn("date", F.to_date("window_start"))
+    return report.forecast_of_days(dated.select("meter_id", "date", "units"), digits)
+
+
 def window_partials(digits: int | None) -> StructType:
     """What a run of window sums holds: whole units if there are digits."""
     units = schemas.DOUBLE if digits is None else schemas.LONG

@@ -84,6 +84,12 @@ def test_commands_in_turn(spark, topics):
     run("train", "--lake", lake, "--model", topics / "model2", *compacted)
     assert power_model.load(str(topics / "model2")) is not None
 
+    run("train", "--lake", lake, "--model", topics / "model3", "--moments", topics / "sums")
+    assert power_model.load(str(topics / "model3")) is not None
+    run("windows", "--windows", topics / "days", "--length", "1 day", *follow, topics / "c5")
+    run("forecast", "--windows", topics / "days", "--out", topics / "forecast2")
+    assert jobs.main(["forecast", "--out", str(topics / "forecast3")]) == 1
+
     run("forecast", "--lake", lake, "--out", topics / "forecast", "--digits", 4, *compacted)
     assert spark.read.parquet(str(topics / "forecast")).columns[-1] == "forecast_kwh"
 

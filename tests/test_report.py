@@ -1,13 +1,14 @@
 import datetime as dt
 import math
 import random
+from collections import Counter
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from meterlake import schemas
-from meterlake.operators import fleet, report
+from meterlake.operators import fleet, report, sampling
 
 NAN = float("nan")
 START = dt.datetime(2024, 1, 1)
@@ -205,3 +206,88 @@ def test_ranks_and_shards(spark):
     assert shards == {m: i % 5 for i, m in enumerate(ids)}
     assert [r.meter_id for r in fleet.first_meters(frame).collect()] == ids[:5]
     assert [r.meter_id for r in fleet.distinct_meters(frame).collect()] == ids
+
+
+def plain_counter(rows):
+    """Energy and resets per meter and day, a reading at a time."""
+    found, last = {}, {}
+    for meter, minute, value in sorted(rows, key=lambda r: r[1]):
+        if meter is None or value is None or math.isnan(value):
+            continue
+        day = (START + dt.timedelta(minutes=minute)).date()
+        kwh, resets = found.get((meter, day), (0.0, 0))
+        before = last.get(meter)
+        if before is not None:
+            kwh += value if value < before else value - before
+            resets += value < before
+        found[meter, day], last[meter] = (kwh, resets), value
+    return found
+
+
+@pytest.mark.parametrize("digits, step", [(3, "hour"), (None, "day"), (3, "minute")])
+def test_consumption_from_a_counter(spark, digits, step):
+    """Resets, gaps over days, NULL and NaN counters, one meter with most rows."""
+    draw = random.Random(digits or 1)
+    rows, counters = [], {}
+    for minute in draw.sample(range(5 * 1440), 600):
+        rows.append([draw.choice(["hot", "hot", "hot", "a", None]), minute, None])
+    for row in sorted(rows, key=lambda r: r[1]):
+        counter = counters.get(row[0], 900.0) + draw.randrange(5000) / 1000
+        counters[row[0]] = 0.25 if draw.random() < 0.03 else counter
+        row[2] = draw.choice([None, NAN]) if draw.random() < 0.1 else counters[row[0]]
+    frame = readings(spark, [(m, minute, dict(energy=v)) for m, minute, v in rows])
+    found = report.counter_rollup(frame, digits, step=step).collect()
+    days = {(r.meter_id, r.period_start): (r.energy_kwh, r.resets) for r in found if r.grain == "day"}
+    expected = plain_counter(rows)
+    assert {k: v for k, v in days.items() if k[0]} == {
+        k: (pytest.approx(kwh), resets) for k, (kwh, resets) in expected.items()
+    }
+    year = {r.meter_id: r.energy_kwh for r in found if r.grain == "year"}
+    for meter in ("hot", "a"):
+        assert year[meter] == pytest.approx(sum(v[0] for k, v in expected.items() if k[0] == meter))
+    assert sum(r.resets for r in found if r.grain == "month") > 0
+    assert report.counter_rollup(frame.limit(0), digits).collect() == []
+
+
+@pytest.mark.parametrize("step, minutes", [("hour", 60), ("minute", 1), ("day", 1440)])
+def test_fill_of_the_whole_table(spark, step, minutes):
+    """Every meter has a voltage in every step; gaps at the start, inside and at the end."""
+    draw = random.Random(minutes)
+    rows = [("hot", draw.randrange(10 * minutes), 200.0 + i) for i in range(150)]
+    rows += [("early", draw.randrange(minutes), 1.0 + i) for i in range(3)]
+    rows += [("late", 12 * minutes + draw.randrange(minutes), 2.0)]
+    rows += [("gap", 2 * minutes, 5.0), ("gap", 7 * minutes, 6.0), ("gap", 4 * minutes, None)]
+    rows += [("gap", 5 * minutes, NAN), (None, 30 * minutes, 9.0), ("none", 40 * minutes, None)]
+    frame = readings(spark, [(m, minute, dict(voltage=v)) for m, minute, v in rows])
+    found = report.voltage_filled_all(frame, step, ("voltage",)).collect()
+    known = [r for r in rows if r[0] and r[2] is not None and not math.isnan(r[2])]
+    first, last = min(r[1] for r in known) // minutes, max(r[1] for r in known) // minutes
+    wide = pd.DataFrame(index=range(first, last + 1))
+    for meter in {r[0] for r in known}:
+        own = sorted((minute, v) for m, minute, v in known if m == meter)
+        wide[meter] = pd.Series({minute // minutes: v for minute, v in reversed(own)})
+    wide = wide.ffill().bfill()
+    expected = {
+        (START + dt.timedelta(minutes=at * minutes), meter): wide.loc[at, meter]
+        for at in wide.index for meter in wide.columns
+    }
+    assert len(found) == len(expected)
+    assert {(r.event_time, r.meter_id): r.voltage for r in found} == expected
+    assert report.voltage_filled_all(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("size", [1, 3, 50])
+def test_sample_of_a_given_size(spark, size):
+    """Every meter has its share, smaller samples are part of larger ones, runs agree."""
+    rows = [("hot", i, dict(current=float(i))) for i in range(200)]
+    rows += [(m, i, dict(current=float(i))) for m in "abc" for i in range(5)] + [(None, 1, {})]
+    frame = readings(spark, rows)
+    found = [tuple(r) for r in sampling.sample_per_meter(frame, size, ("current",)).collect()]
+    again = sampling.sample_per_meter(frame.repartition(7), size, ("current",)).collect()
+    assert sorted(found) == sorted(tuple(r) for r in again)
+    assert Counter(r[0] for r in found) == {
+        "hot": min(size, 200), **{m: min(size, 5) for m in "abc"}
+    }
+    larger = {tuple(r) for r in sampling.sample_per_meter(frame, size + 2, ("current",)).collect()}
+    assert set(found) <= larger
+    assert sampling.sample_per_meter(frame.limit(0), size).collect() == []

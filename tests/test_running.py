@@ -76,8 +76,35 @@ def test_replay_starts_over(spark):
     ]
     assert running.replay_schedule(frame, 5, 5, ("event_id",)).count() == 0
     assert running.replay_schedule(frame, 5, 4, ("event_id",)).count() == 0
-    whole = running.replay_schedule(frame, tie_break=("event_id",)).collect()
+    whole = running.replay_schedule(frame, 0, 3, ("event_id",)).collect()
     assert {r.tick for r in whole} == {0, 1, 2} and len(whole) == 6
+    assert running.replay_schedule(frame, -5, 0, ("event_id",)).count() == 0
+    assert running.replay_schedule(frame, -5, 1, ("event_id",)).count() == 2
+
+
+def test_replay_makes_what_is_sent(spark, monkeypatch):
+    """Every meter against plain counting, rounds in several blocks, spans far ahead."""
+    monkeypatch.setattr(running, "ROUNDS", 3)
+    sizes = {"a": 1, "b": 2, "c": 7, "d": 200, "e": 33}
+    rows = [(m, START + dt.timedelta(minutes=i), i, 1.0) for m, n in sizes.items() for i in range(n)]
+    frame = spark.createDataFrame(rows, ROWS)
+    for first, end in ((0, 33), (5, 6), (1_000_003, 1_000_040), (150, 260)):
+        sent = running.replay_schedule(frame, first, end, ("event_id",)).collect()
+        assert sorted((r.meter_id, r.tick, r.event_id) for r in sent) == [
+            (m, tick, tick % n) for m, n in sorted(sizes.items()) for tick in range(first, end)
+        ]
+        assert all(r.position == r.event_id for r in sent)
+
+
+def test_replay_of_one_long_meter_makes_its_span_only(spark):
+    """A long meter among many short ones: the work is the span, not meters times longest."""
+    times = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))
+    long = spark.range(20_000).select(F.lit("long").alias("meter_id"), times.alias("event_time"))
+    short = spark.range(200).select(F.concat(F.lit("m"), "id").alias("meter_id"), times.alias("event_time"))
+    rows = long.unionByName(short)
+    assert running.replay_schedule(rows, 19_990, 20_000).count() == 201 * 10
+    plan = running.replay_schedule(rows, 0, 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_stamped_times_stay_different(spark):
@@ -88,3 +115,20 @@ def test_stamped_times_stay_different(spark):
     assert len(got) == len(times) == 6
     last = max(r.timestamp for r in got if r.meter_id == "a")
     assert last == dt.datetime(2025, 1, 1, 0, 0, 6)
+
+
+@pytest.mark.parametrize("step", ["minute", "hour", "year"])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_value_before(spark, seed, step):
+    """The last known value of the rows before, over steps without any."""
+    rows = history(seed)
+    frame = spark.createDataFrame(rows, ROWS)
+    got = running.value_before(frame, F.col("power"), "before", ("event_id",), step).collect()
+    expected = set()
+    for group in by_meter(rows).values():
+        last = None
+        for row in group:
+            expected.add((*row, last))
+            last = row[3] if row[3] is not None else last
+    assert {tuple(r) for r in got} == expected
+    assert running.value_before(frame.limit(0), F.col("power"), "before").collect() == []

@@ -121,6 +121,10 @@ def test_compacted_dates_are_not_opened_in_the_lake(spark, tmp_path):
     for file in source.glob("date=*/*.parquet"):
         file.write_bytes(b"not a table")
     assert files.read_compacted_lake(spark, str(source), target).count() == 12
+    # Nor are older files of a date that has a late one.
+    sinks.write_lake(lake_rows(spark, DAYS[:1], 1), str(source))
+    assert files.read_compacted_lake(spark, str(source), target).count() == 13
+    assert sinks.compact_lake(spark, str(source), target) == {"2024-01-01": 1}
 
 
 def test_failed_compaction_counts_nothing(spark, tmp_path, monkeypatch):
@@ -139,6 +143,18 @@ def test_failed_compaction_counts_nothing(spark, tmp_path, monkeypatch):
     assert files.read_compacted_lake(spark, source, target).count() == 12
 
 
+def test_files_without_rows_are_named(spark, tmp_path):
+    path = tmp_path / "lake"
+    sinks.write_lake(lake_rows(spark), str(path))
+    assert files.files_without_rows(spark, str(path)).collect() == []
+    broken = path / "date=2024-01-02" / "part-9.parquet"
+    broken.write_bytes(b"not a table")
+    found = files.files_without_rows(spark, str(path)).collect()
+    assert [tuple(row) for row in found] == [("date=2024-01-02/part-9.parquet", "2024-01-02")]
+    assert files.files_without_rows(spark, str(path), "2024-01-01").collect() == []
+    assert files.files_without_rows(spark, str(tmp_path / "none")).collect() == []
+
+
 def test_runs_are_merged_to_few(spark, tmp_path):
     """Sizes of the runs grow by a factor, whatever the batches bring; folders stay few."""
     table, total = runs.RunTable(spark, str(tmp_path)), 0
