@@ -26,3 +26,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for inner columns that no column of the table has, whatever its case."""
+    taken, found = {name.lower() for name in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def row_key() -> Column:
+    """128 bits that rows share if they share doc_id and text; null counts as no id, no text."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
+    return F.unhex(F.md5(F.concat_ws(":", doc_id, text_of())))

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from meterlake.llm.common import free_names, row_key
+
 WINDOW_LINES = 3
 
 
@@ -16,66 +18,71 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     """The documents with `text` shortened and `n_lines`, `n_removed` (longs) added.
 
     Lines end at a newline. Windows of white space only are no repeats. The first place of a
-    window, by (doc_id, line), stays. Texts of fewer than three lines are left as they are; a
-    null text stays null with 0 lines; a text that loses every line becomes empty. Rows that
-    repeat a doc_id share their covered lines. Columns of these names are replaced, others
-    stay; an empty table gives no rows.
+    window, by (doc_id, line), stays; null ids come first. Texts of fewer than three lines are
+    left as they are; a null text stays null with 0 lines; a text that loses every line becomes
+    empty. Rows with one doc_id and different texts are documents of their own; rows that are
+    equal in both lose the same lines. Columns of these names are replaced, others stay,
+    whatever their names; an empty table gives no rows.
     """
     named = docs.drop("n_lines", "n_removed")
-    lines = F.coalesce(F.size("__lines"), F.lit(0))
-    removed = F.coalesce(F.size("__lines") - F.size("__rest"), F.lit(0))
-    return divided(named).select(
-        *other_columns(named),
-        lines.cast("long").alias("n_lines"),
+    rows, lines, rest = divided(named)
+    all_lines = F.coalesce(F.size(lines), F.lit(0))
+    removed = F.coalesce(F.size(lines) - F.size(rest), F.lit(0))
+    return rows.select(
+        *other_columns(named, lines, rest),
+        all_lines.cast("long").alias("n_lines"),
         removed.cast("long").alias("n_removed"),
     )
 
 
 def shortened(docs: DataFrame) -> DataFrame:
     """The documents with `text` shortened, as by `line_dedup`, and no other column touched."""
-    return divided(docs).select(*other_columns(docs))
-
-
-def divided(docs: DataFrame) -> DataFrame:
-    """The documents with all lines and, where some are covered, the numbers of the rest."""
-    rest = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__covered"))
-    return (
-        docs.join(covered_lines(windows(docs)), "doc_id", "left")
-        .withColumn("__lines", F.split("text", "\n", -1))
-        .withColumn("__rest", F.when(F.col("__covered").isNotNull(), rest))
+    rows, lines, rest = divided(docs)
+    return rows.select(*other_columns(docs, lines, rest))
+
+
+def divided(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """The documents with all lines and, where some are covered, the numbers of the rest; the
+    names of these two columns."""
+    key, covered, lines, rest = free_names(docs, "key", "covered", "lines", "rest")
+    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
+    found = covered_lines(windows(docs)).toDF(key, covered)
+    rows = (
+        docs.withColumn(key, row_key())
+        .join(found, key, "left")
+        .withColumn(lines, F.split("text", "\n", -1))
+        .withColumn(rest, F.when(F.col(covered).isNotNull(), F.array_except(numbers, covered)))
     )
+    return rows, lines, rest
 
 
-def other_columns(docs: DataFrame) -> list[Column]:
-    text = F.when(F.col("__rest").isNull(), F.col("text")).otherwise(kept_lines())
+def other_columns(docs: DataFrame, lines: str, rest: str) -> list[Column]:
+    kept = F.array_join(F.transform(rest, lambda i: F.col(lines)[i]), "\n")
+    text = F.when(F.col(rest).isNull(), F.col("text")).otherwise(kept)
     return [text.alias("text") if name == "text" else F.col(name) for name in docs.columns]
 
 
-def kept_lines() -> Column:
-    return F.array_join(F.transform("__rest", lambda i: F.col("__lines")[i]), "\n")
-
-
 def windows(docs: DataFrame) -> DataFrame:
-    """`doc_id, line, window`: first line and 128-bit hash of every window."""
+    """`doc_id, key, line, window`: first line and 128-bit hash of every window."""
     lines = docs.where("text LIKE '%\n%\n%'").select(
-        "doc_id", F.split("text", "\n", -1).alias("lines")
+        "doc_id", row_key().alias("key"), F.split("text", "\n", -1).alias("lines")
     )
     starts = F.sequence(F.lit(1), F.size("lines") - (WINDOW_LINES - 1))
     joined = F.transform(starts, lambda i: F.array_join(F.slice("lines", i, WINDOW_LINES), "\n"))
     return (
-        lines.select("doc_id", F.posexplode(joined).alias("line", "joined"))
+        lines.select("doc_id", "key", F.posexplode(joined).alias("line", "joined"))
         .where(F.col("joined").rlike(r"\S"))
-        .select("doc_id", "line", F.unhex(F.md5("joined")).alias("window"))
+        .select("doc_id", "key", "line", F.unhex(F.md5("joined")).alias("window"))
     )
 
 
 def covered_lines(found: DataFrame) -> DataFrame:
-    """`doc_id, __covered`: the lines of later occurrences.
+    """`key, covered`: the lines of later occurrences.
 
     Windows are counted in each task before they meet; only repeated ones are joined back, and
     adaptive execution splits the places of a hot window.
     """
-    place = F.struct("doc_id", "line")
+    place = F.struct("doc_id", "line", "key")
     repeated = (
         found.groupBy("window")
         .agg(F.count("*").alias("places"), F.min(place).alias("first"))
@@ -83,14 +90,15 @@ def covered_lines(found: DataFrame) -> DataFrame:
         .select("window", "first")
     )
     later = found.join(repeated, "window").where(place > F.col("first"))
-    starts = later.groupBy("doc_id").agg(F.collect_set("line").alias("starts"))
+    starts = later.groupBy("key").agg(F.collect_set("line").alias("starts"))
     spans = F.transform(
         "starts", lambda at: F.sequence(at, at + (WINDOW_LINES - 1))
     )
-    return starts.select("doc_id", F.array_distinct(F.flatten(spans)).alias("__covered"))
+    return starts.select("key", F.array_distinct(F.flatten(spans)).alias("covered"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
+    """`doc_id, n_lines, n_removed, kept_sha256` of every row, as by `line_dedup`."""
     return line_dedup(docs.select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_removed",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterlake.llm.common import stored, text_of
+from meterlake.llm.common import free_names, row_key, stored, text_of
 from meterlake.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -47,19 +47,25 @@ def fingerprint_of(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(over_half, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """`doc_id, bits`: the fingerprint as a signed long."""
+def fingerprints(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, beside: Column | None = None
+) -> DataFrame:
+    """`doc_id, beside, bits`: the fingerprint as a signed long, beside a binary column."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint_of(t, shingle_words) for t in batch.column("text").to_pylist()]
             bits = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(bits)], ["doc_id", "bits"]
+                [batch.column("doc_id"), batch.column("beside"), pa.array(bits)],
+                ["doc_id", "beside", "bits"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(hashed, "doc_id long, bits long")
+    more = F.lit(None).cast("binary") if beside is None else beside
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), more.alias("beside"), text_of().alias("text")
+    )
+    return rows.mapInArrow(hashed, "doc_id long, beside binary, bits long")
 
 
 def set_bits(segment: int) -> Column:
@@ -112,8 +118,18 @@ def near_dedup(
     fingerprint are one node of the graph, so copies are never paired with each other. A null
     doc_id gets the component of its fingerprint. Other columns are ignored.
     """
+    return grouped(docs, shingle_words, max_bits).drop("beside")
+
+
+def grouped(
+    docs: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    beside: Column | None = None,
+) -> DataFrame:
+    """As `near_dedup`, with a binary column of the rows beside."""
     # Read three times below; hashing the texts is the costly part.
-    hashed = stored(fingerprints(docs, shingle_words), "fingerprints")
+    hashed = stored(fingerprints(docs, shingle_words, beside), "fingerprints")
     nodes = stored(hashed.groupBy("bits").agg(F.min("doc_id").alias("id")), "nodes")
     known = nodes.where("id IS NOT NULL")
     found = components(links(known, max_bits))
@@ -121,15 +137,22 @@ def near_dedup(
         "bits", F.coalesce("component", "id").alias("component_id")
     )
     return hashed.join(parts, "bits").select(
-        "doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id"
-    )
+        "doc_id", "beside", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each group stays: the one with the smallest doc_id, unchanged.
 
-    Only ids and fingerprints are shuffled besides the join of the ids that go.
+    Rows with one doc_id and different texts are documents of their own; of rows that are equal
+    in both, one stays. Null ids come last; documents without an id are grouped with others of
+    their own fingerprint. Texts are shuffled once, with a key of their rows.
     """
-    grouped = near_dedup(docs)
-    dropped = grouped.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    return docs.join(dropped.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = grouped(docs, beside=row_key())
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "beside"))
+    alone = F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone")
+    kept = rows.groupBy("component_id", alone).agg(first.alias("first")).select("first.beside")
+    (key,) = free_names(docs, "key")
+    keyed = docs.withColumn(key, row_key()).dropDuplicates([key])
+    return keyed.join(kept.toDF(key), key, "left_semi").select(*docs.columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
@@ -127,9 +127,41 @@ def test_random_lines(spark):
     assert found == remaining_lines(texts)
 
 
+def test_rows_that_share_an_id_keep_their_own_lines(spark):
+    """Different texts under one id, null ids, whole rows again, names of inner columns."""
+    rows = [(1, "a\nb\nc"), (2, "a\nb\nc"), (2, "p\nq\nr\ns"), (3, "x\ny\nz"), (3, "x\ny\nz"),
+            (None, "k\nl\nm"), (4, "k\nl\nm\nn"), (None, "only")]
+    names = ["covered", "lines", "rest", "key", "__covered", "__lines", "_key"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {name: F.lit(name) for name in names}
+    )
+    found = line_dedup.line_dedup(docs).collect()
+    assert all(r[name] == name for r in found for name in names)
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(
+        [(1, "a\nb\nc"), (2, ""), (2, "p\nq\nr\ns"), (3, "x\ny\nz"), (3, "x\ny\nz"),
+         (None, "k\nl\nm"), (4, "n"), (None, "only")]
+    )
+    assert line_dedup.shortened(docs).columns == docs.columns
+
+
 # --- simhash
 
 
+def test_one_of_each_group_stays(spark):
+    """Rows that share an id but not a text, null ids, rows that repeat whole."""
+    a, u, v = "some words that stand here twice", "another text of its own kind", "third one alone here"
+    rows = [(1, a), (2, a), (2, u), (None, a), (None, v), (None, v), (5, a), (5, a), (7, ""), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {name: F.lit(name) for name in ("key", "bits", "beside", "first", "component_id")}
+    )
+    found = simhash.keep_first(docs)
+    assert found.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in found.collect()) == Counter(
+        [(1, a), (2, u), (None, v), (7, "")]
+    )
+    assert simhash.keep_first(docs.limit(0)).collect() == []
+
+
 def plain_fingerprint(text):
     words = (text or "").encode().lower().split()
     shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
