@@ -42,4 +42,5 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
 def row_key() -> Column:
     """128 bits that rows share if they share doc_id and text; null counts as no id, no text."""
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
-    return F.unhex(F.md5(F.concat_ws(":", doc_id, text_of())))
+    # The text is hashed where it stands; joining it to the id would copy it.
+    return F.unhex(F.md5(F.concat_ws(":", doc_id, F.md5(text_of()))))
