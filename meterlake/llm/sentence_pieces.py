@@ -50,11 +50,14 @@ class Pieces:
         self.packed_of = {piece: PACK(i) for piece, (i, _) in scores.items()}
         self.scores = {piece: score for piece, (_, score) in scores.items()}
         self.unknown = min(self.scores.values(), default=0.0) - BELOW_ALL
+        # Neighbours inside a piece, and the pieces that no merges divide.
+        self.inner = {piece[i : i + 2] for piece in scores for i in range(len(piece) - 1)}
+        self.whole = {piece for piece in scores if self.merged(piece) == [piece]}
         self.automaton = ahocorasick.Automaton()
         for piece in scores:
             if SPACE in piece.lstrip(SPACE) or "\n" in piece:
                 raise ValueError("a piece reaches across words")
-            if self.merged(piece) == [piece]:  # no merges lead to any other
+            if piece in self.whole:
                 self.automaton.add_word(piece, (piece, self.scores[piece], len(piece) - 1))
         self.automaton.make_automaton()
         self.recent: dict[str, bytes] = {}
@@ -141,7 +144,10 @@ class Pieces:
         if self.tried > CACHE_PAIRS:
             self.tried = 0
             self.pairs.clear()
-        return not before or self.merged(before + piece) == [before, piece]
+        if not before or before[-1] + piece[0] not in self.inner:
+            return True  # no merge can cross
+        joined = before + piece
+        return joined not in self.whole and self.merged(joined) == [before, piece]
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a text by merges, the best-scored first, of equal ones the leftmost."""
