@@ -9,6 +9,7 @@ about `ITEMS_PER_TASK` items, so the top of the tree is as wide as the leftovers
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -40,15 +41,18 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def load_encoding(path: str | None = None):
-    """Byte-level BPE of 50,257 ids, read from its ranks file; special strings are text."""
+def load_encoding(path: str | None = None, tokenizer: str | None = None):
+    """Byte-level BPE of 50,257 ids, read from its ranks file, with the added tokens of the
+    tokenizer's JSON, whose strings in a text are one id each, as in `tokenizers`."""
     import public_tokenizers
     import tiktoken
 
     with open(path or public_path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    with open(tokenizer or public_path("byte_bpe_50k.json"), encoding="utf-8") as described:
+        added = {token["content"]: token["id"] for token in json.load(described)["added_tokens"]}
     return tiktoken.Encoding(
-        "byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added
     )
 
 
@@ -67,7 +71,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = MAX_
         for batch in batches:
             rows = []
             for doc_id, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                ids = np.append(encoding.encode_to_numpy(text, disallowed_special=()), END_ID)
+                ids = np.append(encoding.encode_to_numpy(text, allowed_special="all"), END_ID)
                 raw = ids.astype("<u4").tobytes()
                 for number, (start, length) in enumerate(cut(len(ids), max_tokens)):
                     part = raw[4 * start : 4 * (start + length)]
