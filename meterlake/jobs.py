@@ -26,7 +26,7 @@ def ingest(spark, args) -> None:
     messages = read_topic(spark, args, "earliest")
     query = streams.start_ingest(
         messages, args.lake, args.checkpoint, trigger(args, streams.INGEST_EVERY),
-        args.files_per_date,
+        args.files_per_date, args.drop_repeats,
     )
     query.awaitTermination()
 
@@ -158,10 +158,14 @@ def parser() -> argparse.ArgumentParser:
             cmd.add_argument("--once", action="store_true", help="stop after what is there now")
         return cmd
 
-    command(ingest, "lake", "checkpoint", reads=True).add_argument(
+    cmd = command(ingest, "lake", "checkpoint", reads=True)
+    cmd.add_argument(
         "--files-per-date", type=int, default=streams.FILES_PER_DATE,
         help="most files a micro-batch adds to a date; 0 for no shuffle",
     )
+    cmd.add_argument(
+        "--drop-repeats", metavar="AGE", help='leave out repeats within this, such as "10 minutes"'
+    )
     with_compacted(command(train, "lake", "model")).add_argument(
         "--moments", help="folder of sums kept between runs: only new files are read"
     )

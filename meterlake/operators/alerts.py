@@ -57,12 +57,33 @@ class OverVoltage(AlertRule):
         )
 
 
-def run_rules(readings: DataFrame, rules: Iterable[AlertRule]) -> DataFrame:
+def run_rules(
+    readings: DataFrame, rules: Iterable[AlertRule], strict: bool = False
+) -> DataFrame:
     """Alerts of all rules with meter, time and rule name, from one pass over the readings.
 
-    A rule that cannot start or does not fit the readings is logged and left out.
+    A rule that cannot start or does not fit the readings is logged and left out. One that fails
+    on a reading raises no alert for it, and goes on; `rule_failures` names these readings. With
+    `strict` such a failure ends the job, as it does for a stream that has one rule.
     """
-    alerts = []
+    schema = ", ".join(f"{field} string" for field in ALERT_FIELDS)
+    raised = tried_rules(readings, rules, strict).where("tried IS NOT NULL")
+    alert = F.from_json(F.decode("tried", "utf-8"), schema)
+    return raised.select("meter_id", "event_time", "rule", F.inline(F.array(alert)))
+
+
+def rule_failures(readings: DataFrame, rules: Iterable[AlertRule]) -> DataFrame:
+    """Meter, time and rule name where a rule could not be evaluated, such as after a division
+    by zero. Python functions in a rule are beyond this: their errors end the job."""
+    failed = tried_rules(readings, rules).where("tried IS NULL")
+    return failed.select("meter_id", "event_time", "rule")
+
+
+def tried_rules(
+    readings: DataFrame, rules: Iterable[AlertRule], strict: bool = False
+) -> DataFrame:
+    """`meter_id, event_time, rule, tried`: an alert as JSON bytes, NULL where the rule failed."""
+    tried = []
     for rule in rules:
         try:
             rule.initialize()
@@ -72,14 +93,19 @@ def run_rules(readings: DataFrame, rules: Iterable[AlertRule]) -> DataFrame:
         except Exception as error:
             logger.warning("alert rule %s left out: %s", rule.name, error)
             continue
-        named = F.struct(F.lit(rule.name).alias("rule"), *fields)
-        alerts.append(F.when(alert.isNotNull(), named))
-    none = F.lit(None).cast("struct<rule:string,type:string,message:string,action:string>")
-    raised = F.filter(F.array(none, *alerts), lambda alert: alert.isNotNull())
-    # Most readings raise nothing and need not reach the generator.
-    return readings.where(F.coalesce(none, *alerts).isNotNull()).select(
-        "meter_id", "event_time", F.inline(raised)
+        # Empty for no alert. The function gives NULL for whatever fails in its argument.
+        text = F.when(alert.isNull(), "").otherwise(F.to_json(F.struct(*fields)))
+        to_bytes = F.to_binary if strict else F.try_to_binary
+        result = to_bytes(text, F.lit("utf-8"))
+        tried.append(F.struct(F.lit(rule.name).alias("rule"), result.alias("tried")))
+    none = F.array().cast("array<struct<rule:string,tried:binary>>")
+    # Inside the filter Spark takes no parts out that rules share; outside of the try they would
+    # fail for all. Most readings raise nothing, and give no row.
+    worth_a_row = F.filter(
+        F.array(*tried) if tried else none,
+        lambda one: one["tried"].isNull() | (F.length(one["tried"]) > 0),
     )
+    return readings.select("meter_id", "event_time", F.inline(worth_a_row))
 
 
 def finish_rules(rules: Iterable[AlertRule]) -> None:

@@ -42,3 +42,10 @@ def only_meters(df: DataFrame, meters: Sequence[str] | DataFrame) -> DataFrame:
     if isinstance(meters, DataFrame):
         return df.join(meters, "meter_id", "left_semi")
     return df.where(F.col("meter_id").isin(list(meters)))
+
+
+def repeated_readings(lake: DataFrame) -> DataFrame:
+    """`meter_id, event_time, date, repeats` (long): readings that stand in the lake more than
+    once, equal in every column, and how often too many."""
+    counted = lake.groupBy(*lake.columns).agg((F.count("*") - 1).alias("repeats"))
+    return counted.where("repeats > 0").select("meter_id", "event_time", "date", "repeats")

@@ -430,6 +430,28 @@ def alert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.run_rules(fixture.cleaned(spark, sf_dir), rules)
 
 
+class PowerPerVolt(alerts.AlertRule):
+    """Power per volt off the nominal 230; it forgets that the voltage may be 230."""
+
+    def alert(self, readings: DataFrame) -> Column:
+        steep = readings["power"] / (readings["voltage"] - 230) > 1
+        texts = {"type": "WARNING", "message": "Steep", "action": "Inspect"}
+        return F.when(steep, F.struct(*(F.lit(text).alias(name) for name, text in texts.items())))
+
+
+@query
+def alerts_beside_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule divides by zero on some readings; it goes on, and the other one too."""
+    rules = [PowerPerVolt(), alerts.OverVoltage()]
+    return alerts.run_rules(fixture.cleaned(spark, sf_dir), rules)
+
+
+@query
+def rule_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [PowerPerVolt(), alerts.OverVoltage()]
+    return alerts.rule_failures(fixture.cleaned(spark, sf_dir), rules)
+
+
 # --- model
 
 
@@ -485,6 +507,26 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_lake(spark, out)
 
 
+@query
+def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is sent twice, as a producer may that got no answer."""
+    sent = message_stream(spark, sf_dir, 2).union(message_stream(spark, sf_dir))
+    out = finish(
+        lambda *to: jobs.start_ingest(sent, *to, jobs.ONCE, repeats_within="1 hour"),
+        spark,
+        "ingest-once",
+    )
+    return files.read_lake(spark, out)
+
+
+@query
+def repeated_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings that a second delivery of a third of the lake repeats."""
+    rows = lake(spark, sf_dir)
+    again = rows.where("status_code = 1")
+    return clean.repeated_readings(shape.union_parts(rows, again))
+
+
 @query
 def stream_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent, fitted = message_stream(spark, sf_dir), model(spark, sf_dir)

@@ -259,6 +259,12 @@ SELECT {OVER_240.format(time="event_time")} FROM cl WHERE voltage > 240""",
 SELECT {OVER_240.format(time="event_time")} FROM cl WHERE voltage > 240 UNION ALL
 SELECT {OVER_240.format(time="event_time").replace("'OverVoltage'", "'HighOverVoltage'")}
 FROM cl WHERE voltage > 245""",
+    "alerts_beside_failures": f"""
+SELECT {OVER_240.format(time="event_time")} FROM cl WHERE voltage > 240 UNION ALL
+SELECT meter_id, event_time, 'PowerPerVolt', 'WARNING', 'Steep', 'Inspect'
+FROM cl WHERE voltage <> 230 AND power / (voltage - 230) > 1""",
+    "rule_failures": """
+SELECT meter_id, event_time, 'PowerPerVolt' AS rule FROM cl WHERE voltage = 230""",
     "train_report": FIT
     + """,
 q AS (SELECT count(*) AS n, avg((p-g)*(p-g)) AS mse, var_pop(p) AS spread
@@ -285,6 +291,11 @@ ORDER BY event_time DESC, meter_id DESC LIMIT 500""",
        ELSE 0.0::DOUBLE END AS error_pct
 FROM pr ORDER BY event_time DESC, meter_id DESC LIMIT 1""",
     "stream_ingest": f"SELECT {STREAMED} FROM cl",
+    "stream_ingest_once": f"SELECT DISTINCT {STREAMED} FROM cl",
+    "repeated_readings": f"""
+SELECT meter_id, event_time, date, count(*) - 1 AS repeats
+FROM (SELECT {READING} FROM cl UNION ALL SELECT {READING} FROM cl WHERE status_code = 1)
+GROUP BY {READING} HAVING count(*) > 1""",
     "stream_predict": FIT
     + f"SELECT meter_id, {MILLIS}, power AS actual_power, {GUESS} AS predicted_power"
     + " FROM mr, b WHERE voltage IS NOT NULL AND current IS NOT NULL",

@@ -32,6 +32,9 @@ ONCE = {"availableNow": True}
 # Files that a micro-batch adds to a date at most.
 FILES_PER_DATE = 8
 
+# Time of the batch that brought a reading, while repeats are looked for.
+ARRIVED = "arrived"
+
 
 def cleaned_stream(messages: DataFrame) -> DataFrame:
     return clean.clean_readings(shape.flatten(shape.decode_messages(messages)))
@@ -43,13 +46,18 @@ def start_ingest(
     checkpoint: str,
     trigger: dict = INGEST_EVERY,
     files_per_date: int | None = FILES_PER_DATE,
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
     """Messages -> cleaned readings, appended to the lake by date.
 
     The readings are shuffled first, so that a batch adds no more than `files_per_date` files
     to a date. With None there is no shuffle, and each task writes a file per date it meets.
+    With `repeats_within` such as "10 minutes" readings that repeat others are left out, see
+    `without_repeats`; to switch this on or off takes a new checkpoint.
     """
     readings = cleaned_stream(messages)
+    if repeats_within:
+        readings = without_repeats(readings, repeats_within)
     if files_per_date:
         share = F.pmod(F.xxhash64("meter_id", "event_time"), F.lit(files_per_date))
         readings = readings.repartition("date", share)
@@ -57,6 +65,24 @@ def start_ingest(
     return writer.partitionBy("date").start(lake_path)
 
 
+def without_repeats(readings: DataFrame, age: str) -> DataFrame:
+    """The readings of a stream without those that repeat one in every column, as after a
+    producer's retry.
+
+    A reading is remembered for `age` after it has come, by the clock of the batches and not by
+    its own time: late readings are kept, and the state is bounded by what arrives within `age`.
+    A repeat that comes later passes; `clean.repeated_readings` counts those in the lake.
+    """
+    came = readings.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, age)
+    return came.dropDuplicatesWithinWatermark(readings.columns).drop(ARRIVED)
+
+
+def repeats_left_out(query: StreamingQuery) -> int:
+    """Readings that `without_repeats` left out of the batches Spark still reports on."""
+    states = [state for batch in query.recentProgress for state in batch.stateOperators]
+    return sum(state.customMetrics.get("numDroppedDuplicateRows", 0) for state in states)
+
+
 def start_scoring(
     messages: DataFrame,
     model: PipelineModel,
@@ -88,7 +114,7 @@ def start_alerts(
     """
     queries = []
     for number, rule in enumerate(rules):
-        raised = shape.to_messages(alerts.run_rules(cleaned_stream(messages), [rule]))
+        raised = shape.to_messages(alerts.run_rules(cleaned_stream(messages), [rule], strict=True))
         name = f"{number}-{rule.name}"
         writer = sink(raised) if sink else _append(raised, "text", checkpoint, trigger)
         writer = writer.option("checkpointLocation", f"{checkpoint}/{name}").trigger(**trigger)

@@ -62,6 +62,40 @@ def test_a_broken_rule_does_not_stop_others(spark, broken):
     assert good.calls == ["initialize", "finalize"]
 
 
+class PerVolt(alerts.OverVoltage):
+    """Divides by zero at the limit."""
+
+    def alert(self, readings):
+        near = 1 / (readings["voltage"] - self.limit_volts) > self.least
+        return F.when(near, super().alert(readings))
+
+    def __init__(self, least=0):
+        super().__init__()
+        self.least = least
+
+
+class Raising(alerts.OverVoltage):
+    def alert(self, readings):
+        return F.when(F.raise_error(F.lit("never")).isNull(), super().alert(readings))
+
+
+def test_a_rule_that_fails_on_a_reading_goes_on(spark):
+    """Two rules share the failing part; another fails everywhere."""
+    rules = [PerVolt(), PerVolt(1), Raising(), alerts.OverVoltage()]
+    found = alerts.run_rules(readings(spark), rules).collect()
+    assert sorted((r.rule, r.meter_id) for r in found) == [
+        ("OverVoltage", "b"),
+        ("PerVolt", "b"),
+        ("PerVolt", "b"),
+    ]
+    failed = alerts.rule_failures(readings(spark), rules).collect()
+    assert sorted((r.rule, r.meter_id) for r in failed) == [
+        ("PerVolt", "a"),
+        ("PerVolt", "a"),
+        *(("Raising", meter) for meter in "abcd"),
+    ]
+
+
 def test_without_rules_there_are_no_alerts(spark):
     found = alerts.run_rules(readings(spark), [])
     assert found.columns == ["meter_id", "event_time", "rule", "type", "message", "action"]

@@ -67,6 +67,37 @@ def ingest(topic, tmp_path):
     return files.read_lake(topic.spark, paths[0])
 
 
+def test_repeats_are_left_out_over_batches_and_restarts(topic, tmp_path):
+    """The same messages in a later file, a late day among them, with and without the option."""
+    paths = str(tmp_path / "once"), str(tmp_path / "once-checkpoint")
+    left_out = 0
+    for name, texts in [
+        ("2", [text_of(i) for i in range(150)] * 2),
+        ("3", [text_of(i, day=-5) for i in range(50)] * 2),
+    ]:
+        query = jobs.start_ingest(topic.stream(), *paths, jobs.ONCE, repeats_within="1 hour")
+        query.awaitTermination()
+        left_out += jobs.repeats_left_out(query)
+        topic.send(name, texts)
+    query = jobs.start_ingest(topic.stream(), *paths, jobs.ONCE, repeats_within="1 hour")
+    query.awaitTermination()
+    left_out += jobs.repeats_left_out(query)
+    once, every = files.read_lake(topic.spark, paths[0]), ingest(topic, tmp_path)
+    assert sorted_rows(once) == sorted_rows(cleaned_batch(topic).distinct())
+    assert left_out == every.count() - once.count() > 0
+    assert clean.repeated_readings(once).isEmpty()
+    assert clean.repeated_readings(every).agg(F.sum("repeats")).first()[0] == left_out
+
+
+def test_repeats_beyond_the_age_pass(topic, tmp_path):
+    paths = str(tmp_path / "once"), str(tmp_path / "once-checkpoint")
+    jobs.start_ingest(topic.stream(), *paths, jobs.ONCE, repeats_within="0 seconds").awaitTermination()
+    topic.send("2", [text_of(i) for i in range(50)])
+    jobs.start_ingest(topic.stream(), *paths, jobs.ONCE, repeats_within="0 seconds").awaitTermination()
+    lake = files.read_lake(topic.spark, paths[0])
+    assert sorted_rows(lake) == sorted_rows(cleaned_batch(topic))
+
+
 def test_ingest_equals_batch_and_restarts(topic, tmp_path):
     assert sorted_rows(ingest(topic, tmp_path)) == sorted_rows(cleaned_batch(topic))
     # A late day arrives before the restart; nothing is lost or repeated.
