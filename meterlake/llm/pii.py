@@ -5,47 +5,98 @@ secret key derives from type and canonical form: one entity gets one surrogate i
 document. Surrogates keep the type and its format: letters stay letters of the same case,
 digits stay digits, card numbers pass the Luhn test, names keep title, gender and script. The
 surrogates of all entities are checked against each other and against all originals; those
-that collide are derived again, so that different entities stay different. Family and given
-names are entities of their own, whatever the title, and full names are composed of theirs.
+that collide are derived again, so that different entities stay different. Every word of a
+name is an entity of its own, whatever the title and the case, and names are composed of theirs.
 """
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from meterlake.llm.common import stored
+from meterlake.llm.common import free_names, row_key, stored
 
-KEY = "replace with a secret of your own"
+# The session's setting that holds the key; Spark hides settings of such names in its logs.
+KEY_SETTING = "spark.meterlake.surrogates.secret"
 # Attempts with the exact format; later ones are made longer until they are distinct.
 SAME_FORMAT_ATTEMPTS = 8
 # Of a name: 32 ** 5 are 33 million. Later attempts have more.
 SYLLABLES = 5
-# What a stem of syllables may end in; syllables have two letters, so an ending can be told.
-ENDINGS = ("n", "na", "н", "на", "нов", "нова")
 
 # Titles that show a gender.
-MALE_TITLES = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Signor", "Господин")
-FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Señora", "Signora", "Госпожа")
-OTHER_TITLES = ("Dr", "Prof")
+MALE_TITLES = ("Mr", "Mister", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Signor",
+               "Господин", "Господина", "Κύριος", "Κύριε", "Κυρίου")
+FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Lady", "Frau", "Fräulein", "Madame", "Mme",
+                 "Mademoiselle", "Mlle", "Señora", "Señorita", "Sra", "Srta", "Signora",
+                 "Госпожа", "Госпожи", "Κυρία", "Κυρίας")
+OTHER_TITLES = ("Dr", "Prof", "Professor")
+# Titles that are also written small before a name; "miss" and others are words as well.
+SMALL_TITLES = ("Monsieur", "Madame", "Mademoiselle", "Señor", "Señora", "Señorita", "Signor",
+                "Signora", "Господин", "Господина", "Госпожа", "Госпожи", "Κύριος", "Κύριε",
+                "Κυρίου", "Κυρία", "Κυρίας")
+# Small words inside a name, which stay.
+PARTICLES = ("de", "del", "della", "den", "der", "di", "da", "do", "dos", "das", "du", "van",
+             "von", "zu", "ter", "la", "le", "el", "al", "bin", "ibn", "y", "e")
 LATIN = ("ba", "be", "bo", "da", "de", "do", "ka", "ke", "ko", "la", "le", "lo", "ma", "me", "mo",
          "na", "ne", "no", "ra", "re", "ro", "sa", "se", "so", "ta", "te", "to", "va", "ve", "vo",
          "zi", "mi")
 CYRILLIC = ("ба", "бе", "бо", "да", "де", "до", "ка", "ке", "ко", "ла", "ле", "ло", "ма", "ме",
             "мо", "на", "не", "но", "ра", "ре", "ро", "са", "се", "со", "та", "те", "то", "ва",
             "ве", "во", "зи", "ми")
+GREEK = ("βα", "βε", "βο", "δα", "δε", "δο", "κα", "κε", "κο", "λα", "λε", "λο", "μα", "με", "μο",
+         "να", "νε", "νο", "ρα", "ρε", "ρο", "σα", "σε", "σο", "τα", "τε", "το", "φα", "φε", "φο",
+         "ζι", "μι")
+# Script, syllables, endings of given names (of men, of women) and of family names. Syllables
+# have two letters, so that an ending can be told.
+SCRIPTS = (
+    ("IsCyrillic", CYRILLIC, ("н", "на"), ("нов", "нова")),
+    ("IsGreek", GREEK, ("ς", "να"), ("ς", "υ")),
+    ("L", LATIN, ("n", "na"), ("n", "n")),
+)
+ENDINGS = sorted({ending for *_, given, family in SCRIPTS for ending in given + family})
+# Letters that replace others of their script.
+LETTERS = (
+    (r"\p{IsCyrillic}", "абвгдежзиклмно"),
+    (r"\p{IsGreek}", "αβγδεζηθικλμνξ"),
+    (r"\p{IsArabic}", "بتثجحخدذرزسشصض"),
+    (r"\p{IsHebrew}", "אבגדהוזחטילמנס"),
+    (r"\p{IsDevanagari}", "कखगघचछजझटठडढणत"),
+    (r"\p{IsHangul}", "가나다라마바사아자차카타파하"),
+    (r"\p{IsHiragana}", "かきくけこさしすせそたちつて"),
+    (r"\p{IsKatakana}", "カキクケコサシスセソタチツテ"),
+    (r"\p{IsHan}", "山川田木林森水火土金石花草竹"),
+    (r"\p{L}", "abcdefghijklmnopqrstuvwxyz"),
+)
 
-TITLES = (*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES)
-_TITLE = "|".join(TITLES)
+TITLES = tuple(
+    dict.fromkeys(
+        [*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES]
+        + [t.upper() for t in (*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES)]
+        + [t.lower() for t in SMALL_TITLES]
+    )
+)
+_TITLE = rf"(?:{'|'.join(TITLES)})\.? "
+_FIRST_LETTERS = "".join(sorted({title[0] for title in TITLES}))
 # What names a secret; the secret follows.
 _LABEL = r"(?i:password|passwd|secret|token|api_?key|access_key)[ ]{0,2}[=:][ ]{0,2}[\"']?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_WORD = r"\p{Lu}[\p{Ll}'’-]+"
+# Inside a word an apostrophe belongs to it, but for a possessive at its end.
+_REST = r"[\p{L}\p{M}]*(?:['’](?![sS](?!\p{L}))[\p{L}\p{M}]+)*"
+_WORD = rf"\p{{Lu}}(?=[\p{{L}}\p{{M}}'’-]\p{{L}}?){_REST}(?:[-‐‑]\p{{L}}{_REST})*"
+_BEFORE = rf"(?:\p{{Lu}}\. ?|(?:{'|'.join(PARTICLES)}) ){{0,3}}"
+_NAME = rf"(?:{_TITLE})+{_BEFORE}{_WORD}(?: (?!{_TITLE}){_BEFORE}{_WORD}){{0,3}}"
+_GROUP = "[0-9A-Fa-f]{1,4}"
 PATTERNS = (
     r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----",
     r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
     rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
+    # IPv6: all eight groups, or a first one of four digits and a gap.
+    rf"(?<![\p{{L}}\d:.])(?:(?:{_GROUP}:){{7}}{_GROUP}"
+    rf"|(?=[a-fA-F:]*\d)[0-9A-Fa-f]{{4}}(?::{_GROUP}){{0,5}}::(?:{_GROUP}(?::{_GROUP}){{0,5}})?)"
+    r"(?![\p{L}\d:])",
     r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     r"(?<![\p{L}\d])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}(?:[ \-]?\d{1,3})?|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d)",
     r"(?<![\p{L}\d])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){1,4}(?!\d)",
@@ -55,7 +106,7 @@ PATTERNS = (
     r"(?<![\p{L}\d])(?:ghp_|gho_|sk-|xox[abp]-)[A-Za-z\d_\-]{16,}",
     rf"(?<![\p{{L}}]){_LABEL}[^\s\"'=:|&#%$*]{{6,}}",
     r"(?<![\p{L}\d])[0-9a-f]{32,}(?![\p{L}\d])",
-    rf"(?<![\p{{L}}\d])(?:{_TITLE})\.? {_WORD}(?: {_WORD})?",
+    rf"(?<![\p{{L}}\d])(?=[{_FIRST_LETTERS}]){_NAME}",
 )
 ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS)
 # Text without any of these holds no entity; much cheaper than the patterns.
@@ -81,29 +132,39 @@ def kind_of(value: Column) -> Column:
         .when(value.rlike(f"^{_LABEL}"), "secret")
         .when(value.rlike(r"^[^@\s]+@[A-Za-z0-9.\-]+$"), "email")
         .when(value.rlike(r"^\d+(?:\.\d+){3}$"), "ipv4")
+        .when(value.contains(":") & value.rlike("^[0-9A-Fa-f:]+$"), "ipv6")
         .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(value.rlike(r"^[\d \-]+$") & (digits >= 13), "card")
         .when(value.rlike(r"^[+(\d][\d ().\-]+$") & (digits <= 19) & (digits >= 7), "phone")
-        .when(value.rlike(rf"^(?:{'|'.join(FEMALE_TITLES)})\.? \p{{Lu}}"), "name_f")
-        .when(value.rlike(rf"^(?:{'|'.join(MALE_TITLES)})\.? \p{{Lu}}"), "name_m")
-        .when(value.rlike(rf"^(?:{'|'.join(OTHER_TITLES)})\.? \p{{Lu}}"), "name")
+        .when(titled(value, FEMALE_TITLES), "name_f")
+        .when(titled(value, MALE_TITLES), "name_m")
+        .when(titled(value, OTHER_TITLES), "name")
         .when(value.rlike(r"^[A-Z]{2}\d{2}(?: ?[A-Z\d]{4}){3,7}(?: ?[A-Z\d]{1,3})?$"), "iban")
         .otherwise("secret")
     )
 
 
+def titled(value: Column, titles: tuple[str, ...]) -> Column:
+    """Whether one of the titles stands among those before the name, in any case."""
+    return value.rlike(rf"^(?:{_TITLE})*(?iu:{'|'.join(titles)})\.? ")
+
+
 def canonical_of(kind: Column, value: Column) -> Column:
     """What the spellings of one entity have in common."""
     return (
-        F.when(kind == "email", F.lower(value))
+        F.when(kind.isin("email", "ipv6"), F.lower(value))
         .when(kind.isin("card", "ssn"), F.regexp_replace(value, r"\D", ""))
         .when(kind == "phone", F.regexp_replace(value, r"[^+\d]", ""))
         .when(kind == "iban", F.regexp_replace(value, " ", ""))
-        .when(kind.startswith("name"), F.regexp_replace(value, r"^\p{L}+\.? ", ""))
+        .when(kind.startswith("name"), F.translate(F.lower(without_titles(value)), "’‐‑", "'--"))
         .otherwise(F.regexp_replace(value, f"^{_LABEL}", ""))
     )
 
 
+def without_titles(name: Column) -> Column:
+    return F.regexp_replace(name, f"^(?:{_TITLE})+", "")
+
+
 # --- derivation
 
 
@@ -122,29 +183,30 @@ def pick(alphabet: str, at: Column) -> Column:
     return F.substring(F.lit(alphabet), at % len(alphabet) + 1, F.lit(1))
 
 
-def same_shape(value: Column, hexes: Column, keep: int = 0) -> Column:
-    """Digits become digits, letters letters of the same case; the first `keep` stay."""
+def same_shape(value: Column, hexes: Column, keep: Column) -> Column:
+    """Digits become digits, letters letters of their script and case; the first `keep` stay."""
 
     def swapped(char: Column, i: Column) -> Column:
-        at = number(hexes, i)
-        return (
-            F.when(i < keep, char)
-            .when(char.rlike("[0-9]"), pick("0123456789", at))
-            .when(char.rlike(r"\p{IsCyrillic}") & (F.lower(char) == char), pick("абвгдежзиклмно", at))
-            .when(char.rlike(r"\p{IsCyrillic}"), pick("АБВГДЕЖЗИКЛМНО", at))
-            .when(char.rlike(r"\p{Lu}"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", at))
-            .when(char.rlike(r"\p{L}"), pick("abcdefghijklmnopqrstuvwxyz", at))
-            .otherwise(char)
-        )
+        table = F.when(i < keep, "").when(char.rlike("[0-9]"), "0123456789")
+        for script, letters in LETTERS:
+            table = table.when(char.rlike(script), letters)
+        return F.transform(F.array(table), lambda t: one_of(t, char, i))[0]
+
+    def one_of(table: Column, char: Column, i: Column) -> Column:
+        new = F.substring(table, number(hexes, i) % F.length(table) + 1, F.lit(1))
+        cased = F.when(F.lower(char) == char, new).otherwise(F.upper(new))
+        return F.when(F.coalesce(table, F.lit("")) == "", char).otherwise(cased)
 
     return F.array_join(F.transform(F.split(value, ""), swapped), "")
 
 
 def hex_shape(value: Column, hexes: Column) -> Column:
-    """For values of hex digits only."""
-    return F.array_join(
-        F.transform(F.split(value, ""), lambda _, i: pick("0123456789abcdef", number(hexes, i))), ""
-    )
+    """For values of hex digits; colons stay."""
+
+    def swapped(char: Column, i: Column) -> Column:
+        return F.when(char == ":", char).otherwise(pick("0123456789abcdef", number(hexes, i)))
+
+    return F.array_join(F.transform(F.split(value, ""), swapped), "")
 
 
 def with_luhn(digits: Column) -> Column:
@@ -167,37 +229,60 @@ def octets(hexes: Column) -> Column:
     return F.concat_ws(".", *parts)
 
 
-def name_stem(key: str, role: Column, word: Column, attempt: int) -> Column:
+def name_stem(key: str, word: Column, attempt: int) -> Column:
     """Syllables in the script of the word."""
-    hexes = noise(key, role, word, F.lit(str(attempt)))
+    hexes = noise(key, F.lit("name"), word, F.lit(str(attempt)))
     size = SYLLABLES + max(0, attempt - SAME_FORMAT_ATTEMPTS + 1)
 
     def syllables(table: tuple) -> Column:
         choices = F.array(*map(F.lit, table))
         return F.concat(*(choices[number(hexes, F.lit(i)) % len(table)] for i in range(size)))
 
-    cyrillic = word.rlike(r"\p{IsCyrillic}")
-    return F.initcap(F.when(cyrillic, syllables(CYRILLIC)).otherwise(syllables(LATIN)))
+    return by_script(word, [syllables(table) for _, table, *_ in SCRIPTS])
+
+
+def by_script(word: Column, values: list[Column]) -> Column:
+    """The value that stands where the script of the word stands in `SCRIPTS`, else the last."""
+    found = F.when(F.lit(False), values[-1])
+    for (script, *_), value in zip(SCRIPTS[:-1], values):
+        found = found.when(word.rlike(rf"\p{{{script}}}"), value)
+    return found.otherwise(values[-1])
+
+
+def initial(key: str, letter: Column) -> Column:
+    """Another letter for an initial: the alphabet turned by a number that the key gives."""
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω"):
+        digest = hashlib.sha256(f"{key}\x1finitial".encode()).digest()
+        turn = 1 + int.from_bytes(digest[:8], "big") % (len(alphabet) - 1)
+        letter = F.translate(letter, alphabet, alphabet[turn:] + alphabet[:turn])
+    return letter
 
 
 def surrogate(key: str, kind: Column, canonical: Column, attempt: int) -> Column:
     """The canonical surrogate of all but names."""
     tried = F.lit(str(attempt))
     hexes = noise(key, kind, canonical, tried)
-    local = F.substring_index(canonical, "@", 1)
-    made = (
-        F.when(kind == "email", F.concat(same_shape(local, hexes), F.lit("@example.net")))
-        .when(kind == "ipv4", octets(hexes))
-        .when(kind == "card", with_luhn(same_shape(canonical, hexes)))
-        .when((kind == "phone") & canonical.startswith("+"), same_shape(canonical, hexes, keep=2))
-        .when(kind == "phone", same_shape(canonical, hexes))
-        .when(kind == "ssn", F.concat(F.lit("9"), F.substring(same_shape(canonical, hexes), 2, 8)))
-        .when(kind == "iban", same_shape(canonical, hexes, keep=2))
-        .when(kind == "key_block", F.concat(F.lit("[private key "), F.substring(hexes, 1, 16), F.lit("]")))
-        .when(canonical.rlike("^(?:AKIA|ASIA|ghp_|gho_|xox.-)"), same_shape(canonical, hexes, keep=4))
-        .when(canonical.rlike("^[0-9a-f]+$"), hex_shape(canonical, hexes))
-        .otherwise(same_shape(canonical, hexes))
+    text = F.when(kind == "email", F.substring_index(canonical, "@", 1)).otherwise(canonical)
+    prefixed = (kind == "secret") & canonical.rlike("^(?:AKIA|ASIA|ghp_|gho_|xox.-)")
+    keep = (
+        F.when((kind == "iban") | (kind == "phone") & canonical.startswith("+"), 2)
+        .when(prefixed, 4)
+        .otherwise(0)
     )
+
+    def finished(shaped: Column) -> Column:
+        return (
+            F.when(kind == "email", F.concat(shaped, F.lit("@example.net")))
+            .when(kind == "ipv4", octets(hexes))
+            .when(kind == "card", with_luhn(shaped))
+            .when(kind == "ssn", F.concat(F.lit("9"), F.substring(shaped, 2, 8)))
+            .when(kind == "key_block", F.concat(F.lit("[private key "), F.substring(hexes, 1, 16), F.lit("]")))
+            .when((kind == "ipv6") | (kind == "secret") & canonical.rlike("^[0-9a-f]+$"), hex_shape(canonical, hexes))
+            .otherwise(shaped)
+        )
+
+    # A lambda's argument stands in the plan once, however often it is used.
+    made = F.transform(F.array(same_shape(text, hexes, keep)), finished)[0]
     if attempt < SAME_FORMAT_ATTEMPTS:
         return made
     more = F.conv(F.substring(hexes, 1, 12), 16, 10)
@@ -223,10 +308,13 @@ def in_format_of(value: Column, kind: Column, made: Column) -> Column:
             F.struct(F.concat(state["text"], c["char"]).alias("text"), state["used"].alias("used"))
         ),
     )
+    spelled_name = without_titles(value)
+    large = (F.upper(spelled_name) == spelled_name) & spelled_name.rlike(r"\p{Lu}{2}")
+    name = F.when(large, F.upper(made)).otherwise(made)
     longer = F.concat(spelled["text"], F.substring(digits, spelled["used"] + 1, F.length(digits)))
     return (
         F.when(kind.isin("phone", "card", "ssn"), longer)
-        .when(kind.startswith("name"), F.concat(F.regexp_extract(value, r"^\p{L}+\.? ", 0), made))
+        .when(kind.startswith("name"), F.concat(F.regexp_extract(value, f"^(?:{_TITLE})+", 0), name))
         .otherwise(F.concat(F.regexp_extract(value, f"^(?:{_LABEL})?", 0), made))
     )
 
@@ -234,21 +322,35 @@ def in_format_of(value: Column, kind: Column, made: Column) -> Column:
 # --- tables
 
 
-def entities(docs: DataFrame) -> DataFrame:
-    """`__key, at, kind, value, canonical`: every entity of every document, in order."""
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's setting. Where it is unset, a random one is set for the session:
+    then surrogates agree within the session only."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
+def entities(docs: DataFrame, row: str) -> DataFrame:
+    """`row, at, kind, value, canonical`: every entity of every document, in order."""
     return (
-        docs.select("__key", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), 0)).alias("at", "value"))
+        docs.select(
+            F.col(row).alias("row"),
+            F.posexplode(F.regexp_extract_all("text", F.lit(ANY), 0)).alias("at", "value"),
+        )
         .withColumn("kind", kind_of(F.col("value")))
         .withColumn("canonical", canonical_of(F.col("kind"), F.col("value")))
     )
 
 
-def assign(found: DataFrame, key: str = KEY) -> DataFrame:
+def assign(found: DataFrame, key: str | None = None) -> DataFrame:
     """`kind, canonical, surrogate` for each different entity of `found(kind, canonical)`.
 
     No two of one kind share a surrogate, and no surrogate is an original of its kind; for this,
-    names are of one kind, whatever the title.
+    words of names are of one kind, whatever the title. Without `key` see `session_key`.
     """
+    key = key or session_key(found.sparkSession)
     originals = stored(found.select("kind", "canonical").distinct(), "entities")
     is_name = F.col("kind").startswith("name")
     others = originals.where(~is_name)
@@ -285,94 +387,93 @@ def collision_rounds(
 
 
 def assign_names(names: DataFrame, key: str) -> DataFrame:
-    """`kind, canonical, surrogate` of names: a family name alone and with a given name, and a
-    given name under any title, keep their surrogate. Gender only chooses the ending."""
-    canonical, kind = F.col("canonical"), F.col("kind")
-    family = F.substring_index(canonical, " ", -1)
-    given = F.when(canonical.contains(" "), F.substring_index(canonical, " ", 1))
-    parts = names.withColumns({"family": family, "given": given})
-    words = stored(
-        parts.select(F.lit("family").alias("kind"), F.col("family").alias("canonical"))
-        .union(parts.where("given IS NOT NULL").select(F.lit("given").alias("kind"), "given"))
-        .distinct(),
-        "name-words",
-    )
-    # A stem that would give an original with some ending is taken, whatever the role.
+    """`kind, canonical, surrogate` of names. A word keeps its surrogate alone, with others, in a
+    compound and under any title; gender only chooses the ending. Initials become other
+    initials, small words between names stay."""
+    parts = F.regexp_extract_all(F.lower("canonical"), F.lit("[^ -]+|[ -]"), 0)
+    exploded = stored(
+        names.select("kind", "canonical", F.posexplode(parts).alias("at", "part"))
+        .withColumn("at", F.col("at").cast("int")),
+        "name-parts",
+    )
+    part, given_until = F.col("part"), F.col("last_gap")
+    # A word has two letters at least, as `_WORD` has.
+    is_word = part.rlike(r"\p{L}['\p{L}\p{M}]") & ~part.isin(*PARTICLES) & ~part.endswith(".")
+    words = exploded.where(is_word).select(F.lit("word").alias("kind"), part.alias("canonical"))
+    words = stored(words.distinct(), "name-words")
+    # A stem that would give an original with some ending is taken.
     stems = F.array(*(F.regexp_extract("canonical", f"^(.+){e}$", 1) for e in ENDINGS))
-    taken = (
-        words.select(F.explode(stems).alias("surrogate"))
-        .where("surrogate <> ''")
-        .select(F.explode(F.array(F.lit("family"), F.lit("given"))).alias("kind"), "surrogate")
-        .distinct()
+    taken = words.select("kind", F.explode(stems).alias("surrogate")).where("surrogate <> ''")
+    found = collision_rounds(
+        words, taken.distinct(), lambda n: name_stem(key, F.col("canonical"), n)
     )
-    found = collision_rounds(words, taken, lambda n: name_stem(key, kind, canonical, n))
-
-    def stem(role: str) -> DataFrame:
-        part = found.where(kind == role)
-        return part.select(canonical.alias(role), F.col("surrogate").alias(f"{role}_stem"))
-
-    female = kind == "name_f"
-    family_ending = (
-        F.when(F.col("family").rlike(r"\p{IsCyrillic}"), F.when(female, "нова").otherwise("нов"))
-        .otherwise("n")
-    )
-    given_ending = (
-        F.when(F.col("given").rlike(r"\p{IsCyrillic}"), F.when(female, "на").otherwise("н"))
-        .otherwise(F.when(female, "na").otherwise("n"))
-    )
+    # Words behind the last space are of the family.
+    gaps = exploded.groupBy("kind", "canonical").agg(
+        F.coalesce(F.max(F.when(part == " ", F.col("at"))), F.lit(-1)).alias("last_gap")
+    )
+    stem_of = found.select(F.col("canonical").alias("part"), F.col("surrogate").alias("stem"))
+    female = F.col("kind") == "name_f"
+    given, family = (
+        by_script(part, [F.when(female, endings[1]).otherwise(endings[0]) for endings in table])
+        for table in zip(*((g, f) for *_, g, f in SCRIPTS))
+    )
+    ending = F.when(F.col("at") > given_until, family).otherwise(given)
+    other = F.when(part.endswith("."), F.upper(initial(key, part))).otherwise(part)
+    made = F.coalesce(F.initcap(F.concat("stem", ending)), other)
     return (
-        parts.join(stem("family"), "family")
-        .join(stem("given"), "given", "left")
-        .select(
-            "kind", "canonical",
-            F.concat_ws(
-                " ", F.concat("given_stem", given_ending), F.concat("family_stem", family_ending)
-            ).alias("surrogate"),
-        )
-    )
+        exploded.join(stem_of, "part", "left")
+        .join(gaps, ["kind", "canonical"])
+        .groupBy("kind", "canonical")
+        .agg(F.sort_array(F.collect_list(F.struct("at", made.alias("made")))).alias("parts"))
+        .select("kind", "canonical", F.array_join("parts.made", "").alias("surrogate"))
+    )
 
 
-def redact(docs: DataFrame, key: str = KEY) -> DataFrame:
+def redact(docs: DataFrame, key: str | None = None) -> DataFrame:
     """The rows of `docs` with surrogates in `text`, and `n_entities` (long) added, as by
     `with_surrogates`. A column of that name is replaced."""
     return with_surrogates(docs.drop("n_entities"), key, "n_entities")
 
 
-def with_surrogates(docs: DataFrame, key: str = KEY, count: str | None = None) -> DataFrame:
+def with_surrogates(
+    docs: DataFrame, key: str | None = None, count: str | None = None
+) -> DataFrame:
     """The rows of `docs` with surrogates in `text`; their number in a new column `count`.
 
     Documents without entities pass through without a shuffle. Null and empty texts stay as
-    they are, with 0 entities. Rows that repeat a doc_id are treated each by its own text; a
-    null doc_id is no obstacle. Other columns stay; an empty table gives no rows.
+    they are, with 0 entities; long texts are searched whole. Rows that repeat a doc_id are
+    treated each by its own text; a null doc_id is no obstacle. Other columns stay, whatever
+    their names; an empty table gives no rows. Without `key` see `session_key`.
     """
-    rows = docs
+    row, woven_in = free_names(docs, "row", "made")
     hit = F.coalesce(may_hold(F.col("text")) & F.col("text").rlike(ANY), F.lit(False))
     counted = {count: F.lit(0).cast("long")} if count else {}
-    clean = rows.where(~hit).withColumns(counted)
-    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    private = stored(
-        rows.where(hit).withColumn("__key", F.md5(F.concat_ws(":", id_text, "text"))), "private"
-    )
-    found = stored(entities(private.select("__key", "text")).distinct(), "occurrences")
+    clean = docs.where(~hit).withColumns(counted)
+    private = stored(docs.where(hit).withColumn(row, row_key()), "private")
+    found = stored(entities(private.select(row, "text"), row).distinct(), "occurrences")
     replaced = (
         found.join(assign(found, key), ["kind", "canonical"])
         .withColumn("made", in_format_of(F.col("value"), F.col("kind"), F.col("surrogate")))
-        .groupBy("__key")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "made"))).alias("__made"))
+        .groupBy("row")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "made"))).alias("made"))
+        .select(F.col("row").alias(row), F.col("made").alias(woven_in))
     )
     between = F.split("text", ANY, -1)
     woven = F.zip_with(
-        between, F.col("__made.made"), lambda gap, made: F.concat(gap, F.coalesce(made, F.lit("")))
+        between,
+        F.col(woven_in)["made"],
+        lambda gap, made: F.concat(gap, F.coalesce(made, F.lit(""))),
     )
     changed = (
-        private.join(replaced, "__key")
+        private.join(replaced, row)
         .withColumn("text", F.array_join(woven, ""))
-        .withColumns({name: F.size("__made").cast("long") for name in counted})
+        .withColumns({name: F.size(woven_in).cast("long") for name in counted})
     )
     return clean.unionByName(changed.select(*clean.columns))
 
 
 def digest(docs: DataFrame) -> DataFrame:
+    """`doc_id, n_entities, redacted_text` for every row; a null text counts as empty."""
     return redact(docs.select("doc_id", "text")).select(
         "doc_id", "n_entities", F.coalesce("text", F.lit("")).alias("redacted_text")
     )

@@ -324,6 +324,86 @@ def test_surrogates(spark):
     assert again == text and other[8] != text[8]
 
 
+NAMES = [
+    "Herr O'Neill", "Dr. Anna-Maria Kern", "Mr JOHN SMITH", "κυρία Παππά", "Κύριος Νίκος Παππάς",
+    "Señora Isabel García Márquez", "señor Luis de la Torre", "Prof. Dr. Uwe Zöllner",
+    "MRS ADA LOVELACE", "Mr. J. R. Ewing", "Dr. von Braunschweig", "Mme D’Arcy", "Miss McAllister",
+    "госпожа Анна Каренина", "Herr Müller-Lüdenscheidt", "Ms Nguyen Thi Minh Khai",
+]
+FRAMES = ["{}", "Yesterday {} came.", "({}), then", "It was {}'s house", "{}\nDear all", "9 {}, 10"]
+
+
+def test_no_part_of_a_name_is_left(spark):
+    """Apostrophes, hyphens, capitals, several surnames, particles, initials, three scripts."""
+    texts = [frame.format(name) for name in NAMES for frame in FRAMES]
+    rows = {r.doc_id: r for r in pii.redact(table(spark, texts), "key").collect()}
+    titles = {t.lower() for t in pii.TITLES} | set(pii.PARTICLES)
+    for i, text in enumerate(texts):
+        name, frame = NAMES[i // len(FRAMES)], FRAMES[i % len(FRAMES)]
+        head, tail = frame.split("{}")
+        got = rows[i].text
+        assert rows[i].n_entities == 1 and got.startswith(head) and got.endswith(tail), got
+        inner = got[len(head) : len(got) - len(tail)]
+        words = [w for w in re.split(r"[ .'’-]+", name) if w and w.lower() not in titles]
+        assert not [w for w in words if w.lower() in inner.lower().split() or len(w) > 2 and w in got]
+        # Title, number of words, hyphens, case and script are kept.
+        assert inner.split()[0] == name.split()[0] and inner.count(" ") == name.count(" ")
+        assert inner.count("-") == name.count("-")
+        assert (inner.upper() == inner) == (name.upper() == name)
+        script = re.compile("[α-ωά-ώ]" if "κ" in name.lower()[:1] else "[а-я]" if name[0] == "г" else "[a-z]")
+        assert script.search(inner.split()[-1].lower())
+    # One entity, one surrogate, in every frame and case.
+    for n in range(len(NAMES)):
+        made = rows[n * len(FRAMES)].text
+        assert all(made in rows[n * len(FRAMES) + f].text for f in range(len(FRAMES)))
+
+
+def test_words_of_names_corefer(spark):
+    texts = ["Mr John Smith", "MR SMITH", "Dr. Smith-Kern", "Frau Kern", "Mr. J. Kern; Mr. K. Kern",
+             "I miss Paris, my sir", "the mr word", "Dr Kern Mr Smith"]
+    got = {r.doc_id: r.text for r in pii.redact(table(spark, texts), "key").collect()}
+    smith, kern = got[0].split()[2], got[3].split()[1]
+    assert got[1] == f"MR {smith.upper()}" and got[2] == f"Dr. {smith}-{kern}"
+    one, other = re.fullmatch(rf"Mr\. ([A-Z])\. {kern}; Mr\. ([A-Z])\. {kern}", got[4]).groups()
+    assert one != other and "J" != one and "K" != other
+    assert [got[5], got[6]] == texts[5:7] and got[7] == f"Dr {kern} Mr {smith}"
+
+
+def test_addresses_of_other_scripts_and_versions(spark):
+    texts = ["to νίκος@mail.gr", "2001:0db8:85a3:0000:0000:8a2e:0370:7334 or fe80::1ff:fe23:4567",
+             "at 12:30:45, x[1::2], std::string, ab::cd, 10:20:30:40", "וידאו@mail.il"]
+    got = {r.doc_id: r.text for r in pii.redact(table(spark, texts), "key").collect()}
+    assert re.fullmatch("to [α-ω]{5}@example.net", got[0]) and "νίκος" not in got[0]
+    long, short = got[1].split(" or ")
+    assert re.fullmatch("(?:[0-9a-f]{4}:){7}[0-9a-f]{4}", long) and long not in texts[1]
+    assert re.fullmatch("[0-9a-f]{4}::[0-9a-f]{3}:[0-9a-f]{4}:[0-9a-f]{4}", short)
+    assert got[2] == texts[2]
+    assert re.fullmatch("[א-ת]{5}@example.net", got[3])
+
+
+def test_key_of_the_session_and_clashing_columns(spark):
+    """No key in the source: the setting's, else one for the session."""
+    docs = table(spark, ["a@b.cc"]).withColumns({n: F.lit(1) for n in ("row", "made", "__key", "at")})
+
+    def made():
+        rows = pii.redact(docs).collect()
+        assert all((r.row, r.made, r["__key"], r.at) == (1, 1, 1, 1) for r in rows)
+        return {r.text for r in rows}
+
+    before = spark.conf.get(pii.KEY_SETTING, None)
+    try:
+        spark.conf.unset(pii.KEY_SETTING)
+        first = made()
+        assert made() == first
+        spark.conf.set(pii.KEY_SETTING, "mine")
+        mine = made()
+        assert mine != first and mine == {r.text for r in pii.redact(docs, "mine").collect()}
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+        if before:
+            spark.conf.set(pii.KEY_SETTING, before)
+
+
 def test_repeated_rows_and_no_rows(spark):
     rows = [(1, "a@b.cc and c@d.ee", "s")] * 2 + [(1, "ip 8.7.6.5", "s"), (None, "a@b.cc", "s")]
     docs = spark.createDataFrame(rows, SCHEMA).withColumn("value", F.lit(1))
