@@ -17,7 +17,8 @@ from meterlake.streaming import jobs
 
 DIGITS, TIE_BREAK = fixture.DIGITS, fixture.TIE_BREAK
 LAKE_ORDER = ("meter_id",)
-MESSAGE_FILES = 8
+# At least so many files of messages; one task reads a file, so more messages make more files.
+MESSAGE_FILES, MESSAGES_PER_FILE = 8, 250_000
 SENT_FROM, SENT_EVERY = "2024-02-01 00:00:00", 2
 PREDICTION_DIGITS = 3
 # Counters are multiples of 0.00005 kWh.
@@ -113,16 +114,25 @@ def nested(readings: DataFrame, metrics: list[str]) -> DataFrame:
 
 @per_session
 def messages_path(spark: SparkSession, sf_dir: str) -> str:
-    """All readings with their counter as messages, in files that stand in for a topic."""
+    """All readings with their counter as messages, in compressed files that stand in for a topic.
+
+    The readings are dealt out to the files before they become texts, which are longer.
+    """
     path = scratch_path(spark, "messages")
-    sent = shape.to_messages(nested(fixture.raw_with_energy(spark, sf_dir), schemas.METRICS))
-    sent.repartition(MESSAGE_FILES).write.text(path)
+    number = -(-fixture.read_events(spark, sf_dir).count() // MESSAGES_PER_FILE)
+    dealt = fixture.raw_with_energy(spark, sf_dir).repartition(
+        max(number, MESSAGE_FILES), "meter_id", "event_time"
+    )
+    sent = shape.to_messages(nested(dealt, schemas.METRICS))
+    sent.write.text(path, compression="gzip")
     return path
 
 
 def message_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
-    reader = spark.readStream.option("maxFilesPerTrigger", -(-MESSAGE_FILES // batches))
-    return reader.text(messages_path(spark, sf_dir))
+    path = messages_path(spark, sf_dir)
+    number = len(spark.read.text(path).inputFiles())
+    reader = spark.readStream.option("maxFilesPerTrigger", max(-(-number // batches), 1))
+    return reader.text(path)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
