@@ -8,6 +8,8 @@ from meterlake.functions import measures, metering
 
 # Every meter is summed in steps of this length; a step of one meter fits into a task.
 STEP = "hour"
+# The step of rows without a time, before all others.
+NO_TIME = -(2**63)
 # Rounds of a replay that one row makes at a time.
 ROUNDS = 4096
 
@@ -28,8 +30,11 @@ def running_total(
     a window over them gives what is carried into a step, and a window inside the step adds
     its rows.
     """
+    # A number, never NULL: where rows and sums meet by plain equality, the join leaves the rows
+    # where the window inside the step needs them, and they are shuffled once.
+    step_start = F.unix_micros(F.date_trunc(step, "event_time"))
     rows = df.where(F.col("meter_id").isNotNull()).withColumn(
-        "_step", F.date_trunc(step, "event_time")
+        "_step", F.coalesce(step_start, F.lit(NO_TIME))
     )
     earlier = (
         Window.partitionBy("meter_id")
@@ -55,7 +60,7 @@ def running_total(
         rows.join(
             carried,
             (F.col("meter_id") == F.col("_carry_meter"))
-            & F.col("_step").eqNullSafe(F.col("_carry_step")),
+            & (F.col("_step") == F.col("_carry_step")),
         )
         .withColumn(
             name, F.coalesce(F.sum(value).over(so_far), zero) + F.coalesce("_carried", zero)

@@ -26,6 +26,15 @@ def history(seed, n=400):
     return rows
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as of tables that are too large to be sent whole."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, -1)
+    yield
+    spark.conf.unset(name)
+
+
 def by_meter(rows):
     groups = {}
     for row in sorted(rows, key=lambda r: (r[1] is not None, r[1] or START, r[2])):
@@ -54,6 +63,27 @@ def test_running_energy(spark, seed, step):
     assert {r.event_id: r.energy_kwh for r in got.collect()} == want
 
 
+def test_running_total_shuffles_rows_once(spark, no_broadcast):
+    """One shuffle of the rows and three of the sums per step, which meet the rows last."""
+    frame = spark.createDataFrame(history(4), ROWS)
+    total = running.running_total(frame, F.col("event_id"), "total", ("event_id",))
+    plan = total._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 4
+    want, groups = {}, by_meter(history(4))
+    for group in groups.values():
+        for i, row in enumerate(group):
+            want[row[2]] = sum(earlier[2] for earlier in group[: i + 1])
+    assert {r.event_id: r.total for r in total.collect()} == want
+
+
+@pytest.mark.parametrize("step", ["hour", "century"])
+def test_rows_without_time_come_before_the_oldest(spark, no_broadcast, step):
+    times = [dt.datetime(1969, 12, 31, 23, 59), None, dt.datetime(1970, 1, 1), dt.datetime(1, 1, 2), None]
+    rows = [("a", time, i, 1.0) for i, time in enumerate(times)]
+    got = running.row_positions(spark.createDataFrame(rows, ROWS), ("event_id",), step)
+    assert [r.event_id for r in got.orderBy("position").collect()] == [1, 4, 3, 0, 2]
+
+
 @pytest.mark.parametrize("step", ["minute", "hour"])
 def test_row_positions(spark, step):
     rows = history(3)
