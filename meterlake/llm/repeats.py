@@ -9,8 +9,8 @@ of `LENGTH` bytes are kept, in buckets that hold every suffix they can share a p
    documents emits the anchors that pass, with a hash of what stands around them, their
    context; where one anchor string has several contexts, also with its bytes.
 3. All anchors with one string meet (hot ones by the string and what stands on one side). Places with an equal context are one leaf. For anchor
-   strings with several contexts the windows are put in order of content, which makes an
-   enhanced suffix array: buckets of suffixes that agree in their first `LENGTH` bytes, sorted
+   strings with several contexts the windows are put in order of content, which makes
+   enhanced suffix arrays, each of whole buckets: buckets of suffixes that agree in their first `LENGTH` bytes, sorted
    by what follows, with the lengths of their common prefixes. A bucket whose members are all
    preceded by the same byte is only the tail of another one and is passed over; the others
    are scanned with a stack. Every interval is a group of places with a common string; all
@@ -23,14 +23,16 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, functions as F
 
-from meterlake.llm.common import stored, text_of
+from meterlake.llm.common import text_of
 
 LENGTH = 100
 GRAM = 24
@@ -48,11 +50,15 @@ SHARED_RIGHT = LENGTH - SHARED_LEFT
 MAX_FILTER_BITS = 1 << 28
 BITS_PER_GRAM = 32
 BLOCK_BITS = 32768
+# Parts in which the filters come to the driver.
+FILTER_PARTS = 8
 # Texts are hashed in parts of so many bytes.
 PART_BYTES = 1 << 18
 # Contexts worked on at a time in a task; an anchor string is not divided among them.
 CONTEXTS_AT_ONCE = 4000
 ROWS_AT_ONCE = 4000
+# Equal windows sorted at a time in a task; those of one content are not divided.
+WINDOWS_AT_ONCE = 50_000
 # An anchor string with more places than this is hot: see `split_keys`.
 HOT_PLACES = 500
 
@@ -154,7 +160,7 @@ def parts_of(raw: bytes) -> Iterator[tuple[int, int, int]]:
         yield start, min(start + PART_BYTES, len(raw)), min(start, 2 * CONTEXT)
 
 
-def anchors_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+def anchors_of(texts: list[bytes | memoryview]) -> Iterator[tuple[np.ndarray, ...]]:
     """The columns of `anchor_table`, for about `PART_BYTES` at a time.
 
     Longer texts are read in parts that overlap enough for every window and context.
@@ -179,13 +185,20 @@ def anchors_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
             pending, numbers, size = [], [], 0
 
 
-def table_of(texts: list[bytes]):
+def table_of(texts: list[bytes | memoryview]):
     sizes = np.array([len(raw) for raw in texts])
     return anchor_table(np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes) - sizes)
 
 
-def encoded(column: pa.Array) -> list[bytes]:
-    return column.cast(pa.binary()).to_pylist()
+def encoded(column: pa.Array) -> list[memoryview]:
+    """The texts in UTF-8, where they stand in the column."""
+    column = column.cast(pa.binary())
+    if not len(column):
+        return []
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].tolist()
+    raw = memoryview(data or b"")
+    return [raw[a:b] for a, b in itertools.pairwise(ends)]
 
 
 # --- the two readings of the documents
@@ -212,21 +225,44 @@ def repeated_grams(rows: DataFrame) -> DataFrame:
     )
 
 
-def bloom_filter(grams: DataFrame, bits: int) -> np.ndarray:
-    """One bit per gram, `bits` in all: at most `MAX_FILTER_BITS` come to the driver."""
+def bloom_filters(grams: DataFrame, bits: int, *kinds: str) -> list[np.ndarray]:
+    """For each boolean column, one bit per gram where it is true, `bits` in all: at most
+    `MAX_FILTER_BITS` a filter come to the driver."""
     at = F.pmod("gram", F.lit(bits))
     blocks = (
-        grams.select((at / BLOCK_BITS).cast("int").alias("block"), (at % BLOCK_BITS).alias("bit"))
+        grams.select(
+            (at / BLOCK_BITS).cast("int").alias("block"),
+            *(F.when(F.col(kind), at % BLOCK_BITS).alias(kind) for kind in kinds),
+        )
+        # Grams are moved, not a bitmap of each task; all filters come with one run.
+        .repartition("block")
         .groupBy("block")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+        .agg(*(F.bitmap_construct_agg(kind).alias(kind) for kind in kinds))
+        .repartition(FILTER_PARTS)
     )
-    found = np.zeros(bits // 8, np.uint8)
+    found = [np.zeros(bits // 8, np.uint8) for _ in kinds]
     for row in blocks.toLocalIterator():
         start = row["block"] * BLOCK_BITS // 8
-        found[start : start + BLOCK_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
+        for kind, into in zip(kinds, found, strict=True):
+            into[start : start + BLOCK_BITS // 8] = np.frombuffer(row[kind], np.uint8)
     return found
 
 
+def gram_filters(rows: DataFrame, **kinds: Column) -> list[np.ndarray]:
+    """For each condition on `repeated_grams`, a filter that holds the strings that meet it.
+
+    The strings stay on the executors' disks, and only until the filters are made.
+    """
+    columns = [condition.alias(kind) for kind, condition in kinds.items()]
+    grams = repeated_grams(rows).select("gram", *columns).persist(StorageLevel.DISK_ONLY)
+    try:
+        wanted = grams.count() * BITS_PER_GRAM
+        bits = min(MAX_FILTER_BITS, BLOCK_BITS * (1 + wanted // BLOCK_BITS))
+        return bloom_filters(grams, bits, *kinds)
+    finally:
+        grams.unpersist()
+
+
 def passes(found: np.ndarray, grams: np.ndarray) -> np.ndarray:
     at = grams.view(np.int64) % (8 * len(found))
     return (found[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
@@ -237,6 +273,10 @@ PLACE_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.in
 PLACE_NAMES = [part.split()[0] for part in PLACE.split(", ")]
 
 
+# Of the columns of `anchor_table`, all anchors of a batch at a time.
+KINDS = [np.int32, np.int32, np.uint64, np.uint64, np.int32, np.int32]
+
+
 def split_keys(grams, contents, at, left, right):
     """Two keys in place of a hot anchor string, by the bytes to its right and to its left.
 
@@ -274,14 +314,19 @@ def repeated_places(rows: DataFrame, *grams: np.ndarray, combine: bool = True) -
             parts = []
             for found in anchors_of(texts):
                 kept = passes(repeated, found[2])
-                parts.append([column[kept] for column in found])
+                parts.append(
+                    [column[kept].astype(kind) for column, kind in zip(found, KINDS, strict=True)]
+                )
             if not parts:
                 continue
-            text, at, grams, contexts, left, right = map(np.concatenate, zip(*parts, strict=True))
+            columns = [np.concatenate(column) for column in zip(*parts, strict=True)]
+            del parts
+            text, at, grams, contexts, _, _ = columns
             order = np.lexsort([at, doc_ids[text], contexts, grams])
-            text, at, grams, contexts, left, right = (
-                column[order] for column in (text, at, grams, contexts, left, right)
-            )
+            for n, column in enumerate(columns):
+                columns[n] = column[order]
+            text, at, grams, contexts, left, right = columns
+            del columns, order
             leaf, later = leaves_and_later(grams, contexts, doc_ids[text], at)
             if combine:
                 runs = run_table(doc_ids[text[later]], (at - left)[later], (at + right)[later])
@@ -306,7 +351,7 @@ def repeated_places(rows: DataFrame, *grams: np.ndarray, combine: bool = True) -
             for a in range(0, len(at), ROWS_AT_ONCE):
                 part = slice(a, a + ROWS_AT_ONCE)
                 stretches = [
-                    texts[n][i - l : i + r] if wanted else None
+                    bytes(texts[n][i - l : i + r]) if wanted else None
                     for n, i, l, r, wanted in zip(
                         *(c[part].tolist() for c in (text, at, left, right, several)), strict=True
                     )
@@ -425,31 +470,43 @@ def windows_in(table, left, right, gram, first_row: int):
     )
 
 
-def context_repeats(leaves: dict):
-    """The suffix array of left-diverse windows among the contexts of some anchor strings:
-    leaf and start column of each suffix, common prefixes, and ranks by place."""
+def context_repeats(leaves: dict) -> Iterator[tuple[np.ndarray, np.ndarray, list[int], list[int]]]:
+    """Suffix arrays of left-diverse windows among the contexts of some anchor strings, about
+    `WINDOWS_AT_ONCE` in each: leaf and start column of each suffix, common prefixes, and ranks
+    by place. Suffixes that share a window are in one array, so no interval is divided."""
     # Wide enough for what follows the last window; nothing is zero.
     table = np.zeros((len(leaves["bytes"]), CONTEXT + TAIL), np.uint8)
     for i, (content, left) in enumerate(zip(leaves["bytes"], leaves["left"].tolist(), strict=True)):
         table[i, LEFT - left : LEFT - left + len(content)] = np.frombuffer(content, np.uint8)
-    gram = leaves["gram"].view(np.uint64)
+    row, start, bucket = shared_windows(table, leaves)
+    for part in whole_strings(bucket, WINDOWS_AT_ONCE):
+        yield suffix_array(table, leaves, row[part], start[part], bucket[part])
+
+
+def shared_windows(table: np.ndarray, leaves: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Left-diverse windows that stand at two places or more, equal ones together: row, start
+    column, and a number for the content."""
     row, start, content, before, leading = windows_of(
-        table[:, :CONTEXT], leaves["left"], leaves["right"], gram
+        table[:, :CONTEXT], leaves["left"], leaves["right"], leaves["gram"].view(np.uint64)
     )
     order = np.argsort(content, kind="stable")
     content = content[order]
     new = np.concatenate([[True], content[1:] != content[:-1]])[: len(content)]
     head = np.flatnonzero(new)
     if not len(head):
-        return order, order, [], []
+        return row, start, order
     sizes = np.diff([*head, len(order)])
     before, leading = before[order], leading[order]
     alike = np.minimum.reduceat(before, head) == np.maximum.reduceat(before, head)
     # Left-extension diversity; the start of a document differs from any other byte.
     diverse = ~alike | (before[head] == 256) | np.logical_or.reduceat(leading, head)
-    wanted = np.repeat((sizes > 1) & diverse, sizes)
-    bucket = np.repeat(np.arange(len(head)), sizes)[wanted]
-    row, start = row[order[wanted]], start[order[wanted]]
+    wanted = (sizes > 1) & diverse
+    order = order[np.repeat(wanted, sizes)]
+    return row[order], start[order], np.repeat(np.flatnonzero(wanted), sizes[wanted])
+
+
+def suffix_array(table, leaves: dict, row, start, bucket):
+    """The suffixes that begin with the given windows in order, and how they share prefixes."""
     length = (LEFT + leaves["right"][row] - LENGTH - start).astype(np.uint8)
     at = row.astype(np.int64) * table.shape[1] + start + LENGTH
     tails = np.lib.stride_tricks.sliding_window_view(table.ravel(), TAIL)[at]
@@ -503,7 +560,8 @@ def covered_in(places: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
             # A window with its smallest gram twice is there by either anchor.
             other = (doc[late] != doc[best]) | (begin[late] != begin[best])
             late, depth = late[other], depth[other]
-            yield doc[late], begin[late], begin[late] + LENGTH + depth
+            # Windows next to each other overlap; their union is all that is asked.
+            yield run_table(doc[late], begin[late], begin[late] + LENGTH + depth)
 
 
 def groups_in(places: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
@@ -550,8 +608,8 @@ def suffix_arrays(gram, doc_id, at, left, right, content, holder, rows, strings)
             "right": right[here].astype(np.int64), "at": at[here].astype(np.int64) - LEFT,
             "bytes": content.take(pa.array(holder[part])).to_pylist(),
         }
-        row, start, common, ranks = context_repeats(leaves)
-        yield leaves["doc_id"][row], leaves["at"][row] + start, intervals(common, ranks)
+        for row, start, common, ranks in context_repeats(leaves):
+            yield leaves["doc_id"][row], leaves["at"][row] + start, intervals(common, ranks)
 
 
 def whole_strings(strings: np.ndarray, size: int) -> Iterator[slice]:
@@ -595,15 +653,12 @@ def merged(begins: list[int], ends: list[int]) -> list[tuple[int, int]]:
     return runs
 
 
-def searched(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Documents that can hold a repeat, their repeated anchor strings, and filter bits."""
+def searched(docs: DataFrame) -> DataFrame:
+    """Documents that can hold a repeat."""
     rows = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")
     )
-    rows = rows.where(F.octet_length("text") >= LENGTH)
-    repeated = stored(repeated_grams(rows), "grams")
-    wanted = repeated.count() * BITS_PER_GRAM
-    return rows, repeated, min(MAX_FILTER_BITS, BLOCK_BITS * (1 + wanted // BLOCK_BITS))
+    return rows.where(F.octet_length("text") >= LENGTH)
 
 
 GROUP = "first_doc_id long, first_start int, length int, doc_id long, start int"
@@ -616,8 +671,8 @@ def repeat_groups(docs: DataFrame) -> DataFrame:
     names the group. Every place of a group's string is there. Meant for inspection: unlike
     `repeat_spans` it keeps each place, so the places of one anchor string meet in one task.
     """
-    rows, repeated, bits = searched(docs)
-    known = bloom_filter(repeated, bits)
+    rows = searched(docs)
+    [known] = gram_filters(rows, repeated=F.lit(True))
     places = repeated_places(rows, known, known, np.zeros_like(known), combine=False)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -635,10 +690,14 @@ def repeat_groups(docs: DataFrame) -> DataFrame:
 
 def repeat_spans(docs: DataFrame) -> DataFrame:
     """`doc_id, begins, ends`: overlapping stretches of bytes that also start earlier."""
-    rows, repeated, bits = searched(docs)
-    diverse = repeated.where("diverse")
-    hot = diverse.where(F.col("places") > HOT_PLACES)
-    places = repeated_places(rows, *(bloom_filter(grams, bits) for grams in (repeated, diverse, hot)))
+    rows = searched(docs)
+    filters = gram_filters(
+        rows,
+        repeated=F.lit(True),
+        diverse=F.col("diverse"),
+        hot=F.col("diverse") & (F.col("places") > HOT_PLACES),
+    )
+    places = repeated_places(rows, *filters)
     return (
         covered(places)
         .groupBy("doc_id")

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from meterlake.llm import repeats
@@ -108,6 +111,85 @@ def test_groups_hold_every_place(spark):
     assert {i: int(c.sum()) for i, c in covered.items()} == {i: v[1] for i, v in expected.items()}
 
 
+def test_contexts_of_a_common_passage_are_sorted_in_slices():
+    """One anchor string with 3,000 contexts, each with a place of its own that differs: nearly
+    all of its windows repeat."""
+    draw = np.random.default_rng(11)
+    passage = words(draw, 80).encode()[: repeats.CONTEXT + 20]
+    texts = []
+    for i in range(3000):
+        at = int(draw.integers(len(passage)))
+        texts.append(b"%d" % i + passage[:at] + b"#" + passage[at + 1 :])
+    text, at, gram, context, left, right = map(
+        np.concatenate, zip(*repeats.anchors_of(texts), strict=True)
+    )
+    string = np.bincount(np.unique(gram, return_inverse=True)[1]).argmax()
+    one = gram == np.unique(gram)[string]
+    text, at, gram, context, left, right = (
+        column[one] for column in (text, at, gram, context, left, right)
+    )
+    stretches = [texts[n][i - l : i + r] for n, i, l, r in zip(text, at, left, right, strict=True)]
+    places = pa.Table.from_batches(
+        [repeats.place_batch(gram, context, text, at, left, right, stretches)]
+    )
+    tracemalloc.start()
+    found = [columns for columns in repeats.covered_in(places) if len(columns[0])]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Touching stretches come as one row.
+    assert 2000 < sum(len(columns[0]) for columns in found) < 2 * len(at)
+    assert peak < 60e6
+
+
+@pytest.mark.parametrize("windows", [1, 7, 100])
+def test_slices_change_nothing(spark, monkeypatch, windows):
+    monkeypatch.setattr(repeats, "WINDOWS_AT_ONCE", windows)
+    draw = np.random.default_rng(12)
+    passages = [words(draw, n) for n in (25, 40, 90)]
+    texts = {}
+    for i in range(60):
+        text = words(draw, 3) + passages[i % 3] + words(draw, int(draw.integers(0, 9))) + passages[i % 2]
+        at = int(draw.integers(len(text)))
+        texts[i] = text[:at] + "#" + text[at + 1 :]
+    assert found(spark, texts) == plain(texts)
+
+
+def test_no_files_and_few_jobs(spark):
+    """The repeated strings are written nowhere, kept nowhere, and read by few jobs however many
+    partitions there are."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before, spark_context = set(shared.rglob("*")), spark.sparkContext
+    draw = np.random.default_rng(13)
+    passage = words(draw, 40)
+    rows = [(i, words(draw, 5) + passage, "s") for i in range(40)]
+    adaptive, kept = spark.conf.get("spark.sql.adaptive.enabled"), len(spark_context._jsc.getPersistentRDDs())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark_context.setJobGroup("filters", "")
+    try:
+        result = repeats.repeat_spans(spark.createDataFrame(rows, SCHEMA))
+        jobs = len(spark_context.statusTracker().getJobIdsForGroup("filters"))
+        assert result.count() == 39
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark_context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= repeats.FILTER_PARTS + 3
+    assert set(shared.rglob("*")) == before
+    assert len(spark_context._jsc.getPersistentRDDs()) == kept
+
+
+def test_texts_are_not_copied_out_of_a_batch():
+    texts = ["é" * 40, "", "x", "a" * 5_000_000]
+    tracemalloc.start()
+    column = pa.array(texts, pa.string())
+    got = repeats.encoded(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1e6 and [bytes(raw) for raw in got] == [text.encode() for text in texts]
+    for kind in (pa.string(), pa.large_string()):
+        for part in (pa.array(texts, kind)[1:3], pa.array([""], kind), pa.array([], kind)):
+            assert [bytes(raw) for raw in repeats.encoded(part)] == [t.encode() for t in part.to_pylist()]
+
+
 def test_empty_table(spark):
     assert repeats.digest(spark.createDataFrame([], SCHEMA)).count() == 0
 
