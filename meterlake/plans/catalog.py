@@ -548,7 +548,7 @@ def stream_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent, rules = message_stream(spark, sf_dir), [alerts.OverVoltage()]
     out = scratch_path(spark, "alerts")
-    jobs.wait_for_all(
+    jobs.finish_all(
         jobs.start_alerts(sent, rules, out, scratch_path(spark, "alerts-checkpoint"), jobs.ONCE)
     )
     return shape.decode_messages(jobs.read_alerts(spark, out), schemas.ALERT)

@@ -123,7 +123,10 @@ def start_alerts(
 
 
 def wait_for_all(queries: Iterable[StreamingQuery]) -> list[StreamingQuery]:
-    """Wait until every query has ended; those that failed are logged and returned."""
+    """Wait until every query has ended; those that failed are logged and returned.
+
+    What a failed query wrote is not all there is: for a result take `finish_all`.
+    """
     failed = []
     for query in queries:
         try:
@@ -134,6 +137,12 @@ def wait_for_all(queries: Iterable[StreamingQuery]) -> list[StreamingQuery]:
     return failed
 
 
+def finish_all(queries: Iterable[StreamingQuery]) -> None:
+    """Wait until every query has ended, then raise the error of the first that failed."""
+    for failed in wait_for_all(queries):
+        raise failed.exception()
+
+
 def read_alerts(spark: SparkSession, alerts_path: str) -> DataFrame:
     """Alert messages of all rules."""
     return spark.read.text(f"{alerts_path}/*")

@@ -2,12 +2,14 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from meterlake.operators import alerts, clean, report, shape
-from meterlake.plans import model as power_model
+from meterlake.plans import catalog, model as power_model
 from meterlake.sources import files, runs
 from meterlake.streaming import jobs
 
@@ -164,6 +166,40 @@ def test_failing_rule_stops_no_other(topic, tmp_path):
     assert raised == cleaned_batch(topic).where("voltage > 240").count() > 0
 
 
+def test_error_of_a_rule_is_raised_after_all_have_ended(topic, tmp_path):
+    rules = [DividesByZero(), alerts.OverVoltage()]
+    queries = jobs.start_alerts(
+        topic.stream(), rules, str(tmp_path / "a"), str(tmp_path / "ac"), jobs.ONCE
+    )
+    with pytest.raises(StreamingQueryException, match="USER_RAISED_EXCEPTION"):
+        jobs.finish_all(queries)
+    assert not any(query.isActive for query in queries)
+    raised = topic.spark.read.text(str(tmp_path / "a/1-OverVoltage")).count()
+    assert raised == cleaned_batch(topic).where("voltage > 240").count() > 0
+    jobs.finish_all(queries[1:])
+    jobs.finish_all([])
+
+
+def test_stream_alerts_gives_no_result_when_its_rule_fails(topic, monkeypatch):
+    """The rule fails in the second batch; the first one's alerts are there and not all."""
+    topic.send("2", [text_of(i, day=1) for i in range(200)])
+    for number in (1, 2):  # files are read from the oldest on
+        os.utime(topic.folder / str(number), (number, number))
+    reader = topic.spark.readStream.option("maxFilesPerTrigger", 1)
+    monkeypatch.setattr(catalog, "message_stream", lambda *_: reader.text(str(topic.folder)))
+    build, over_voltage = catalog.QUERIES["stream_alerts"], alerts.OverVoltage.alert
+    want = cleaned_batch(topic).where("voltage > 240").count()
+    assert build(topic.spark, "").count() == want > 0
+
+    def fails_on_the_second_day(rule, readings):
+        works = F.assert_true(readings["event_time"] < "2024-01-02").isNull()
+        return F.when(works, over_voltage(rule, readings))
+
+    monkeypatch.setattr(alerts.OverVoltage, "alert", fails_on_the_second_day)
+    with pytest.raises(StreamingQueryException, match="USER_RAISED_EXCEPTION"):
+        build(topic.spark, "")
+
+
 def test_windows_are_complete(topic, tmp_path):
     paths = str(tmp_path / "w"), str(tmp_path / "wc")
 
